@@ -129,9 +129,9 @@ def _overwrite_to(path: str):
     return write
 
 
-def run_counts(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str,
-               quarantine: str | None = None):
-    """Drain the stream into the cell-count table (and quarantine), then stop."""
+def start_counts(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str,
+                 quarantine: str | None = None):
+    """Start draining the stream into the cell-count table (and quarantine)."""
     decoded = decode(source)
     q = (cell_counts(decoded).writeStream.outputMode("complete")
          .foreachBatch(_overwrite_to(sink))
@@ -144,17 +144,21 @@ def run_counts(spark: SparkSession, source: DataFrame, sink: str, checkpoint: st
                        .option("path", quarantine)
                        .option("checkpointLocation", f"{checkpoint}/quarantine")
                        .trigger(availableNow=True).start())
-    for qq in queries:
-        qq.awaitTermination()
     return queries
 
 
-def run_projection(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str):
-    q = (projection(decode(source)).writeStream.format("parquet").outputMode("append")
-         .option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+def start_projection(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str):
+    return (projection(decode(source)).writeStream.format("parquet").outputMode("append")
+            .option("path", sink).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def await_all(queries) -> None:
+    """Wait for every query; re-raise the first failure."""
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
 
 
 # -- summaries over the sink (ST8, O7) -------------------------------------------
@@ -192,9 +196,11 @@ class StreamRun:
         produce(encode(event_records(events)), self.messages)
         # several files per micro-batch at most, so state spans batches
         src = message_stream(spark, self.messages, files_per_trigger=2)
-        run_counts(spark, src, self.counts, self.checkpoint, self.quarantine)
-        run_projection(spark, message_stream(spark, self.messages, files_per_trigger=2),
-                       self.projected, f"{self.checkpoint}/projection")
+        queries = start_counts(spark, src, self.counts, self.checkpoint, self.quarantine)
+        queries.append(start_projection(
+            spark, message_stream(spark, self.messages, files_per_trigger=2),
+            self.projected, f"{self.checkpoint}/projection"))
+        await_all(queries)
 
     def table(self, which: str) -> DataFrame:
         return self.spark.read.parquet(getattr(self, which))
