@@ -67,7 +67,8 @@ def round_half_up(c, digits: int) -> Column:
 def round_half_up_sql(expr: str, digits: int) -> str:
     """SQL text form of :func:`round_half_up` (Spark SQL and DuckDB alike)."""
     scale = 10 ** digits
-    return f"(floor(CAST({expr} AS DOUBLE) * {scale}.0 + 0.5) / {scale}.0)"
+    return (f"(CAST(floor(CAST({expr} AS DOUBLE) * CAST({scale} AS DOUBLE) + 0.5) AS DOUBLE)"
+            f" / CAST({scale} AS DOUBLE))")
 
 
 def half_point(c) -> Column:
