@@ -80,6 +80,7 @@ returned AS (
            sum(l_quantity) AS quantity_sum,
            sum(CAST(round(l_tax * 100) AS BIGINT)) AS tax_pts
     FROM lineitem WHERE l_returnflag = 'R'
+      AND l_orderkey IN (SELECT o_orderkey FROM orders)
     GROUP BY l_orderkey
 ),
 user_surveys AS (

@@ -142,7 +142,7 @@ FROM fact_service_requests f JOIN dim_department d ON f.dept_key = d.dept_key
 GROUP BY d.department_name"""))
 _register("mart_sla_trend", marts.mart_sla_trend, with_star(f"""
 SELECT *, substr(month_name, 1, 3) || ' ' || CAST(year_num AS VARCHAR) AS period,
-       {marts.SLA_TARGET_TREND_PCT} AS sla_target_pct,
+       CAST({marts.SLA_TARGET_TREND_PCT} AS DOUBLE) AS sla_target_pct,
        CASE WHEN sla_pct >= {marts.SLA_TARGET_TREND_PCT} THEN 1 ELSE 0 END AS on_target
 FROM (
     SELECT t.year_num, t.month_num, t.month_name,
@@ -151,8 +151,8 @@ FROM (
     GROUP BY t.year_num, t.month_num, t.month_name) g"""))
 _register("mart_satisfaction_vs_sla", marts.mart_satisfaction_vs_sla, with_star(f"""
 SELECT department_name, avg_satisfaction, sla_pct, total_requests,
-       {marts.SLA_TARGET_SCATTER_PCT} AS sla_target_pct,
-       {marts.SATISFACTION_TARGET} AS satisfaction_target,
+       CAST({marts.SLA_TARGET_SCATTER_PCT} AS DOUBLE) AS sla_target_pct,
+       CAST({marts.SATISFACTION_TARGET} AS DOUBLE) AS satisfaction_target,
        CASE WHEN sla_pct >= {marts.SLA_TARGET_SCATTER_PCT}
              AND avg_satisfaction >= {marts.SATISFACTION_TARGET} THEN 1 ELSE 0 END AS on_target
 FROM (

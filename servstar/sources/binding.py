@@ -14,6 +14,9 @@ Rules (pure column expressions plus joins and aggregations; see FIXTURES.md):
 * survey          = orders with a returned ('R') line; scores from the averages
                     of discount, quantity and tax over those lines
 
+``request_staging`` joins everything once per order; requests and surveys are
+narrow projections of it.
+
 Scale notes. ``order_lines`` is the only lineitem-sized step: one shuffle by
 order key, after a map-side partial aggregate. Its per-order state is bounded
 (a set of distinct ship *days*, plus sums), so an order holding a large share of
@@ -82,8 +85,12 @@ def priority_position(priority) -> F.Column:
     return F.array_position(F.array(*[F.lit(p) for p in SLA_DAYS_BY_PRIORITY]), priority)
 
 
-def service_requests(src: SourceTables, lines: DataFrame | None = None,
-                     catalog: DataFrame | None = None) -> DataFrame:
+def request_staging(src: SourceTables, lines: DataFrame | None = None,
+                    catalog: DataFrame | None = None) -> DataFrame:
+    """One wide row per order: the request columns plus the returned-line
+    measures the survey needs. Written once, it feeds ``service_requests`` and
+    ``user_surveys`` as two narrow projections, so the order-line aggregate is
+    shuffled once (into the order join) instead of once per consumer."""
     lines = order_lines(src) if lines is None else lines
     catalog = service_catalog(src) if catalog is None else catalog
     orders = src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
@@ -92,15 +99,20 @@ def service_requests(src: SourceTables, lines: DataFrame | None = None,
     part = src.table("part", "p_partkey", "p_type")
     types = catalog.select(F.col("service_code").alias("p_type"), "service_type_id")
 
-    df = (orders
-          .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-          .join(cust, orders.o_custkey == cust.c_custkey, "left")
+    # completion is resolved right after the order-key join, so the ship-day
+    # sets are dropped before the customer and part shuffles
+    order_day = F.to_date("o_orderdate")
+    completed_day = F.array_min(F.filter("ship_days", lambda d: d >= order_day))
+    per_order = (orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+                 .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                         "o_orderpriority", "first_partkey",
+                         completed_day.cast("timestamp_ntz").alias("completed_at"),
+                         "returned_lines", "discount_pts", "quantity_sum", "tax_pts"))
+    df = (per_order
+          .join(cust, per_order.o_custkey == cust.c_custkey, "left")
           .join(part, F.col("first_partkey") == part.p_partkey, "left")
           .join(types, "p_type", "left"))
 
-    order_day = F.to_date("o_orderdate")
-    completed_day = F.array_min(F.filter("ship_days", lambda d: d >= order_day))
-    completed = completed_day.cast("timestamp_ntz")
     pos = priority_position(F.col("o_orderpriority"))
     sla_id = F.when(F.col("service_type_id").isNotNull() & (pos > 0),
                     F.col("service_type_id") * 10 + pos)
@@ -117,35 +129,57 @@ def service_requests(src: SourceTables, lines: DataFrame | None = None,
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("priority"),
         F.col("o_orderdate").alias("submitted_at"),
-        completed.alias("completed_at"),
+        "completed_at",
         sla_hours.alias("_sla_hours"),
+        F.coalesce("returned_lines", F.lit(0)).alias("returned_lines"),
+        "discount_pts", "quantity_sum", "tax_pts",
     )
     resolution = minutes_between("submitted_at", "completed_at")
-    df = (df.withColumn("resolution_minutes", resolution)
-            .withColumn("sla_deadline", add_hours("submitted_at", "_sla_hours"))
-            .withColumn("sla_compliant",
-                        F.when(F.col("completed_at").isNotNull()
-                               & (F.col("resolution_minutes") <= F.col("_sla_hours") * 60), 1)
-                         .otherwise(0)))
-    return schemas.conform(df, schemas.SERVICE_REQUESTS)
+    return (df.withColumn("resolution_minutes", resolution)
+              .withColumn("sla_deadline", add_hours("submitted_at", "_sla_hours"))
+              .withColumn("sla_compliant",
+                          F.when(F.col("completed_at").isNotNull()
+                                 & (F.col("resolution_minutes") <= F.col("_sla_hours") * 60), 1)
+                           .otherwise(0)))
 
 
-def user_surveys(src: SourceTables, lines: DataFrame | None = None) -> DataFrame:
-    """Surveys need no order columns, so they come straight off ``order_lines``
-    (already partitioned by order key)."""
-    lines = order_lines(src) if lines is None else lines
+def requests_from_staging(staging: DataFrame) -> DataFrame:
+    return schemas.conform(staging, schemas.SERVICE_REQUESTS)
+
+
+def surveys_from_measures(df: DataFrame, key: str) -> DataFrame:
+    """Surveys for rows with at least one returned line: scores from the
+    averages of discount points, quantity and tax points over those lines."""
     n = F.col("returned_lines").cast("double")
     d = F.col("discount_pts") / n
     q = F.col("quantity_sum") / n
     t = F.col("tax_pts") / n
-    df = lines.where(F.col("returned_lines") > 0).select(
-        F.col("l_orderkey").alias("survey_id"),
-        F.col("l_orderkey").alias("request_id"),
+    out = df.where(F.col("returned_lines") > 0).select(
+        F.col(key).alias("survey_id"),
+        F.col(key).alias("request_id"),
         half_point(F.lit(1.0) + F.lit(4.0) * d / F.lit(10.0)).alias("satisfaction_score"),
         half_point(F.lit(1.0) + q / F.lit(12.5)).alias("ease_of_use_score"),
         half_point(F.lit(1.0) + t / F.lit(2.0)).alias("response_speed_score"),
     )
-    return schemas.conform(df, schemas.USER_SURVEYS)
+    return schemas.conform(out, schemas.USER_SURVEYS)
+
+
+def surveys_from_staging(staging: DataFrame) -> DataFrame:
+    return surveys_from_measures(staging, "request_id")
+
+
+def service_requests(src: SourceTables, lines: DataFrame | None = None,
+                     catalog: DataFrame | None = None) -> DataFrame:
+    return requests_from_staging(request_staging(src, lines, catalog))
+
+
+def user_surveys(src: SourceTables, lines: DataFrame | None = None) -> DataFrame:
+    """Surveys straight off ``order_lines`` (already partitioned by order key),
+    restricted to orders that exist (a survey's request must exist)."""
+    lines = order_lines(src) if lines is None else lines
+    orders = src.table("orders", "o_orderkey")
+    lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left_semi")
+    return surveys_from_measures(lines, "l_orderkey")
 
 
 def service_types(catalog: DataFrame, requests: DataFrame) -> DataFrame:
