@@ -38,6 +38,14 @@ def build_session(master: str | None = None, app: str = "servstar",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    # a session that already existed keeps its (cluster) settings; fill in
+    # only what it leaves unset
+    for k, v in DEFAULT_CONF.items():
+        if spark.conf.get(k, None) is None:
+            try:
+                spark.conf.set(k, v)
+            except Exception:  # static settings cannot change after start
+                pass
     spark.sparkContext.setLogLevel("ERROR")
     # session-level settings may be ignored by getOrCreate on an existing session
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -48,14 +56,17 @@ def build_session(master: str | None = None, app: str = "servstar",
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for written tables: ``spark.checkpoint.dir``.
 
-    When unset (local runs only) a private folder is created and registered as
-    the checkpoint dir, so ``DataFrame.checkpoint`` works too.
+    When unset, a private folder is created and registered as the checkpoint
+    dir — in local mode only (tests, laptops); on a cluster this is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: written tables "
+                               "and checkpoints must survive the loss of any one machine")
         root = tempfile.mkdtemp(prefix="servstar-")
         sc.setCheckpointDir(root)
     elif sc.getCheckpointDir() is None:
