@@ -22,7 +22,7 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from servstar.operators import dims, fact
@@ -108,14 +108,19 @@ class StoredWarehouse:
         self.root = root
         self.sizes = dict(sizes)
         self._views_for = None
+        self._tables: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
-        if name == "fact_service_requests":
-            df = df.drop("submitted_year")
+        """The stored table (the file listing is done once and reused)."""
+        df = self._tables.get(name)
+        if df is None or df.sparkSession is not self.spark:
+            df = self.spark.read.parquet(self.path(name))
+            if name == "fact_service_requests":
+                df = df.drop("submitted_year")
+            self._tables[name] = df
         return df
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -158,59 +163,85 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def load(spark: SparkSession, sf_dir: str, root: str | None = None,
-         parallelism: int = 4) -> StoredWarehouse:
+def run_steps(steps: dict, parallelism: int | None = None) -> None:
+    """Run ``{name: (deps, fn)}`` (listed in dependency order); each step starts
+    as soon as its own inputs are done, as a concurrent Spark job."""
+    futures = {}
+    with ThreadPoolExecutor(max_workers=parallelism or len(steps)) as pool:
+        def runner(name):
+            deps, fn = steps[name]
+            for d in deps:
+                futures[d].result()
+            fn()
+        for name in steps:
+            futures[name] = pool.submit(runner, name)
+        for fut in futures.values():
+            fut.result()
+
+
+def load(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredWarehouse:
     """Run the load jobs; returns the stored warehouse.
 
-    Steps whose inputs are ready run as concurrent Spark jobs (the small
-    dimension jobs fill slots the lineitem-sized staging job leaves idle). A
-    step whose table is already committed under ``root`` is skipped, so a
-    re-run after a failure resumes where the last one stopped.
+    The steps form a small DAG run as concurrent Spark jobs: the small
+    reference and dimension jobs fill slots the lineitem-sized staging job
+    leaves idle. A step whose table is already committed under ``root`` is
+    skipped, so a re-run after a failure resumes where the last one stopped.
     """
     root = root or scratch_path(spark, "warehouse")
     src = SourceTables(spark, sf_dir)
     read = spark.read.parquet
     at = lambda name: f"{root}/{name}"
+    sizes: dict[str, int] = {}
 
-    def step(name, build, partition_by=None):
+    def write(name, build, partition_by=None, dim=False):
         def run():
             if not _committed(spark, at(name)):
-                _write(build(), at(name), partition_by)
+                df = build()
+                if dim:  # row count observed while writing: no extra job
+                    obs = Observation(f"rows:{name}")
+                    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+                _write(df, at(name), partition_by)
+                if dim:
+                    sizes[name] = obs.get["rows"]
+            elif dim:  # resumed step: bounded read of at most MAX_BROADCAST_ROWS + 1 rows
+                sizes[name] = read(at(name)).limit(MAX_BROADCAST_ROWS + 1).count()
         return run
 
     def fact_table():
         wh = StoredWarehouse(spark, root, sizes)
-        df = fact.build_fact(read(at("service_requests")), read(at("user_surveys")),
-                             wh.dim("dim_department"), wh.dim("dim_service_type"),
-                             wh.dim("dim_sla"))
+        df = fact.build_fact_from_staging(read(at("_staging/requests")), wh.dim("dim_department"),
+                                          wh.dim("dim_service_type"), wh.dim("dim_sla"))
         return df.withColumn("submitted_year", F.year("submitted_at"))
 
-    stages = [
-        # the lineitem-sized job runs next to the small reference-table jobs
-        [step("_staging/requests", lambda: binding.request_staging(src)),
-         step("departments", lambda: binding.departments(src)),
-         step("service_catalog", lambda: binding.service_catalog(src)),
-         step("dim_time", lambda: dims.dim_time(binding.calendar_bounds(src)))],
-        # narrow projections of the staging table (no shuffle)
-        [step("service_requests", lambda: binding.requests_from_staging(
-            read(at("_staging/requests")))),
-         step("user_surveys", lambda: binding.surveys_from_staging(read(at("_staging/requests")))),
-         step("dim_department", lambda: dims.dim_department(read(at("departments")))),
-         step("dim_service_type", lambda: dims.dim_service_type(read(at("service_catalog"))))],
-        [step("service_types", lambda: binding.service_types(
-            read(at("service_catalog")), read(at("service_requests")))),
-         step("sla_definitions", lambda: binding.sla_definitions(read(at("service_requests"))))],
-        [step("dim_sla", lambda: dims.dim_sla(read(at("sla_definitions"))))],
-    ]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        for stage in stages:
-            for fut in [pool.submit(run) for run in stage]:
-                fut.result()
-        # dimension sizes, bounded reads (at most MAX_BROADCAST_ROWS + 1 rows each)
-        counts = {name: pool.submit(lambda n=name: read(at(n)).limit(MAX_BROADCAST_ROWS + 1)
-                                    .count()) for name in DIM_TABLES}
-        sizes = {name: fut.result() for name, fut in counts.items()}
-    step("fact_service_requests", fact_table, partition_by=["submitted_year"])()
+    staging = lambda: read(at("_staging/requests"))
+    steps = {
+        "_staging/requests": ([], write("_staging/requests", lambda: binding.request_staging(src))),
+        "departments": ([], write("departments", lambda: binding.departments(src))),
+        "service_catalog": ([], write("service_catalog", lambda: binding.service_catalog(src))),
+        "dim_time": ([], write("dim_time", lambda: dims.dim_time(binding.calendar_bounds(src)),
+                               dim=True)),
+        "dim_department": (["departments"], write(
+            "dim_department", lambda: dims.dim_department(read(at("departments"))), dim=True)),
+        "dim_service_type": (["service_catalog"], write(
+            "dim_service_type", lambda: dims.dim_service_type(read(at("service_catalog"))),
+            dim=True)),
+        # requests and surveys: narrow projections of the staging table
+        "service_requests": (["_staging/requests"], write(
+            "service_requests", lambda: binding.requests_from_staging(staging()))),
+        "user_surveys": (["_staging/requests"], write(
+            "user_surveys", lambda: binding.surveys_from_staging(staging()))),
+        "service_types": (["service_catalog", "_staging/requests"], write(
+            "service_types", lambda: binding.service_types(read(at("service_catalog")),
+                                                           staging()))),
+        "sla_definitions": (["_staging/requests"], write(
+            "sla_definitions", lambda: binding.sla_definitions(staging()))),
+        "dim_sla": (["sla_definitions"], write(
+            "dim_sla", lambda: dims.dim_sla(read(at("sla_definitions"))), dim=True)),
+        "fact_service_requests": (
+            ["_staging/requests", "dim_department", "dim_service_type", "dim_sla", "dim_time"],
+            write("fact_service_requests", fact_table, partition_by=["submitted_year"])),
+    }
+    run_steps(steps)
     return StoredWarehouse(spark, root, sizes)
 
 

@@ -147,20 +147,30 @@ def requests_from_staging(staging: DataFrame) -> DataFrame:
     return schemas.conform(staging, schemas.SERVICE_REQUESTS)
 
 
-def surveys_from_measures(df: DataFrame, key: str) -> DataFrame:
-    """Surveys for rows with at least one returned line: scores from the
-    averages of discount points, quantity and tax points over those lines."""
+def has_survey() -> F.Column:
+    """A request is surveyed when it has at least one returned line."""
+    return F.coalesce(F.col("returned_lines"), F.lit(0)) > 0
+
+
+def survey_scores() -> list[F.Column]:
+    """Scores from the returned-line measures: half points of
+    1 + 4d/10, 1 + q/12.5 and 1 + t/2 (d, t in points, averaged per line);
+    NULL when the request has no returned line."""
     n = F.col("returned_lines").cast("double")
     d = F.col("discount_pts") / n
     q = F.col("quantity_sum") / n
     t = F.col("tax_pts") / n
-    out = df.where(F.col("returned_lines") > 0).select(
-        F.col(key).alias("survey_id"),
-        F.col(key).alias("request_id"),
-        half_point(F.lit(1.0) + F.lit(4.0) * d / F.lit(10.0)).alias("satisfaction_score"),
-        half_point(F.lit(1.0) + q / F.lit(12.5)).alias("ease_of_use_score"),
-        half_point(F.lit(1.0) + t / F.lit(2.0)).alias("response_speed_score"),
-    )
+    raw = {"satisfaction_score": F.lit(1.0) + F.lit(4.0) * d / F.lit(10.0),
+           "ease_of_use_score": F.lit(1.0) + q / F.lit(12.5),
+           "response_speed_score": F.lit(1.0) + t / F.lit(2.0)}
+    return [F.when(has_survey(), half_point(v)).cast(schemas.SCORE).alias(k)
+            for k, v in raw.items()]
+
+
+def surveys_from_measures(df: DataFrame, key: str) -> DataFrame:
+    """Surveys for rows with at least one returned line."""
+    out = df.where(has_survey()).select(
+        F.col(key).alias("survey_id"), F.col(key).alias("request_id"), *survey_scores())
     return schemas.conform(out, schemas.USER_SURVEYS)
 
 

@@ -25,12 +25,19 @@ class SourceTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        df = lower_names(self.spark.read.parquet(self.path(name)))
+        """Scan of one given table; the listing and schema are resolved once
+        and shared by every plan built from this folder (the projection is
+        pushed into each scan separately)."""
+        df = self._scans.get(name)
+        if df is None:
+            df = lower_names(self.spark.read.parquet(self.path(name)))
+            self._scans[name] = df
         return df.select(*columns) if columns else df
 
 
