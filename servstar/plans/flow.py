@@ -10,18 +10,19 @@ are ours:
   ``get_json_object`` and flag records that miss a required field.
 * N3 ``sla_flag``        — 1 when the request was completed by its deadline.
 * N4 ``conform``         — cast and rename to a declared ``StructType``.
-* N5 load                — append (``sources.tables.append_table``).
+* N5 load                — append (``sources.tables.append_table``); the
+  extract appends one partition per run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from servstar.plans.warehouse import warehouse
 from servstar.session import scratch_path
-from servstar.sources.tables import SourceTables, append_table, read_or_none
+from servstar.sources.tables import SourceTables, read_or_none
 from servstar.streaming.events import encode, event_records
 
 
@@ -29,25 +30,36 @@ from servstar.streaming.events import encode, event_records
 def extract_since(spark: SparkSession, source: DataFrame, key: str, target: str,
                   state: str) -> tuple[int, object]:
     """Append rows of ``source`` with ``key`` above the stored maximum to
-    ``target``; returns (rows appended, new maximum). The new maximum is taken
-    from the appended rows (one aggregate) and written only after the append
-    commits, so a failed run re-extracts the same range."""
+    ``target``; returns (rows appended, maximum after the run).
+
+    Each run writes one partition ``run=<n>`` of ``target`` in a single pass;
+    the row count and new maximum are observed during that write. The state
+    (last maximum, last run) advances only after the write commits, so a run
+    that fails is retried under the same run number and overwrites its own
+    partition: no row is extracted twice.
+    """
     prev = read_or_none(spark, state)
-    last = prev.first()["max_key"] if prev is not None else None
+    last, run = (None, 0)
+    if prev is not None:
+        row = prev.first()
+        last, run = row["max_key"], row["run"]
     batch = source if last is None else source.where(F.col(key) > F.lit(last))
-    path = f"{target}/_batch_{'initial' if last is None else last}"
-    batch.write.mode("overwrite").parquet(path)
-    written = spark.read.parquet(path)
-    stats = written.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("max_key")).first()
-    n, new_max = stats["n"], stats["max_key"]
+    obs = Observation("extract")
+    batch = batch.observe(obs, F.count(F.lit(1)).alias("n"), F.max(key).alias("max_key"))
+    batch.write.mode("overwrite").parquet(f"{target}/run={run + 1}")
+    n, new_max = obs.get["n"], obs.get["max_key"]
     if n:
-        append_table(written, f"{target}/data")
-        spark.createDataFrame([(new_max,)], T.StructType(
-            [T.StructField("max_key", source.schema[key].dataType)])) \
-             .write.mode("overwrite").parquet(state)
+        spark.createDataFrame([(new_max, run + 1)], T.StructType(
+            [T.StructField("max_key", source.schema[key].dataType),
+             T.StructField("run", T.IntegerType())])).write.mode("overwrite").parquet(state)
     return n, (new_max if n else last)
 
 
+def extracted(spark: SparkSession, target: str) -> DataFrame:
+    """Everything extracted so far (all runs)."""
+    return spark.read.parquet(target)
+
+
 def incremental_extract(spark, sf_dir):
     """Two extract runs over the request table: the first takes every row, the
     second finds nothing above the stored maximum."""
@@ -57,7 +69,7 @@ def incremental_extract(spark, sf_dir):
     for run in (1, 2):
         n, mx = extract_since(spark, requests, "request_id", f"{root}/target", f"{root}/state")
         runs.append((run, int(n), mx))
-    data = spark.read.parquet(f"{root}/target/data")
+    data = extracted(spark, f"{root}/target")
     total = data.agg(F.count(F.lit(1)).alias("target_rows"))
     out = None
     for run, n, mx in runs:

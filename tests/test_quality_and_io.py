@@ -84,7 +84,7 @@ def test_extract_since_picks_up_new_rows(spark):
     n2, m2 = flow.extract_since(spark, grown, "k", f"{root}/t", f"{root}/s")
     n3, m3 = flow.extract_since(spark, grown, "k", f"{root}/t", f"{root}/s")
     assert (n1, m1, n2, m2, n3, m3) == (5, 5, 3, 8, 0, 8)
-    assert spark.read.parquet(f"{root}/t/data").count() == 8
+    assert flow.extracted(spark, f"{root}/t").count() == 8
 
 
 def test_validate_json_flags_missing_fields(spark):
