@@ -29,7 +29,8 @@ def _register(name, fn, oracle: str | None):
         ORACLE_SQL[name] = oracle
 
 
-def _cols(table: str, drop=("effective_date", "load_timestamp", "created_at")) -> list[str]:
+def _cols(table: str, drop=("effective_date", "load_timestamp", "created_at",
+                              "surveyed_at")) -> list[str]:
     return [f.name for f in schemas.TABLES[table].fields if f.name not in drop]
 
 

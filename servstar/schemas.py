@@ -101,11 +101,39 @@ def not_null_columns(table: str) -> list[str]:
     return [f.name for f in TABLES[table].fields if not f.nullable]
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select, order and cast columns to ``schema``; absent columns become NULL
-    (a declared default applies only when the column is absent)."""
+# Declared column defaults (value when the column is absent; as in the DDL, an
+# explicit NULL stays NULL). Callables, so load times are taken per query.
+DEFAULTS = {
+    "departments": {"created_at": F.localtimestamp},
+    "service_types": {"created_at": F.localtimestamp},
+    "sla_definitions": {"created_at": F.localtimestamp},
+    "service_requests": {"status": lambda: F.lit("SUBMITTED"),
+                         "priority": lambda: F.lit("NORMAL"),
+                         "sla_compliant": lambda: F.lit(0),
+                         "created_at": F.localtimestamp},
+    "user_surveys": {"surveyed_at": F.localtimestamp},
+    "dim_department": {"effective_date": F.current_timestamp},
+    "dim_service_type": {"effective_date": F.current_timestamp},
+    "dim_sla": {"effective_date": F.current_timestamp},
+    "dim_time": {"is_holiday": lambda: F.lit(0)},
+    "fact_service_requests": {"has_survey": lambda: F.lit(0),
+                              "load_timestamp": F.current_timestamp},
+}
+_TABLE_OF = {id(schema): name for name, schema in TABLES.items()}
+
+
+def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
+    """Select, order and cast columns to ``schema``. An absent column takes the
+    table's declared default (``DEFAULTS``), else NULL."""
+    if defaults is None:
+        defaults = DEFAULTS.get(_TABLE_OF.get(id(schema)), {})
     cols = []
     for f in schema.fields:
-        c = F.col(f.name) if f.name in df.columns else F.lit(None)
+        if f.name in df.columns:
+            c = F.col(f.name)
+        elif f.name in defaults:
+            c = defaults[f.name]()
+        else:
+            c = F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -2,6 +2,8 @@
 
 * ``SourceTables`` — the given parquet tables of one input folder (IO1, IO4).
 * ``run_sql`` / ``fetch_one`` — SQL text over temp views (IO2, IO3).
+* ``seed_table`` / ``resolve_codes`` — reference rows from literals and code
+  lookups (IO8, J9).
 * ``jdbc_table`` — the same scan against a JDBC database (needs the driver jar
   on the cluster; not exercised offline).
 * ``append_table`` / ``load_if_empty`` / ``write_csv`` — sinks (IO5, IO6, IO7).
@@ -9,6 +11,8 @@
 
 from __future__ import annotations
 
+import decimal
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -41,6 +45,35 @@ class SourceTables:
         return df.select(*columns) if columns else df
 
 
+def seed_table(spark: SparkSession, name: str, rows: list[tuple | dict]) -> DataFrame:
+    """Small reference rows from literals with the table's declared shape (IO8):
+    the given columns in declared order (tuples) or by name (dicts); columns
+    left out take their declared default."""
+    from servstar import schemas
+    target = schemas.TABLES[name]
+    if rows and isinstance(rows[0], dict):
+        names = [f.name for f in target.fields if f.name in rows[0]]
+        rows = [tuple(r.get(n) for n in names) for r in rows]
+    else:
+        names = [f.name for f in target.fields][:len(rows[0]) if rows else 0]
+    part = T.StructType([target[n] for n in names])
+    dec = [isinstance(f.dataType, T.DecimalType) for f in part.fields]
+    rows = [tuple(decimal.Decimal(str(v)) if d and v is not None and not
+                  isinstance(v, decimal.Decimal) else v for v, d in zip(r, dec)) for r in rows]
+    return schemas.conform(spark.createDataFrame(rows, part), target)
+
+
+def resolve_codes(df: DataFrame, lookup: DataFrame, code_col: str, lookup_code: str,
+                  id_col: str) -> DataFrame:
+    """Replace a natural code with its id from a small lookup table (J9): a
+    broadcast join, since code lookups are reference-table sized. Rows whose
+    code is unknown keep a NULL id."""
+    from pyspark.sql import functions as F
+    m = lookup.select(F.col(lookup_code).alias("_code"), F.col(id_col).alias("_id"))
+    return (df.join(F.broadcast(m), df[code_col] == F.col("_code"), "left")
+              .drop(code_col, "_code").withColumnRenamed("_id", id_col))
+
+
 def jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
                partition_column: str | None = None, lower_bound: int | None = None,
                upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:

@@ -113,3 +113,30 @@ def test_sla_flag_matches_compliance(spark):
     from servstar.plans.warehouse import warehouse
     df = flow.sla_flag(warehouse(spark, SF001).service_requests)
     assert df.where(F.col("sla_flag") != F.col("sla_compliant")).count() == 0
+
+
+def test_defaults_apply_only_to_absent_columns(spark):
+    from servstar import schemas
+    df = spark.createDataFrame([(1, "R1", None)], "request_id long, request_ref string, status string")
+    row = schemas.conform(df, schemas.SERVICE_REQUESTS).first()
+    assert row.status is None                 # explicit NULL stays NULL
+    assert row.priority == "NORMAL" and row.sla_compliant == 0
+    assert row.created_at is not None and row.completed_at is None
+
+
+def test_seed_table_and_code_lookup(spark):
+    from servstar.sources.tables import resolve_codes, seed_table
+    depts = seed_table(spark, "departments", [(1, "HLTH", "Ministry of Health", "Health"),
+                                              (2, "TRAN", "Ministry of Transport", None)])
+    assert depts.columns[:4] == ["department_id", "department_code", "department_name",
+                                 "department_sector"]
+    svc = spark.createDataFrame([("S1", "HLTH"), ("S2", "TRAN"), ("S3", "NONE")],
+                                "service_code string, department_code string")
+    got = {r.service_code: r.department_id
+           for r in resolve_codes(svc, depts, "department_code", "department_code",
+                                  "department_id").collect()}
+    assert got == {"S1": 1, "S2": 2, "S3": None}
+    by_name = seed_table(spark, "sla_definitions",
+                         [{"sla_id": 7, "service_type_id": 1, "priority_level": "HIGH",
+                           "sla_hours": 24}])
+    assert by_name.first().sla_hours == 24 and by_name.first().created_at is not None
