@@ -29,7 +29,7 @@ from servstar.operators import dims, fact
 from servstar.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 from servstar.session import scratch_path
 from servstar.sources import binding
-from servstar.sources.tables import SourceTables
+from servstar.sources.tables import SourceTables, path_exists
 
 SOURCE_TABLES = ("departments", "service_types", "sla_definitions", "service_requests",
                  "user_surveys")
@@ -155,12 +155,8 @@ def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 
 def _committed(spark: SparkSession, path: str) -> bool:
-    """True when a job already committed a table at ``path`` (``_SUCCESS``),
-    on any Hadoop-compatible store."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    """True when a job already committed a table at ``path`` (``_SUCCESS``)."""
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def run_steps(steps: dict, parallelism: int | None = None) -> None:

@@ -99,12 +99,22 @@ def fetch_one(df: DataFrame) -> Row | None:
     return rows[0] if rows else None
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on any Hadoop-compatible store."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
+
+
 def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """Parquet table at ``path``, or None when nothing was written there."""
+    if not path_exists(spark, path):
+        return None
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path)
-    except AnalysisException:
+    except AnalysisException:  # a folder without data files
         return None
 
 
