@@ -33,6 +33,8 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
+    from pyspark.sql import SparkSession
+    existing = SparkSession.getActiveSession()
     spark = build_session(args.master)
     from servstar.registry import QUERIES
 
@@ -49,7 +51,8 @@ def main(argv=None) -> None:
     else:
         for name in ("stream_total", "stream_by_department", "stream_by_priority"):
             QUERIES[name](spark, args.tables).show(truncate=False)
-    spark.stop()
+    if existing is None:  # stop only a session this command started
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -89,8 +89,8 @@ def produce(messages: DataFrame, path: str | None = None,
         for k, v in kafka_options.items():
             w = w.option(k, v)
         w.save()
-    else:
-        messages.select("value").write.mode("overwrite").text(path)
+    else:  # a message log only grows: new files next to the old ones
+        messages.select("value").write.mode("append").text(path)
 
 
 def message_stream(spark: SparkSession, path: str | None = None,

@@ -140,3 +140,23 @@ def test_seed_table_and_code_lookup(spark):
                          [{"sla_id": 7, "service_type_id": 1, "priority_level": "HIGH",
                            "sla_hours": 24}])
     assert by_name.first().sla_hours == 24 and by_name.first().created_at is not None
+
+
+def test_cli_writes_kpi_files(spark, tmp_path):
+    """The kpis command writes the four result files with their headers."""
+    from servstar.__main__ import KPI_FILES, main
+    from conftest import SF0001
+    out = str(tmp_path / "out")
+    main(["kpis", "--tables", SF0001, "--out", out])
+    import glob
+    heads = {}
+    for fname in KPI_FILES:
+        part = glob.glob(f"{out}/{fname}/part-*.csv")
+        assert len(part) == 1
+        heads[fname] = open(part[0]).readline().strip()
+    assert heads["kpi1_resolution.csv"] == ("department_name,department_sector,total_requests,"
+                                            "avg_resolution_hours,min_resolution_hours,"
+                                            "max_resolution_hours")
+    assert heads["kpi4_monthly_trend.csv"] == ("year_num,month_num,month_name,quarter_name,"
+                                               "total_requests,sla_compliance_pct,"
+                                               "avg_satisfaction,avg_resolution_hours")
