@@ -33,9 +33,9 @@ order_first_part AS (
     SELECT l_orderkey, min(l_partkey) AS first_partkey FROM lineitem GROUP BY l_orderkey
 ),
 order_completion AS (
-    SELECT o.o_orderkey, min(l.l_shipdate) AS completed_at
+    SELECT o.o_orderkey, CAST(min(CAST(l.l_shipdate AS DATE)) AS TIMESTAMP) AS completed_at
     FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-    WHERE l.l_shipdate >= o.o_orderdate
+    WHERE CAST(l.l_shipdate AS DATE) >= CAST(o.o_orderdate AS DATE)
     GROUP BY o.o_orderkey
 ),
 requests_base AS (

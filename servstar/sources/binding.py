@@ -10,8 +10,10 @@ Rules (pure column expressions plus joins and aggregations; see FIXTURES.md):
                     hours = SLA_DAYS_BY_PRIORITY x 24
 * request         = one per order; department = customer nation, channel =
                     market segment, service = type of the order's smallest part
-                    key, completed = first ship day on/after the order date
-* survey          = orders with a returned ('R') line; scores from the averages
+                    key, completed = first ship day on/after the order day
+                    (calendar days: the set of distinct ship days of an order
+                    is bounded by the calendar, whatever its line count)
+* survey         = orders with a returned ('R') line; scores from the averages
                     of discount, quantity and tax over those lines
 
 ``request_staging`` joins everything once per order; requests and surveys are
