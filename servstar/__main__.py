@@ -39,8 +39,13 @@ def main(argv=None) -> None:
     from servstar.registry import QUERIES
 
     if args.command == "load":
+        from servstar.sources.tables import fetch_one
         QUERIES["load_row_counts"](spark, args.tables).show(truncate=False)
-        QUERIES["load_snapshot"](spark, args.tables).show(truncate=False)
+        snap = fetch_one(QUERIES["load_snapshot"](spark, args.tables))
+        print(f"Overall avg resolution time : {snap.avg_resolution_hours} hours")
+        print(f"Overall SLA compliance      : {snap.sla_compliance_pct}%")
+        print(f"Overall avg satisfaction    : {snap.avg_satisfaction} / 5.0")
+        print(f"Total fact rows             : {snap.total_rows}")
     elif args.command == "kpis":
         if not args.out:
             ap.error("kpis needs --out")

@@ -16,7 +16,7 @@ __all__ = [
     "monday_week_number", "quarter_label", "weekend_flag", "sla_category",
     "satisfaction_band", "presence_flag", "breach_minutes", "strip_prefix",
     "period_label", "thousands", "minutes_between", "add_hours",
-    "flag_percent", "lower_names", "sla_hours_for_priority", "event_priority",
+    "lower_names", "sla_hours_for_priority", "event_priority",
 ]
 
 # ---------------------------------------------------------------------------
@@ -88,12 +88,6 @@ def half_point_even(c) -> Column:
 __all__.append("half_point_even")
 
 
-def flag_percent(flag, denominator) -> Column:
-    """``SUM(flag) / denominator * 100`` as a double (NULL flags count as 0 in
-    the sum but stay in the denominator when it is a row count)."""
-    return F.sum(_c(flag)).cast("double") / _c(denominator).cast("double") * F.lit(100.0)
-
-
 def thousands(c) -> Column:
     """Integer with thousands separators: 15000 -> '15,000'."""
     return F.format_number(_c(c).cast("long"), 0)

@@ -238,6 +238,19 @@ SELECT '{c}' AS child_table, '{col}' AS child_column, '{p}' AS parent_table,
 FROM {c} x LEFT JOIN (SELECT DISTINCT {pcol} AS pk FROM {p}) k ON x.{col} = k.pk"""
               for c, col, p, pcol in quality.FOREIGN_KEYS)))
 
+_register("fact_quarantine",
+          lambda spark, sf_dir: warehouse(spark, sf_dir).table("_quarantine/fact_orphans"),
+          with_star("""
+SELECT r.request_id, r.request_ref,
+       concat_ws(',', CASE WHEN dd.dept_key IS NULL THEN 'department' END,
+                      CASE WHEN ds.service_key IS NULL THEN 'service_type' END,
+                      CASE WHEN dl.sla_key IS NULL THEN 'sla' END) AS missing_keys
+FROM service_requests r
+LEFT JOIN dim_department dd   ON r.department_id = dd.department_id
+LEFT JOIN dim_service_type ds ON r.service_type_id = ds.service_type_id
+LEFT JOIN dim_sla dl          ON r.sla_id = dl.sla_id
+WHERE dd.dept_key IS NULL OR ds.service_key IS NULL OR dl.sla_key IS NULL"""))
+
 _register("dq_score_range",
           lambda spark, sf_dir: quality.score_range(warehouse(spark, sf_dir).user_surveys),
           with_star("\nUNION ALL\n".join(

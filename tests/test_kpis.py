@@ -148,6 +148,11 @@ def test_given_data_figures(spark):
     assert r.where("completed_at IS NOT NULL").count() == 11650
     assert r.where("sla_compliant = 1").count() == 5960
     assert wh.user_surveys.count() == 11058
+    # every request is either in the fact or in the quarantine, with its reason
+    q = wh.table("_quarantine/fact_orphans")
+    assert q.count() == 257 and wh.fact_service_requests.count() == 15000 - 257
+    assert {r.missing_keys for r in q.select("missing_keys").distinct().collect()} == \
+        {"service_type,sla"}
 
 
 def test_fact_paths_agree(spark):
