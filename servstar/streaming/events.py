@@ -198,7 +198,12 @@ _LOCK = threading.Lock()
 
 
 class StreamRun:
-    """Messages produced from ``events`` of one folder, and the consumer sinks."""
+    """Messages produced from ``events`` of one folder, and the consumer sinks.
+
+    The messages are published once; each consumer (the count query with its
+    quarantine, the per-event projection) is drained on first use, so a
+    summary does not pay for the projection and the other way round.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -210,16 +215,29 @@ class StreamRun:
         self.checkpoint = f"{root}/_checkpoints"
         events = SourceTables(spark, sf_dir).table("events")
         produce(encode(event_records(events)), self.messages)
-        ss = stream_session(spark)
-        # several files per micro-batch at most, so state spans batches
-        src = message_stream(ss, self.messages, files_per_trigger=2)
-        queries = start_counts(ss, src, self.counts, self.checkpoint, self.quarantine)
-        queries.append(start_projection(
-            ss, message_stream(ss, self.messages, files_per_trigger=2),
-            self.projected, f"{self.checkpoint}/projection"))
-        await_all(queries)
+        self._done: set[str] = set()
+        self._lock = threading.Lock()
+
+    def _source(self, ss: SparkSession) -> DataFrame:
+        # a few files per micro-batch at most, so state spans several batches
+        return message_stream(ss, self.messages, files_per_trigger=2)
+
+    def _drain(self, which: str) -> None:
+        with self._lock:
+            if which in self._done:
+                return
+            ss = stream_session(self.spark)
+            if which == "counts":
+                queries = start_counts(ss, self._source(ss), self.counts, self.checkpoint,
+                                       self.quarantine)
+            else:
+                queries = [start_projection(ss, self._source(ss), self.projected,
+                                            f"{self.checkpoint}/projection")]
+            await_all(queries)
+            self._done.add(which)
 
     def table(self, which: str) -> DataFrame:
+        self._drain("counts" if which in ("counts", "quarantine") else "projected")
         return self.spark.read.parquet(getattr(self, which))
 
 
