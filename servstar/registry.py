@@ -8,7 +8,6 @@ re-derived there by ``servstar.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from servstar import schemas
 from servstar.functions.expr import EVENT_PRIORITIES, round_half_up_sql as rnd
