@@ -24,6 +24,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from servstar.operators import dims, fact
 from servstar.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
@@ -54,7 +55,7 @@ class StoredWarehouse:
         """The stored table (the file listing is done once and reused)."""
         df = self._tables.get(name)
         if df is None or df.sparkSession is not self.spark:
-            df = self.spark.read.parquet(self.path(name))
+            df = _read(self.spark, self.path(name))
             if name == "fact_service_requests":
                 df = df.drop("submitted_year")
             self._tables[name] = df
@@ -84,11 +85,26 @@ class StoredWarehouse:
             self._views_for = self.spark
 
 
+# Schemas of the tables this process wrote, by path: reading them back with
+# the known schema skips the footer-reading job schema inference would run.
+_WRITTEN_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    # partition columns come back last, as discovered from the folder names
+    part = set(partition_by or [])
+    _WRITTEN_SCHEMAS[path] = T.StructType([f for f in df.schema.fields if f.name not in part]
+                                          + [f for f in df.schema.fields if f.name in part])
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    schema = _WRITTEN_SCHEMAS.get(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def _committed(spark: SparkSession, path: str) -> bool:
@@ -122,7 +138,7 @@ def load(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredWar
     """
     root = root or scratch_path(spark, "warehouse")
     src = SourceTables(spark, sf_dir)
-    read = spark.read.parquet
+    read = lambda path: _read(spark, path)
     at = lambda name: f"{root}/{name}"
     sizes: dict[str, int] = {}
 
