@@ -2,14 +2,20 @@
 
 Natural keys are resolved to surrogate keys through the three dimensions
 (inner joins, as the load does); the SLA allowance comes from ``dim_sla``
-itself, so the second lookup of the SLA row is not needed. Surveys join left
-on ``request_id`` after a uniqueness check would otherwise fan rows out
-(``quality.duplicate_keys``).
-
-Plan at scale: the dimension joins are broadcast (sizes checked), so the
-request rows stream through without a shuffle; the survey join is the one
-request-grain shuffle (sort-merge on ``request_id``, unique on both sides).
-Requests that fail a dimension lookup are returned separately
+itself, so the second lookup of the SLA row is not needed.
+
+Two forms, same rows (a test checks it):
+
+* ``build_fact`` — requests LEFT JOIN surveys on ``request_id``, for request
+  and survey tables supplied from outside. The survey side must be unique on
+  ``request_id`` (``quality.key_profile``) or rows fan out; at scale this join
+  is a sort-merge on ``request_id``, the one request-sized shuffle.
+* ``build_fact_from_staging`` — what the load uses: requests and surveys are
+  both projections of one staging row per order, so the survey columns are
+  computed in place and nothing request-sized is shuffled.
+
+In both, the dimension joins are broadcast (sizes checked), so request rows
+stream through. Requests that fail a dimension lookup are returned separately
 (``split_orphans``) rather than failing the load.
 """
 

@@ -1,6 +1,7 @@
 """KPI 1-5 as SQL text over the star-schema views (Q1-Q5).
 
-The statements keep the reference's shape, with three deliberate changes:
+The statements give the KPI definitions of SURVEY §2.8 (columns, grouping,
+filters, order), with three deliberate choices:
 rounding is ``floor(x*10^n + 0.5)/10^n`` on doubles (see
 ``functions.round_half_up``), averages cast their decimal input to double, and
 every ORDER BY states its NULL placement and a tie-break where a LIMIT depends
