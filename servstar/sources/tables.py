@@ -78,12 +78,16 @@ def seed_table(spark: SparkSession, name: str, rows: list[tuple | dict]) -> Data
 
 def resolve_codes(df: DataFrame, lookup: DataFrame, code_col: str, lookup_code: str,
                   id_col: str) -> DataFrame:
-    """Replace a natural code with its id from a small lookup table (J9): a
-    broadcast join, since code lookups are reference-table sized. Rows whose
+    """Replace a natural code with its id from a lookup table (J9). Code
+    lookups are reference-table sized, so the lookup is broadcast — after a
+    bounded size check; a large one is left to a sort-merge join. Rows whose
     code is unknown keep a NULL id."""
     from pyspark.sql import functions as F
-    m = lookup.select(F.col(lookup_code).alias("_code"), F.col(id_col).alias("_id"))
-    return (df.join(F.broadcast(m), df[code_col] == F.col("_code"), "left")
+
+    from servstar.operators.joins import broadcast_if_small
+    m = broadcast_if_small(lookup.select(F.col(lookup_code).alias("_code"),
+                                         F.col(id_col).alias("_id")))
+    return (df.join(m, df[code_col] == F.col("_code"), "left")
               .drop(code_col, "_code").withColumnRenamed("_id", id_col))
 
 
