@@ -168,6 +168,9 @@ def await_all(queries) -> None:
 # tasks per micro-batch for a few dozen keys). A department holding a large
 # share of events is combined per task before the shuffle.
 STATE_PARTITIONS = 8
+# Files per micro-batch: bounds the size of one batch when a large backlog is
+# drained (tests use 1 to force many batches).
+FILES_PER_TRIGGER = 64
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -213,14 +216,13 @@ class StreamRun:
         self.quarantine = f"{root}/quarantine"
         self.projected = f"{root}/projection"
         self.checkpoint = f"{root}/_checkpoints"
-        events = SourceTables(spark, sf_dir).table("events")
-        produce(encode(event_records(events)), self.messages)
+        src = SourceTables(spark, sf_dir)
+        produce(encode(event_records(src.spread(src.table("events")))), self.messages)
         self._done: set[str] = set()
         self._lock = threading.Lock()
 
     def _source(self, ss: SparkSession) -> DataFrame:
-        # a few files per micro-batch at most, so state spans several batches
-        return message_stream(ss, self.messages, files_per_trigger=2)
+        return message_stream(ss, self.messages, files_per_trigger=FILES_PER_TRIGGER)
 
     def _drain(self, which: str) -> None:
         with self._lock:
