@@ -4,8 +4,8 @@ Usage: python tests/oracle_check.py [SF_DIR] [name ...]
 
 Per query: row count, column names, and the multiset of rows, compared
 exactly (``repr`` of every value: float bits, decimal scale, timestamps);
-``strict=False`` normalises floats to 9 significant digits instead. Prints one line per query and exits non-zero on any
-mismatch.
+``strict=False`` normalises floats to 9 significant digits instead. Prints one
+line per query and exits non-zero on any mismatch.
 """
 
 from __future__ import annotations
