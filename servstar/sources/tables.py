@@ -52,10 +52,12 @@ class SourceTables:
         partition per core before the heavy work; a well-split input (the
         normal case at scale: a large table has far more splits than cores) is
         left untouched. Deciding costs planning only, no job."""
-        target = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() * 4 <= target:
-            return df.repartition(target)
-        return df
+        try:
+            target = self.spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
+            return df
+        return df.repartition(target) if splits * 4 <= target else df
 
 
 def seed_table(spark: SparkSession, name: str, rows: list[tuple | dict]) -> DataFrame:
