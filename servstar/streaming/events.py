@@ -10,8 +10,9 @@ per-department, per-priority and total counts of the reference are sums over
 its cells, so three summaries cost one state store bounded by the key domain
 (no watermark needed). ``availableNow`` drains what is there and stops (ST6);
 the checkpoint records progress (ST7), so a restart adds nothing. Each
-micro-batch overwrites the small sink table with the complete counts, which is
-idempotent when a batch is replayed after a failure. Messages that do not
+micro-batch writes the complete counts as a new snapshot of the small sink
+table (idempotent when a batch is replayed after a failure; readers take the
+newest committed snapshot, never a half-written one). Messages that do not
 decode, or lack department / priority, go to a quarantine sink instead of
 stopping the stream.
 """
@@ -123,18 +124,57 @@ def cell_counts(decoded: DataFrame) -> DataFrame:
                   .agg(F.count(F.lit(1)).alias("events"))
 
 
-def _overwrite_to(path: str):
+def _snapshot_to(path: str, keep: int = 2):
+    """foreachBatch writer: each micro-batch's complete state goes to its own
+    ``batch_id=<n>`` folder (a replayed batch rewrites only its own folder),
+    so a reader never sees a half-written table; older snapshots beyond
+    ``keep`` are removed after the new one commits."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(path)
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        for old in _snapshots(batch.sparkSession, path)[:-keep]:
+            _delete(batch.sparkSession, f"{path}/batch_id={old}")
     return write
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    """Committed snapshot batch ids under ``path``, ascending."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    ids = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and fs.exists(
+                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed snapshot of the count table."""
+    ids = _snapshots(spark, path)
+    if not ids:
+        raise FileNotFoundError(f"no committed snapshot under {path}")
+    return spark.read.parquet(f"{path}/batch_id={ids[-1]}")
+
+
 def start_counts(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str,
                  quarantine: str | None = None):
     """Start draining the stream into the cell-count table (and quarantine)."""
     decoded = decode(source)
     q = (cell_counts(decoded).writeStream.outputMode("complete")
-         .foreachBatch(_overwrite_to(sink))
+         .foreachBatch(_snapshot_to(sink))
          .option("checkpointLocation", f"{checkpoint}/counts")
          .trigger(availableNow=True).start())
     queries = [q]
@@ -240,6 +280,8 @@ class StreamRun:
 
     def table(self, which: str) -> DataFrame:
         self._drain("counts" if which in ("counts", "quarantine") else "projected")
+        if which == "counts":
+            return read_counts(self.spark, self.counts)
         return self.spark.read.parquet(getattr(self, which))
 
 

@@ -30,17 +30,18 @@ def test_batches_equal_batch_count_and_restart_adds_nothing(spark):
     root = scratch_path(spark, "stream-test")
     qs = _drain(spark, path, f"{root}/counts", f"{root}/ckpt", per_trigger=1)
     assert len(qs[0].recentProgress) >= 6           # one file per micro-batch
+    assert len(ev._snapshots(spark, f"{root}/counts")) <= 2   # old snapshots removed
     got = {(r.department, r.priority): r.events
-           for r in spark.read.parquet(f"{root}/counts").collect()}
+           for r in ev.read_counts(spark, f"{root}/counts").collect()}
     want = {(r.department, r.priority): r["count"]
             for r in recs.groupBy("department", "priority").count().collect()}
     assert got == want
     # restart: nothing new, same table
     _drain(spark, path, f"{root}/counts", f"{root}/ckpt", per_trigger=1)
     again = {(r.department, r.priority): r.events
-             for r in spark.read.parquet(f"{root}/counts").collect()}
+             for r in ev.read_counts(spark, f"{root}/counts").collect()}
     assert again == want
-    tot = ev.total(spark.read.parquet(f"{root}/counts")).first().total_events
+    tot = ev.total(ev.read_counts(spark, f"{root}/counts")).first().total_events
     assert tot == recs.count()
 
 
@@ -53,7 +54,7 @@ def test_bad_messages_go_to_quarantine(spark):
     root = scratch_path(spark, "stream-bad")
     _drain(spark, path, f"{root}/counts", f"{root}/ckpt", per_trigger=None,
            quarantine=f"{root}/quarantine")
-    counts = spark.read.parquet(f"{root}/counts").collect()
+    counts = ev.read_counts(spark, f"{root}/counts").collect()
     assert [(r.department, r.priority, r.events) for r in counts] == [("D1", "HIGH", 1)]
     bad = sorted(r.raw for r in spark.read.parquet(f"{root}/quarantine").collect())
     assert bad == ['{"event_id":"3"}', "{broken"]
@@ -77,13 +78,13 @@ def test_new_messages_after_restart_are_counted_once(spark):
     root = scratch_path(spark, "stream-grow")
     ev.produce(ev.encode(first).repartition(3), path)
     _drain(spark, path, f"{root}/counts", f"{root}/ckpt", per_trigger=1)
-    mid = ev.total(spark.read.parquet(f"{root}/counts")).first().total_events
+    mid = ev.total(ev.read_counts(spark, f"{root}/counts")).first().total_events
     assert mid == first.count()
     ev.produce(ev.encode(second).repartition(3), path)      # more messages arrive
     _drain(spark, path, f"{root}/counts", f"{root}/ckpt", per_trigger=1)
-    end = ev.total(spark.read.parquet(f"{root}/counts")).first().total_events
+    end = ev.total(ev.read_counts(spark, f"{root}/counts")).first().total_events
     assert end == recs.count()
     got = {r.department: r.events for r in ev.by_department(
-        spark.read.parquet(f"{root}/counts")).collect()}
+        ev.read_counts(spark, f"{root}/counts")).collect()}
     want = {r.department: r["count"] for r in recs.groupBy("department").count().collect()}
     assert got == want
