@@ -203,16 +203,25 @@ def load(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredWar
 
 
 _LOADED: dict[tuple[str, str], StoredWarehouse] = {}
+_BOUND: dict[tuple[int, str, str], StoredWarehouse] = {}
 _LOCK = threading.Lock()
 _VIEWS_LOCK = threading.Lock()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> StoredWarehouse:
-    """The stored warehouse for ``sf_dir``, loaded once per Spark application."""
+    """The stored warehouse for ``sf_dir``: loaded once per Spark application,
+    with table handles and views bound to the calling session (sessions of one
+    application share the written tables, not their temp views)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         wh = _LOADED.get(key)
         if wh is None:
             wh = load(spark, sf_dir)
             _LOADED[key] = wh
-        return wh
+        if wh.spark is spark:
+            return wh
+        bound = _BOUND.get((id(spark),) + key)
+        if bound is None or bound.spark is not spark:
+            bound = StoredWarehouse(spark, wh.root, wh.sizes)
+            _BOUND[(id(spark),) + key] = bound
+        return bound

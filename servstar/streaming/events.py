@@ -295,21 +295,30 @@ def stream_run(spark: SparkSession, sf_dir: str) -> StreamRun:
         return run
 
 
+def _table(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """A sink of the folder's stream run, read through the calling session."""
+    run = stream_run(spark, sf_dir)
+    run.table(which)  # drains the consumer on first use
+    if which == "counts":
+        return read_counts(spark, run.counts)
+    return spark.read.parquet(getattr(run, which))
+
+
 # -- registry adapters ---------------------------------------------------------------
 def stream_by_department(spark, sf_dir):
-    return by_department(stream_run(spark, sf_dir).table("counts"))
+    return by_department(_table(spark, sf_dir, "counts"))
 
 
 def stream_by_priority(spark, sf_dir):
-    return by_priority(stream_run(spark, sf_dir).table("counts"))
+    return by_priority(_table(spark, sf_dir, "counts"))
 
 
 def stream_total(spark, sf_dir):
-    return total(stream_run(spark, sf_dir).table("counts"))
+    return total(_table(spark, sf_dir, "counts"))
 
 
 def stream_projection(spark, sf_dir):
-    df = stream_run(spark, sf_dir).table("projected")
+    df = _table(spark, sf_dir, "projected")
     return df.select("request_ref", "department", "service_type", "priority",
                      F.col("event_time").cast("timestamp_ntz").alias("event_time"))
 

@@ -35,3 +35,15 @@ def test_queries_match_duckdb(spark, group):
     }
     pick["other"] = [n for n in names if n not in pick["kpi"] + pick["dim"]]
     assert oracle_check.compare(spark, SF0001, pick[group], verbose=False) == []
+
+
+def test_queries_from_a_second_session(spark):
+    """Another session of the same application reuses the written tables and
+    gets its own views."""
+    from __spark_entry__ import queries
+    other = spark.newSession()
+    q = queries()
+    for name in ("kpi1_resolution_sql", "kpi2_sla_frame", "stream_total"):
+        a = sorted(map(tuple, q[name](spark, SF0001).collect()))
+        b = sorted(map(tuple, q[name](other, SF0001).collect()))
+        assert a == b and a
