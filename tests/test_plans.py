@@ -61,3 +61,12 @@ def test_line_aggregate_combines_map_side(spark):
     from servstar.sources.tables import SourceTables
     plan = _plan(binding.order_lines(SourceTables(spark, SF0001)))
     assert plan.count("ObjectHashAggregate") >= 2 and "partial_collect_set" in plan
+
+
+def test_orphan_report_scans_the_fact_once(spark):
+    from __spark_entry__ import queries
+    df = queries()["dq_orphans"](spark, SF0001)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    scans = [ln for ln in final.splitlines() if "FileScan" in ln and "submitted_year" in ln]
+    assert len(scans) == 1        # four foreign keys, one pass
