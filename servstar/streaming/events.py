@@ -179,14 +179,18 @@ def start_counts(spark: SparkSession, source: DataFrame, sink: str, checkpoint:
          .trigger(availableNow=True).start())
     queries = [q]
     if quarantine:
-        bad = decoded.where(~F.col("_ok")).select("raw")
-        queries.append(bad.writeStream.format("parquet").outputMode("append")
-                       .option("path", quarantine)
-                       .option("checkpointLocation", f"{checkpoint}/quarantine")
-                       .trigger(availableNow=True).start())
+        queries.append(start_quarantine(spark, source, quarantine, f"{checkpoint}/quarantine"))
     return queries
 
 
+def start_quarantine(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str):
+    """Messages that do not decode, or lack department / priority, kept raw."""
+    bad = decode(source).where(~F.col("_ok")).select("raw")
+    return (bad.writeStream.format("parquet").outputMode("append")
+            .option("path", sink).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def start_projection(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str):
     return (projection(decode(source)).writeStream.format("parquet").outputMode("append")
             .option("path", sink).option("checkpointLocation", checkpoint)
@@ -243,9 +247,10 @@ _LOCK = threading.Lock()
 class StreamRun:
     """Messages produced from ``events`` of one folder, and the consumer sinks.
 
-    The messages are published once; each consumer (the count query with its
-    quarantine, the per-event projection) is drained on first use, so a
-    summary does not pay for the projection and the other way round.
+    The messages are published once; each consumer (the count query; the
+    per-event projection with the quarantine of unreadable messages) is
+    drained on first use, so a summary does not pay for the per-event outputs
+    and the other way round.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -270,16 +275,17 @@ class StreamRun:
                 return
             ss = stream_session(self.spark)
             if which == "counts":
-                queries = start_counts(ss, self._source(ss), self.counts, self.checkpoint,
-                                       self.quarantine)
-            else:
+                queries = start_counts(ss, self._source(ss), self.counts, self.checkpoint)
+            else:  # the per-event consumer also keeps the messages it cannot read
                 queries = [start_projection(ss, self._source(ss), self.projected,
-                                            f"{self.checkpoint}/projection")]
+                                            f"{self.checkpoint}/projection"),
+                           start_quarantine(ss, self._source(ss), self.quarantine,
+                                            f"{self.checkpoint}/quarantine")]
             await_all(queries)
             self._done.add(which)
 
     def table(self, which: str) -> DataFrame:
-        self._drain("counts" if which in ("counts", "quarantine") else "projected")
+        self._drain("counts" if which == "counts" else "projected")
         if which == "counts":
             return read_counts(self.spark, self.counts)
         return self.spark.read.parquet(getattr(self, which))
