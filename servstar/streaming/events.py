@@ -32,7 +32,7 @@ from servstar.sources.tables import SourceTables
 # Fixed values of the event record.
 EVENT_TYPE = "SERVICE_REQUEST_CREATED"
 EVENT_STATUS = "SUBMITTED"
-KAFKA_TOPIC = "sdd-service-requests"
+KAFKA_TOPIC = "service-requests"   # default; pass topic= for another one
 
 EVENT_FIELDS = [f.name for f in schemas.EVENT.fields]
 
@@ -82,11 +82,11 @@ def decode(messages: DataFrame) -> DataFrame:
 
 
 def produce(messages: DataFrame, path: str | None = None,
-            kafka_options: dict | None = None) -> None:
+            kafka_options: dict | None = None, topic: str = KAFKA_TOPIC) -> None:
     """Publish encoded messages: Kafka when ``kafka_options`` (with
     ``kafka.bootstrap.servers``) is given, else JSON-lines files at ``path``."""
     if kafka_options:
-        w = messages.write.format("kafka").option("topic", KAFKA_TOPIC)
+        w = messages.write.format("kafka").option("topic", topic)
         for k, v in kafka_options.items():
             w = w.option(k, v)
         w.save()
@@ -96,10 +96,11 @@ def produce(messages: DataFrame, path: str | None = None,
 
 def message_stream(spark: SparkSession, path: str | None = None,
                    kafka_options: dict | None = None,
-                   files_per_trigger: int | None = None) -> DataFrame:
+                   files_per_trigger: int | None = None,
+                   topic: str = KAFKA_TOPIC) -> DataFrame:
     """Streaming DataFrame of raw messages (``value``) from the earliest offset."""
     if kafka_options:
-        r = (spark.readStream.format("kafka").option("subscribe", KAFKA_TOPIC)
+        r = (spark.readStream.format("kafka").option("subscribe", topic)
              .option("startingOffsets", "earliest"))
         for k, v in kafka_options.items():
             r = r.option(k, v)
