@@ -126,11 +126,11 @@ def test_defaults_apply_only_to_absent_columns(spark):
 
 def test_seed_table_and_code_lookup(spark):
     from servstar.sources.tables import resolve_codes, seed_table
-    depts = seed_table(spark, "departments", [(1, "HLTH", "Ministry of Health", "Health"),
-                                              (2, "TRAN", "Ministry of Transport", None)])
+    depts = seed_table(spark, "departments", [(1, "DEPA", "Ministry of Health", "Health"),
+                                              (2, "DEPB", "Ministry of Transport", None)])
     assert depts.columns[:4] == ["department_id", "department_code", "department_name",
                                  "department_sector"]
-    svc = spark.createDataFrame([("S1", "HLTH"), ("S2", "TRAN"), ("S3", "NONE")],
+    svc = spark.createDataFrame([("S1", "DEPA"), ("S2", "DEPB"), ("S3", "NONE")],
                                 "service_code string, department_code string")
     got = {r.service_code: r.department_id
            for r in resolve_codes(svc, depts, "department_code", "department_code",
