@@ -27,7 +27,10 @@ DEFAULT_CONF = {
 def build_session(master: str | None = None, app: str = "servstar",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Local or cluster session with the settings every job here assumes."""
+    """A session for the CLI, bench and tests. Library functions take any
+    SparkSession and give the same results without these settings (checked in
+    a plain session with another time zone and ANSI off); they are runtime
+    choices: UTC, AQE with skew-join splitting, no UI."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -38,17 +41,7 @@ def build_session(master: str | None = None, app: str = "servstar",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    # a session that already existed keeps its (cluster) settings; fill in
-    # only what it leaves unset
-    for k, v in DEFAULT_CONF.items():
-        if spark.conf.get(k, None) is None:
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static settings cannot change after start
-                pass
     spark.sparkContext.setLogLevel("ERROR")
-    # session-level settings may be ignored by getOrCreate on an existing session
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     storage_root(spark)
     return spark
 
