@@ -181,3 +181,17 @@ def test_load_twice_resumes_and_keeps_counts(spark):
     assert counts1 == counts2 and counts1["fact_service_requests"] > 0
     assert {n: os.path.getmtime(f"{local_path(root)}/{n}/_SUCCESS") for n in names} == stamps
     assert second.sizes == first.sizes        # dimension sizes recovered by bounded reads
+
+
+def test_two_key_profile_in_one_scan_matches_per_key(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (None, "c"), (3, None), (3, None)],
+                               "k long, code string")
+    both = {r.key_columns: tuple(r)[2:]
+            for r in quality.table_key_profiles(df, "t", [["k"], ["code"]]).collect()}
+    one = {key[0]: tuple(quality.key_profile(df, "t", key).first())[2:]
+           for key in (["k"], ["code"])}
+    assert both == one
+    assert both["k"] == (6, 4, 1, 2, 4) and both["code"] == (6, 4, 2, 2, 4)
+    plan = quality.table_key_profiles(df, "t", [["k"], ["code"]])._jdf.queryExecution() \
+                  .executedPlan().toString()
+    assert "Expand" in plan
