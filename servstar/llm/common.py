@@ -49,6 +49,15 @@ def with_results(df: DataFrame, results: dict) -> DataFrame:
     return df.select(*kept, *[c.alias(k) for k, c in results.items()])
 
 
+def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(did, t32, text, doc_id): ``did`` is the id, or for a NULL id a number above 2**62
+    made from the text, so NULL ids come last and apart; ``t32`` tells rows that share an id but not a text."""
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    late = F.lit((1 << 63) - 1) - F.xxhash64(t).bitwiseAND(F.lit((1 << 62) - 1))
+    return docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), late).alias("did"), F.hash(t).alias("t32"),
+                       t.alias("text"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"))
+
+
 def word_count(text):
     """Number of maximal runs of non-space characters (NULL: 0)."""
     t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from servstar.llm import exact_dedup, mixing, sharding
+from servstar.llm import exact_dedup, mixing, packing, quality, sharding, simhash
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
+    "op3_packing": packing.op3_packing,
     "op5_mixing": mixing.op5_mixing,
+    "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_hilbert_sharding": sharding.op7_hilbert_sharding,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
