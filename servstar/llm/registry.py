@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from servstar.llm import exact_dedup, mixing, packing, quality, sharding, simhash
+from servstar.llm import exact_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -10,9 +10,12 @@ QUERIES = {
     "op5_mixing": mixing.op5_mixing,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_hilbert_sharding": sharding.op7_hilbert_sharding,
+    "op8_suffix_radix": suffix_dedup.op8_suffix_radix,
+    "op9_difference_cover": substring_dedup.op9_difference_cover,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLE_SQL = {
     "op5_mixing": mixing.ORACLE,
+    "op9_difference_cover": substring_dedup.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
