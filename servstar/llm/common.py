@@ -58,6 +58,15 @@ def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                        t.alias("text"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"))
 
 
+def hash_sample(df: DataFrame, rows: int, *columns) -> DataFrame:
+    """About ``rows`` rows (all, if there are fewer): those with the smallest hashes of
+    ``columns``. A filter, so nothing is gathered; the same rows each time."""
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.filter(F.xxhash64(*columns) < F.lit(int(rows / total * (1 << 64)) - (1 << 63)))
+
+
 def word_count(text):
     """Number of maximal runs of non-space characters (NULL: 0)."""
     t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))

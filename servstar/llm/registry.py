@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from servstar.llm import exact_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, suffix_dedup
+from servstar.llm import exact_dedup, lattice, mixing, packing, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_lattice": lattice.op2_lattice,
     "op3_packing": packing.op3_packing,
+    "op4_markov_secrets": secrets.op4_markov_secrets,
     "op5_mixing": mixing.op5_mixing,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op7_hilbert_sharding": sharding.op7_hilbert_sharding,
@@ -15,6 +17,7 @@ QUERIES = {
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLE_SQL = {
+    "op2_lattice": lattice.ORACLE,
     "op5_mixing": mixing.ORACLE,
     "op9_difference_cover": substring_dedup.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
