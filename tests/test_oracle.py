@@ -9,8 +9,8 @@ from conftest import SF0001
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
-    missing = sorted(set(queries()) - set(oracle_sql()))
+    from servstar.registry import ORACLE_SQL, QUERIES
+    missing = sorted(set(QUERIES) - set(ORACLE_SQL))
     assert missing == []
 
 
@@ -26,8 +26,8 @@ def test_entry_runs(spark):
 @pytest.mark.parametrize("group", ["kpi", "dim", "other"])
 def test_queries_match_duckdb(spark, group):
     import oracle_check
-    from __spark_entry__ import queries
-    names = sorted(queries())
+    from servstar.registry import QUERIES
+    names = sorted(QUERIES)
     pick = {
         "kpi": [n for n in names if n.startswith(("kpi", "mart_", "load_"))],
         "dim": [n for n in names if n.startswith(("dim_", "fact_", "sla_"))
