@@ -30,7 +30,11 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-.
 RANDOM_TEXTS, ORDINARY_TEXTS = 20_000, 2_000
 SMOOTHING = 0.5
 #: Natural logarithm of the likelihood ratio, in all and per character, from which on a token is a secret.
-LEAST_RATIO, LEAST_MEAN = 12.0, 0.4
+LEAST_RATIO, LEAST_MEAN = 12.0, 0.75
+
+
+def named(**fields):
+    return F.named_struct(*[x for k, v in fields.items() for x in (F.lit(k), v)])
 
 
 def found(text, kind: str, pattern: str, order: int, keep):
@@ -43,14 +47,13 @@ def found(text, kind: str, pattern: str, order: int, keep):
     def step(acc, x):
         start = acc["at"] + F.length(x["b"])
         end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.when(keep(x["m"]), F.concat(acc["out"], F.array(F.struct(
-            start.alias("start"), F.lit(order).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"),
-            x["m"].alias("value"))))).otherwise(acc["out"]).alias("out"))
+        span = named(start=start, rank=F.lit(order), end=end, kind=F.lit(kind), value=x["m"])
+        return named(at=end, out=F.when(keep(x["m"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]))
 
     kind_of = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
     none = F.array().cast(kind_of)
-    pairs = F.zip_with(F.slice(between, 1, F.size(match)), match, lambda b, m: F.struct(b.alias("b"), m.alias("m")))
-    every = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    pairs = F.zip_with(F.slice(between, 1, F.size(match)), match, lambda b, m: named(b=b, m=m))
+    every = F.aggregate(pairs, named(at=F.lit(0), out=none), step, lambda acc: acc["out"])
     return F.when(F.size(match) > 0, every.cast(kind_of)).otherwise(none)
 
 
@@ -84,7 +87,7 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", random_te
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     random = hash_sample(rows, random_texts, "doc_id", "text").select(
         F.lit(1).alias("model"), F.explode(base_spans(F.col("text"))).alias("s")).select("model", secret_value(F.col("s")).alias("v"))
-    words = hash_sample(rows, ordinary_texts, "doc_id", "text").select(base_spans(F.col("text")).alias("base"), F.explode(
+    words = hash_sample(rows, ordinary_texts, "doc_id", "text").withColumn("base", base_spans(F.col("text"))).select("base", F.explode(
         F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("v")) \
         .filter(~F.exists("base", lambda s: F.contains(s["value"], F.col("v")))).select(F.lit(0).alias("model"), "v")
     codes = F.transform(F.split("v", ""), lambda c: F.instr(F.lit(ALPHABET), c))
