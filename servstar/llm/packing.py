@@ -37,31 +37,52 @@ def word_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
     """Texts to ids (little-endian unsigned 32-bit) by the tokenizer file ``path``.
 
     The file's pre-tokenizer drops white space and no token spans it, so ids are those of the
-    words one by one; each distinct word is encoded once per worker. Texts with the
-    control characters that Python, but not the tokenizer, takes for white space are encoded whole."""
+    words one by one; each distinct word is encoded once per worker. Words of Latin letters, digits and
+    signs skip the normaliser, which only lower-cases them, and go piece by piece to the tokenizer's
+    BPE model; all others take the whole tokenizer. Texts with the control characters
+    that Python, but not the tokenizer, takes for white space are encoded whole."""
+    import regex
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     # Kept for the tasks that follow in the same Python worker.
     worker = sys.modules.setdefault("_servstar_worker", types.ModuleType("_servstar_worker"))
     if path not in worker.__dict__:
         from tokenizers import Tokenizer
-        worker.__dict__[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = worker.__dict__[path]
+        worker.__dict__[path] = (Tokenizer.from_file(path), {}, {})
+    tokenizer, known, known_pieces = worker.__dict__[path]
     encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+    bpe = tokenizer.model.tokenize
+    pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+    # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
+    plain = [c for c in range(256) if 33 <= c <= 126 or 161 <= c <= 172 or 174 <= c]
+    alphabet = {c: chr(c) for c in plain} | {c: chr(256 + k) for k, c in enumerate(sorted(set(range(256)) - set(plain)))}
 
     def ids_of(texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
+
+    def latin(word: str) -> bytes:
+        out = []
+        for p in pieces(word.lower()):
+            got = known_pieces.get(p)
+            if got is None:
+                got = np.array([t.id for t in bpe(p.encode().decode("latin-1").translate(alphabet))], dtype="<u4").tobytes()
+                if len(known_pieces) < CACHE_WORDS:
+                    known_pieces[p] = got
+            out.append(got)
+        return b"".join(out)
 
     def tokenize(texts: list[str]) -> list[bytes]:
         whole = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         split = [[] if w else t.split() for t, w in zip(texts, whole)]
-        new = list({w for words in split for w in words if w not in known})
-        fresh = dict(zip(new, ids_of(new)))
-        room = CACHE_WORDS - len(known)
-        for w in new[:max(0, room)]:
+        got = [list(map(known.get, words)) for words in split]
+        new = {w for words, g in zip(split, got) if None in g for w, x in zip(words, g) if x is None}
+        fresh = {w: latin(w) for w in new if max(w) < "\u0250" and "<|" not in w}
+        rest = list(new - fresh.keys())
+        fresh.update(zip(rest, ids_of(rest)))
+        for w in list(fresh)[:max(0, CACHE_WORDS - len(known))]:
             known[w] = fresh[w]
-        get = fresh.get
-        return [ids_of([t])[0] if w else b"".join([known[x] if x in known else get(x) for x in words])
-                for t, w, words in zip(texts, whole, split)]
+        return [ids_of([t])[0] if w else b"".join(
+                    [fresh[x] if y is None else y for x, y in zip(words, g)] if None in g else g)
+                for t, w, words, g in zip(texts, whole, split, got)]
 
     return tokenize
 
