@@ -71,6 +71,16 @@ def round_half_up_sql(expr: str, digits: int) -> str:
             f" / CAST({scale} AS DOUBLE))")
 
 
+def round_half_even(c, digits: int) -> Column:
+    """Rounding of a double with ties to even, ``rint(x*10^n) / 10^n``: the rule
+    of the frame KPIs (3.125 gives 3.12)."""
+    scale = float(10 ** digits)
+    return F.rint(_c(c).cast("double") * F.lit(scale)) / F.lit(scale)
+
+
+__all__.append("round_half_even")
+
+
 def half_point(c) -> Column:
     """Nearest half point, ties up: ``floor(2x + 0.5) / 2``.
 

@@ -4,8 +4,8 @@ The reference names these five steps without defining them; the semantics here
 are ours:
 
 * N1 ``extract_since``   — incremental extract on a monotonically growing key:
-  rows above the last extracted maximum, which is kept as a one-row state
-  table next to the target (like a maximum-value column).
+  rows above the last extracted maximum, which is read from the committed
+  runs of the target.
 * N2 ``validate_json``   — pull fields out of JSON text with
   ``get_json_object`` and flag records that miss a required field.
 * N3 ``sla_flag``        — 1 when the request was completed by its deadline.
@@ -22,36 +22,36 @@ from pyspark.sql import types as T
 
 from servstar.plans.warehouse import warehouse
 from servstar.session import scratch_path
-from servstar.sources.tables import SourceTables, read_or_none
-from servstar.streaming.events import encode, event_records
+from servstar.sources.tables import SourceTables
+from servstar.streaming.events import encode, event_records, folder_numbers
 
 
 # -- N1 -----------------------------------------------------------------------------
-def extract_since(spark: SparkSession, source: DataFrame, key: str, target: str,
-                  state: str) -> tuple[int, object]:
-    """Append rows of ``source`` with ``key`` above the stored maximum to
+def committed_runs(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the runs whose write committed."""
+    return folder_numbers(spark, target, "run=")
+
+
+def extract_since(spark: SparkSession, source: DataFrame, key: str, target: str) -> tuple[int, object]:
+    """Append rows of ``source`` with ``key`` above the extracted maximum to
     ``target``; returns (rows appended, maximum after the run).
 
     Each run writes one partition ``run=<n>`` of ``target`` in a single pass;
-    the row count and new maximum are observed during that write. The state
-    (last maximum, last run) advances only after the write commits, so a run
-    that fails is retried under the same run number and overwrites its own
-    partition: no row is extracted twice.
+    the row count and new maximum are observed during that write. Progress is
+    read from the committed runs themselves, so there is no state that can be
+    lost or run ahead: a run that fails is retried under the same number and
+    overwrites its own partition. Rows that arrive late with a smaller key are
+    not extracted; the key must grow monotonically.
     """
-    prev = read_or_none(spark, state)
-    last, run = (None, 0)
-    if prev is not None:
-        row = prev.first()
-        last, run = row["max_key"], row["run"]
+    runs = committed_runs(spark, target)
+    last = None
+    if runs:
+        last = spark.read.schema(source.schema).parquet(*[f"{target}/run={n}" for n in runs]).agg(F.max(key)).first()[0]
     batch = source if last is None else source.where(F.col(key) > F.lit(last))
     obs = Observation("extract")
     batch = batch.observe(obs, F.count(F.lit(1)).alias("n"), F.max(key).alias("max_key"))
-    batch.write.mode("overwrite").parquet(f"{target}/run={run + 1}")
+    batch.write.mode("overwrite").parquet(f"{target}/run={runs[-1] + 1 if runs else 1}")
     n, new_max = obs.get["n"], obs.get["max_key"]
-    if n:
-        spark.createDataFrame([(new_max, run + 1)], T.StructType(
-            [T.StructField("max_key", source.schema[key].dataType),
-             T.StructField("run", T.IntegerType())])).write.mode("overwrite").parquet(state)
     return n, (new_max if n else last)
 
 
@@ -67,7 +67,7 @@ def incremental_extract(spark, sf_dir):
     root = scratch_path(spark, "extract")
     runs = []
     for run in (1, 2):
-        n, mx = extract_since(spark, requests, "request_id", f"{root}/target", f"{root}/state")
+        n, mx = extract_since(spark, requests, "request_id", f"{root}/target")
         runs.append((run, int(n), mx))
     data = extracted(spark, f"{root}/target")
     total = data.agg(F.count(F.lit(1)).alias("target_rows"))

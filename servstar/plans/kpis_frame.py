@@ -3,7 +3,7 @@
 These follow the frame variant of each KPI where it differs from the SQL one
 (SURVEY §2.13): no NULL-resolution filter in KPI 1, no category in KPI 2,
 flag *means* (NULL flags leave the denominator) in KPI 3 and the trend, the
-band taken on the rounded average with short labels, and NULL group keys
+band taken on the rounded average with short labels, ties rounded to even, and NULL group keys
 dropped.
 
 Every function takes DataFrames, so the same code runs on the stored
@@ -17,12 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servstar.functions.expr import round_half_up, satisfaction_band
+from servstar.functions.expr import round_half_even, satisfaction_band
 from servstar.plans.warehouse import warehouse
 
 
 def _hours(agg_col) -> F.Column:
-    return round_half_up(agg_col / F.lit(60.0), 2)
+    return round_half_even(agg_col / F.lit(60.0), 2)
 
 
 def _dbl(name: str) -> F.Column:
@@ -60,7 +60,7 @@ def kpi2_sla(fact: DataFrame, dim_time: DataFrame, dim_service_type: DataFrame)
     agg = df.groupBy(*keys).agg(
         F.count("fact_id").alias("total_requests"),
         F.coalesce(F.sum("sla_compliant_flag"), F.lit(0)).cast("long").alias("compliant_count"))
-    pct = round_half_up(F.col("compliant_count").cast("double")
+    pct = round_half_even(F.col("compliant_count").cast("double")
                         / F.col("total_requests").cast("double") * F.lit(100.0), 2)
     return (agg.withColumn("sla_compliance_pct", pct)
                .orderBy("year_num", "month_num", "service_name"))
@@ -77,10 +77,10 @@ def kpi3_satisfaction(fact: DataFrame, dim_department: DataFrame,
     df = _non_null_keys(surveyed.join(d, "dept_key").join(s, "service_key"), keys)
     agg = df.groupBy(*keys).agg(
         F.count("fact_id").alias("total_requests"),
-        round_half_up(F.avg(_dbl("satisfaction_score")), 2).alias("avg_satisfaction"),
-        round_half_up(F.avg(_dbl("ease_of_use_score")), 2).alias("avg_ease_of_use"),
-        round_half_up(F.avg(_dbl("response_speed_score")), 2).alias("avg_response_speed"),
-        round_half_up(F.avg(_dbl("sla_compliant_flag")) * F.lit(100.0), 2)
+        round_half_even(F.avg(_dbl("satisfaction_score")), 2).alias("avg_satisfaction"),
+        round_half_even(F.avg(_dbl("ease_of_use_score")), 2).alias("avg_ease_of_use"),
+        round_half_even(F.avg(_dbl("response_speed_score")), 2).alias("avg_response_speed"),
+        round_half_even(F.avg(_dbl("sla_compliant_flag")) * F.lit(100.0), 2)
         .alias("sla_compliance_pct"))
     return (agg.withColumn("satisfaction_band", satisfaction_band("avg_satisfaction"))
                .orderBy(F.desc_nulls_last("avg_satisfaction"), *keys))
@@ -94,9 +94,9 @@ def kpi4_trend(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
                         .join(t, "time_key"), keys)
     return (df.groupBy(*keys).agg(
                 F.count("fact_id").alias("total_requests"),
-                round_half_up(F.avg(_dbl("sla_compliant_flag")) * F.lit(100.0), 2)
+                round_half_even(F.avg(_dbl("sla_compliant_flag")) * F.lit(100.0), 2)
                 .alias("sla_compliance_pct"),
-                round_half_up(F.avg(_dbl("satisfaction_score")), 2).alias("avg_satisfaction"),
+                round_half_even(F.avg(_dbl("satisfaction_score")), 2).alias("avg_satisfaction"),
                 _hours(F.avg(_dbl("resolution_minutes"))).alias("avg_resolution_hours"))
               .orderBy("year_num", "month_num"))
 

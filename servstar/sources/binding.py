@@ -20,8 +20,7 @@ Rules (pure column expressions plus joins and aggregations; see FIXTURES.md):
 narrow projections of it.
 
 Scale notes. ``order_lines`` is the only lineitem-sized step: one shuffle by
-order key, after a map-side partial aggregate (lineitem and orders pass through
-``SourceTables.spread``, which only acts on inputs split into too few tasks). Its per-order state is bounded
+order key, after a map-side partial aggregate. Its per-order state is bounded
 (a set of distinct ship *days*, plus sums), so an order holding a large share of
 all lines still collapses map-side and cannot pin one task. Customer and part
 lookups are key joins left to the planner (broadcast when small, sort-merge with
@@ -70,8 +69,8 @@ def service_catalog(src: SourceTables) -> DataFrame:
 
 def order_lines(src: SourceTables) -> DataFrame:
     """Per order key: smallest part key, distinct ship days, returned-line sums."""
-    li = src.spread(src.table("lineitem", "l_orderkey", "l_partkey", "l_shipdate",
-                              "l_returnflag", "l_quantity", "l_discount", "l_tax"))
+    li = src.table("lineitem", "l_orderkey", "l_partkey", "l_shipdate",
+                              "l_returnflag", "l_quantity", "l_discount", "l_tax")
     ret = F.col("l_returnflag") == "R"
     return li.groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("first_partkey"),
@@ -96,8 +95,8 @@ def request_staging(src: SourceTables, lines: DataFrame | None = None,
     shuffled once (into the order join) instead of once per consumer."""
     lines = order_lines(src) if lines is None else lines
     catalog = service_catalog(src) if catalog is None else catalog
-    orders = src.spread(src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus",
-                                  "o_orderdate", "o_orderpriority"))
+    orders = src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus",
+                                  "o_orderdate", "o_orderpriority")
     cust = src.table("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     part = src.table("part", "p_partkey", "p_type")
     types = catalog.select(F.col("service_code").alias("p_type"), "service_type_id")

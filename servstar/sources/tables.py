@@ -44,21 +44,6 @@ class SourceTables:
             self._scans[name] = df
         return df.select(*columns) if columns else df
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """Guard against under-split inputs: parquet is split at row-group
-        boundaries, so a file written as one large row group is read by one
-        task however big it is. When a scan would keep at most a quarter of
-        the cluster's cores busy, its rows are dealt round-robin to one
-        partition per core before the heavy work; a well-split input (the
-        normal case at scale: a large table has far more splits than cores) is
-        left untouched. Deciding costs planning only, no job."""
-        try:
-            target = self.spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
-            return df
-        return df.repartition(target) if splits * 4 <= target else df
-
 
 def seed_table(spark: SparkSession, name: str, rows: list[tuple | dict]) -> DataFrame:
     """Small reference rows from literals with the table's declared shape (IO8):

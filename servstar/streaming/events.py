@@ -143,20 +143,25 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Committed snapshot batch ids under ``path``, ascending."""
+def folder_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the committed ``<prefix><number>`` folders under ``path``, ascending."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return []
     ids = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("batch_id=") and fs.exists(
+        if name.startswith(prefix) and fs.exists(
                 spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            ids.append(int(name.split("=", 1)[1]))
+            ids.append(int(name[len(prefix):]))
     return sorted(ids)
 
 
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    """Committed snapshot batch ids under ``path``, ascending."""
+    return folder_numbers(spark, path, "batch_id=")
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
@@ -248,10 +253,9 @@ _LOCK = threading.Lock()
 class StreamRun:
     """Messages produced from ``events`` of one folder, and the consumer sinks.
 
-    The messages are published once; each consumer (the count query; the
-    per-event projection with the quarantine of unreadable messages) is
-    drained on first use, so a summary does not pay for the per-event outputs
-    and the other way round.
+    The messages are published once; each consumer (the count query with the
+    quarantine of unreadable messages; the per-event projection) is drained on
+    first use, so no summary loses a message without a trace.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -263,7 +267,7 @@ class StreamRun:
         self.projected = f"{root}/projection"
         self.checkpoint = f"{root}/_checkpoints"
         src = SourceTables(spark, sf_dir)
-        produce(encode(event_records(src.spread(src.table("events")))), self.messages)
+        produce(encode(event_records(src.table("events"))), self.messages)
         self._done: set[str] = set()
         self._lock = threading.Lock()
 
@@ -276,17 +280,15 @@ class StreamRun:
                 return
             ss = stream_session(self.spark)
             if which == "counts":
-                queries = start_counts(ss, self._source(ss), self.counts, self.checkpoint)
-            else:  # the per-event consumer also keeps the messages it cannot read
+                queries = start_counts(ss, self._source(ss), self.counts, self.checkpoint, self.quarantine)
+            else:
                 queries = [start_projection(ss, self._source(ss), self.projected,
-                                            f"{self.checkpoint}/projection"),
-                           start_quarantine(ss, self._source(ss), self.quarantine,
-                                            f"{self.checkpoint}/quarantine")]
+                                            f"{self.checkpoint}/projection")]
             await_all(queries)
             self._done.add(which)
 
     def table(self, which: str) -> DataFrame:
-        self._drain("counts" if which == "counts" else "projected")
+        self._drain("projected" if which == "projected" else "counts")
         if which == "counts":
             return read_counts(self.spark, self.counts)
         return self.spark.read.parquet(getattr(self, which))

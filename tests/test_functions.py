@@ -103,3 +103,11 @@ def test_sla_hours_for_priority(spark):
                [(p,) for p in X.SLA_DAYS_BY_PRIORITY] + [("bogus",)], "p string")
     assert [None if v is None else int(v) for v in out] == \
         [d * 24 for d in X.SLA_DAYS_BY_PRIORITY.values()] + [None]
+
+
+def test_frame_rounding_breaks_ties_to_even(spark):
+    """As Python rounds: 3.125 to 3.12, 0.375 to 0.38; the SQL rule takes both up."""
+    df = spark.createDataFrame([(3.125,), (0.375,), (-0.125,), (2.5,), (None,)], "x double")
+    even = [r[0] for r in df.select(X.round_half_even("x", 2)).collect()]
+    assert even == [None if v is None else round(v, 2) for v in (3.125, 0.375, -0.125, 2.5, None)]
+    assert df.select(X.round_half_up("x", 2)).first()[0] == 3.13

@@ -79,14 +79,27 @@ def test_load_if_empty(spark):
 def test_extract_since_picks_up_new_rows(spark):
     root = scratch_path(spark, "extract-test")
     first = spark.range(1, 6).withColumnRenamed("id", "k")
-    n1, m1 = flow.extract_since(spark, first, "k", f"{root}/t", f"{root}/s")
+    n1, m1 = flow.extract_since(spark, first, "k", f"{root}/t")
     grown = spark.range(1, 9).withColumnRenamed("id", "k")
-    n2, m2 = flow.extract_since(spark, grown, "k", f"{root}/t", f"{root}/s")
-    n3, m3 = flow.extract_since(spark, grown, "k", f"{root}/t", f"{root}/s")
+    n2, m2 = flow.extract_since(spark, grown, "k", f"{root}/t")
+    n3, m3 = flow.extract_since(spark, grown, "k", f"{root}/t")
     assert (n1, m1, n2, m2, n3, m3) == (5, 5, 3, 8, 0, 8)
     assert flow.extracted(spark, f"{root}/t").count() == 8
 
 
+def test_extract_repeats_a_run_that_did_not_commit(spark):
+    """A run folder without _SUCCESS (an interrupted write) is written again: nothing twice, nothing lost."""
+    root = scratch_path(spark, "extract-test")
+    rows = lambda n: spark.range(1, n).withColumnRenamed("id", "k")
+    flow.extract_since(spark, rows(6), "k", f"{root}/t")
+    flow.extract_since(spark, rows(9), "k", f"{root}/t")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/t/run=2/_SUCCESS")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
+    assert flow.committed_runs(spark, f"{root}/t") == [1]
+    assert flow.extract_since(spark, rows(11), "k", f"{root}/t") == (5, 10)
+    assert sorted(r.k for r in flow.extracted(spark, f"{root}/t").collect()) == list(range(1, 11))
+
+
 def test_validate_json_flags_missing_fields(spark):
     msgs = spark.createDataFrame(
         [('{"event_id":"1","request_ref":"R1","department":"D","priority":"HIGH",'

@@ -88,3 +88,15 @@ def test_new_messages_after_restart_are_counted_once(spark):
         ev.read_counts(spark, f"{root}/counts")).collect()}
     want = {r.department: r["count"] for r in recs.groupBy("department").count().collect()}
     assert got == want
+
+
+def test_summaries_quarantine_what_they_cannot_read(spark, tmp_path):
+    """The consumer behind the summaries keeps undecodable and incomplete messages."""
+    folder = str(tmp_path)
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(f"{folder}/events.parquet")
+    run = ev.StreamRun(spark, folder)
+    bad = ["not json", '{"priority": "LOW"}']
+    spark.createDataFrame([(b,) for b in bad], "value string").write.mode("append").text(run.messages)
+    good = spark.read.parquet(f"{folder}/events.parquet").count()
+    assert ev.total(run.table("counts")).first()[0] == good
+    assert sorted(r.raw for r in run.table("quarantine").collect()) == sorted(bad)
