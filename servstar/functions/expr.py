@@ -129,8 +129,12 @@ def weekend_flag(c) -> Column:
 
 
 def minutes_between(start, end) -> Column:
-    """Elapsed minutes from ``start`` to ``end`` as decimal(10,2)."""
-    secs = F.timestamp_diff("SECOND", _c(start), _c(end))
+    """Elapsed minutes from ``start`` to ``end`` as decimal(10,2). The difference
+    of zone-less timestamps is an interval; no session time zone takes part."""
+    span = _c(end) - _c(start)
+    secs = sum((F.extract(F.lit(unit), span).cast("long") * size
+                for unit, size in (("HOUR", 3600), ("MINUTE", 60), ("SECOND", 1))),
+               F.extract(F.lit("DAY"), span).cast("long") * 86400)
     return (secs.cast("decimal(20,2)") / F.lit(60)).cast("decimal(10,2)")
 
 

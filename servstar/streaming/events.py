@@ -41,10 +41,10 @@ def iso_text(ts) -> F.Column:
     """ISO-8601 text of a timestamp, fraction only when non-zero (as Python's
     ``isoformat``)."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    frac = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.unix_micros(ts.cast("timestamp")) % 1000000
-    return F.when(micros == 0, whole).otherwise(frac)
+    # The text of a zone-less timestamp: no session time zone takes part.
+    text = ts.cast("timestamp_ntz").cast("string")
+    whole, frac = F.replace(F.substring(text, 1, 19), F.lit(" "), F.lit("T")), F.substring(text, 21, 6)
+    return F.when(frac == "", whole).otherwise(F.concat(whole, F.lit("."), F.rpad(frac, 6, "0")))
 
 
 def event_records(events: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def projection(decoded: DataFrame) -> DataFrame:
     plus the parsed event time (F29)."""
     return decoded.where("_ok").select(
         "request_ref", "department", "service_type", "priority",
-        F.to_timestamp("timestamp").alias("event_time"))
+        F.to_timestamp_ntz("timestamp").alias("event_time"))
 
 
 def cell_counts(decoded: DataFrame) -> DataFrame:
@@ -337,5 +337,5 @@ def json_roundtrip(spark, sf_dir):
     events = SourceTables(spark, sf_dir).table("events")
     dec = decode(encode(event_records(events)))
     return dec.select(*[c for c in EVENT_FIELDS if c != "timestamp"],
-                      F.to_timestamp("timestamp").cast("timestamp_ntz").alias("event_time"),
+                      F.to_timestamp_ntz("timestamp").alias("event_time"),
                       F.col("_ok").cast("int").alias("decoded_ok"))

@@ -111,3 +111,24 @@ def test_frame_rounding_breaks_ties_to_even(spark):
     even = [r[0] for r in df.select(X.round_half_even("x", 2)).collect()]
     assert even == [None if v is None else round(v, 2) for v in (3.125, 0.375, -0.125, 2.5, None)]
     assert df.select(X.round_half_up("x", 2)).first()[0] == 3.13
+
+
+def test_no_result_depends_on_the_session_time_zone(spark):
+    """2024-03-10 02:30 doesn't exist in Los Angeles: minutes and event texts are the same there."""
+    from servstar.streaming import events as ev
+    other = spark.newSession()
+    rows = [("2024-03-09 00:00:00", "2024-03-10 02:30:00"), ("2024-03-10 01:59:59.5", "2024-03-10 03:00:00"),
+            ("2024-03-12 00:00:00", "2024-03-10 00:00:00"), (None, "2024-03-10 00:00:00")]
+
+    def run(session):
+        df = session.createDataFrame(rows, "a string, b string").select(
+            F.to_timestamp_ntz("a").alias("a"), F.to_timestamp_ntz("b").alias("b"))
+        df = df.select(X.minutes_between("a", "b").alias("m"), X.add_hours("a", F.lit(26.5)).alias("d"),
+                       ev.iso_text("a").alias("t"), ev.iso_text("b").alias("timestamp"))
+        return [tuple(r) for r in df.withColumn("back", F.to_timestamp_ntz("timestamp")).collect()]
+
+    utc = run(spark)
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    assert run(other) == utc
+    assert [None if r[0] is None else float(r[0]) for r in utc] == [1590.0, 60.0, -2880.0, None]
+    assert [r[3] for r in utc][:2] == ["2024-03-10T02:30:00", "2024-03-10T03:00:00"] and utc[1][2] == "2024-03-10T01:59:59.500000"
