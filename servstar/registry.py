@@ -8,14 +8,16 @@ re-derived there by ``servstar.oracle``.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from servstar import schemas
-from servstar.functions.expr import EVENT_PRIORITIES, round_half_up_sql as rnd
-from servstar.operators import quality
+from servstar.functions.expr import EVENT_PRIORITIES, round_half_up_sql as rnd, sla_category, strip_prefix
+from servstar.operators import fact, quality
 from servstar.oracle import KPI_ORACLE, with_star
 from servstar.plans import flow, kpis_frame, kpis_sql, marts, sinks
 from servstar.plans.warehouse import SOURCE_TABLES, STAR_TABLES, warehouse
 from servstar.sources import binding
+from servstar.sources.tables import SourceTables
 from servstar.streaming import events as ev
 
 QUERIES = {}
@@ -266,6 +268,60 @@ _register("dq_score_range",
               f"FROM user_surveys" for c in quality.SCORE_COLUMNS)))
 
 
+# -- checks on given tables that do violate them, and branches the bound tables never reach ----
+def _given(table: str, *columns: str):
+    return lambda spark, sf_dir: SourceTables(spark, sf_dir).table(table, *columns)
+
+
+_lines, _orders = _given("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_discount"), _given("orders", "o_orderkey")
+_register("dq_line_duplicates",
+          lambda spark, sf_dir: quality.duplicate_rows(_lines(spark, sf_dir), ["l_orderkey", "l_linenumber"]), """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1""")
+_register("dq_line_key_profile",
+          lambda spark, sf_dir: quality.key_profile(_lines(spark, sf_dir), "lineitem", ["l_orderkey", "l_linenumber"]),
+          _key_profile_sql("lineitem", ["l_orderkey", "l_linenumber"]))
+_register("dq_orders_without_lines",
+          lambda spark, sf_dir: quality.orphans(_orders(spark, sf_dir), "o_orderkey", _lines(spark, sf_dir), "l_orderkey"), """
+SELECT o_orderkey FROM orders ANTI JOIN lineitem ON l_orderkey = o_orderkey""")
+_register("dq_line_ranges",
+          lambda spark, sf_dir: quality.score_range(_lines(spark, sf_dir), 2.0, 40.0, ("l_quantity", "l_discount")), """
+SELECT 'l_quantity' AS column_name, COUNT(l_quantity) AS checked,
+       COUNT(*) FILTER (l_quantity < 2 OR l_quantity > 40) AS out_of_range FROM lineitem
+UNION ALL
+SELECT 'l_discount', COUNT(l_discount), COUNT(*) FILTER (l_discount < 2 OR l_discount > 40) FROM lineitem""")
+_register("dq_lines_out_of_range",
+          lambda spark, sf_dir: quality.out_of_range_rows(
+              _lines(spark, sf_dir), 2.0, 40.0, ("l_quantity",)).select("l_orderkey", "l_linenumber", "l_quantity"), """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity < 2 OR l_quantity > 40""")
+_register("json_path_missing",
+          lambda spark, sf_dir: flow.validate_json(
+              SourceTables(spark, sf_dir).table("events"), ("k", "channel"), "props"), """
+SELECT json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS channel, 'channel' AS missing_fields, 0 AS valid
+FROM events""")
+_register("sla_category_bands",
+          lambda spark, sf_dir: _orders(spark, sf_dir).select(
+              "o_orderkey", (F.col("o_orderkey") % 200).cast("int").alias("hours"),
+              sla_category(F.col("o_orderkey") % 200).alias("category")), """
+SELECT o_orderkey, CAST(o_orderkey % 200 AS INTEGER) AS hours,
+       CASE WHEN o_orderkey % 200 <= 24 THEN 'Same Day' WHEN o_orderkey % 200 <= 72 THEN 'Standard'
+            WHEN o_orderkey % 200 <= 168 THEN 'Extended' ELSE 'Long Term' END AS category
+FROM orders""")
+_register("nation_labels",
+          lambda spark, sf_dir: SourceTables(spark, sf_dir).table("nation").select(
+              "n_nationkey", strip_prefix("n_name", "NATION_").alias("label")), """
+SELECT n_nationkey, substr(n_name, 8) AS label FROM nation""")
+
+
+def _fact_by_survey_join(spark, sf_dir):
+    """The load as written: requests LEFT JOIN surveys (the stored fact computes the scores in place)."""
+    wh = warehouse(spark, sf_dir)
+    return fact.build_fact(wh.service_requests, wh.user_surveys, wh.dim("dim_department"), wh.dim("dim_service_type"),
+                           wh.dim("dim_sla")).select(*_cols("fact_service_requests"))
+
+
+_register("fact_survey_join", _fact_by_survey_join, ORACLE_SQL["fact_service_requests"])
+
+
 # -- step 8: sinks and the load-once guard (IO5-IO7) -------------------------------------------
 _register("csv_roundtrip", sinks.csv_roundtrip, KPI_ORACLE["kpi1_resolution_sql"])
 _register("load_if_empty_twice", sinks.load_if_empty_twice, with_star("""

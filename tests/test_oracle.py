@@ -47,3 +47,24 @@ def test_queries_from_a_second_session(spark):
         a = sorted(map(tuple, q[name](spark, SF0001).collect()))
         b = sorted(map(tuple, q[name](other, SF0001).collect()))
         assert a == b and a
+
+
+@pytest.mark.parametrize("name, key", [
+    ("kpi1_resolution_sql", lambda r: r.avg_resolution_hours),
+    ("kpi2_sla_sql", lambda r: (r.year_num, r.month_num, -r.sla_compliance_pct)),
+    ("kpi3_satisfaction_sql", lambda r: -r.avg_satisfaction),
+    ("kpi4_trend_sql", lambda r: (r.year_num, r.month_num)),
+    ("kpi5_top_breach_sql", lambda r: (-r.breach_count, r.department_name)),
+    ("kpi1_resolution_frame", lambda r: r.avg_resolution_hours),
+    ("kpi2_sla_frame", lambda r: (r.year_num, r.month_num, r.service_name)),
+    ("kpi3_satisfaction_frame", lambda r: -r.avg_satisfaction),
+    ("kpi4_trend_frame", lambda r: (r.year_num, r.month_num)),
+    ("mart_sla_trend", lambda r: (r.year_num, r.month_num)),
+    ("stream_by_department", lambda r: r.department),
+    ("stream_by_priority", lambda r: r.priority),
+])
+def test_result_order(spark, name, key):
+    """The declared order, which the comparison of row multisets doesn't see."""
+    from servstar.registry import QUERIES
+    keys = [key(r) for r in QUERIES[name](spark, SF0001).collect()]
+    assert len(keys) > 1 and keys == sorted(keys)
