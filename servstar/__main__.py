@@ -8,7 +8,7 @@
                consumer and print the sorted summaries (ST8).
 
 On a cluster, ``spark.checkpoint.dir`` must name a shared folder; the stored
-tables go there.
+tables go there, or with ``--root`` to a folder from which later commands take them.
 """
 
 from __future__ import annotations
@@ -30,12 +30,15 @@ def main(argv=None) -> None:
     ap.add_argument("command", choices=["load", "kpis", "stream"])
     ap.add_argument("--tables", required=True, help="folder of the given parquet tables")
     ap.add_argument("--out", help="output folder for kpis")
+    ap.add_argument("--root", help="folder that keeps the warehouse for later commands on the same tables")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
     existing = SparkSession.getActiveSession()
     spark = build_session(args.master)
+    if args.root:
+        spark.conf.set("spark.servstar.root", args.root)
     from servstar.registry import QUERIES
 
     if args.command == "load":

@@ -19,6 +19,7 @@ KPI queries read the stored star schema, as a dashboard would.
 
 from __future__ import annotations
 
+import hashlib
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
@@ -208,15 +209,42 @@ _LOCK = threading.Lock()
 _VIEWS_LOCK = threading.Lock()
 
 
+#: Session setting: folder that keeps the warehouse between applications.
+ROOT_SETTING = "spark.servstar.root"
+
+
+def input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """16 hex digits that change when a given table's files do (path, name, size, time)."""
+    jvm, parts = spark.sparkContext._jvm, [sf_dir.rstrip("/")]
+    for table in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            parts += sorted(f"{table}/{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}"
+                            for f in fs.listStatus(path))
+    return hashlib.md5("\n".join(parts).encode()).hexdigest()[:16]
+
+
+def lasting_root(spark: SparkSession, sf_dir: str) -> str | None:
+    """Where the warehouse of this input lasts, or None if ``ROOT_SETTING`` isn't set.
+    Another input, or changed files, gives another folder."""
+    root = spark.conf.get(ROOT_SETTING, None)
+    return f"{root.rstrip('/')}/warehouse-{input_fingerprint(spark, sf_dir)}" if root else None
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> StoredWarehouse:
     """The stored warehouse for ``sf_dir``: loaded once per Spark application,
     with table handles and views bound to the calling session (sessions of one
-    application share the written tables, not their temp views)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    application share the written tables, not their temp views).
+
+    With ``spark.servstar.root`` set, tables last there: a new application takes
+    the committed ones and builds only what is missing, also after a load that failed half way."""
+    root = lasting_root(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, root or sf_dir.rstrip("/"))
     with _LOCK:
         wh = _LOADED.get(key)
         if wh is None:
-            wh = load(spark, sf_dir)
+            wh = load(spark, sf_dir, root)
             _LOADED[key] = wh
         if wh.spark is spark:
             return wh

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import decimal
 
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF0001
 from servstar.operators import quality
 from servstar.plans import flow
 from servstar.session import scratch_path
@@ -208,3 +210,38 @@ def test_two_key_profile_in_one_scan_matches_per_key(spark):
     plan = quality.table_key_profiles(df, "t", [["k"], ["code"]])._jdf.queryExecution() \
                   .executedPlan().toString()
     assert "Expand" in plan
+
+
+def test_warehouse_lasts_between_applications(spark, monkeypatch):
+    """Half of a load survives; a later application builds the rest, and a third builds nothing."""
+    from servstar.plans import warehouse as w
+    root = scratch_path(spark, "lasting")
+    spark.conf.set(w.ROOT_SETTING, root)
+    try:
+        built = []
+        real = w._write
+
+        def failing(df, path, *a, **k):
+            if path.endswith("/fact_service_requests"):
+                raise RuntimeError("lost")
+            built.append(path.rsplit("/", 1)[1])
+            return real(df, path, *a, **k)
+
+        monkeypatch.setattr(w, "_LOADED", {})
+        monkeypatch.setattr(w, "_write", failing)
+        with pytest.raises(RuntimeError, match="lost"):
+            w.warehouse(spark, SF0001)
+        first = set(built)
+        assert "requests" in first and "fact_service_requests" not in first
+        built.clear()
+        monkeypatch.setattr(w, "_write", lambda df, path, *a, **k: (built.append(path.rsplit("/", 1)[1]), real(df, path, *a, **k))[1])
+        assert w.warehouse(spark, SF0001).fact_service_requests.count() > 0
+        assert "fact_service_requests" in built and not first & set(built)
+        built.clear()
+        monkeypatch.setattr(w, "_LOADED", {})
+        assert w.warehouse(spark, SF0001).fact_service_requests.count() > 0
+        assert built == []
+        assert w.lasting_root(spark, SF0001) != w.lasting_root(spark, "/root/testdata/sf0.01")
+    finally:
+        spark.conf.unset(w.ROOT_SETTING)
+    assert w.lasting_root(spark, SF0001) is None
