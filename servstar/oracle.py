@@ -198,7 +198,7 @@ SELECT {keys}, COUNT(*) AS n, COUNT(resolution_minutes) AS n_minutes,
        COUNT(sla_compliant_flag) AS judged, COUNT(*) FILTER (sla_compliant_flag = 1) AS met,
        COUNT(*) FILTER (sla_compliant_flag = 0) AS missed, COUNT(*) FILTER (has_survey = 1) AS surveys,
        AVG(satisfaction_score::DOUBLE) AS happy, AVG(ease_of_use_score::DOUBLE) AS ease,
-       AVG(response_speed_score::DOUBLE) AS speed
+       AVG(response_speed_score::DOUBLE) AS speed, AVG(sla_hours_allowed::DOUBLE) AS allowed
 FROM fact_service_requests f, {dims} WHERE {on} GROUP BY ALL"""
 _DEPT = ("dim_department o", "f.dept_key = o.dept_key")
 _KIND = ("dim_service_type k", "f.service_key = k.service_key")
@@ -237,3 +237,31 @@ KPI_ORACLE = {
         f"missed AS breach_count, {_hundredths('missed::DOUBLE / n::DOUBLE * 100')} AS breach_pct, "
         f"{_hundredths('hours')} AS avg_resolution_hours", _DEPT, tail="ORDER BY missed DESC, department_name LIMIT 5"),
 }
+
+
+# Dashboard datasets, from the same raw sums.
+def _mart(keys: str, columns: str, *dims, only: str = "true", more: str = "") -> str:
+    inner = _GROUPED.format(keys=keys, dims=", ".join(d for d, _ in dims), on=" AND ".join([*(o for _, o in dims), only]))
+    return with_star(f"SELECT *{more} FROM (SELECT {columns} FROM ({inner}) g) m")
+
+
+def _tenths(x: str) -> str:
+    return f"floor(({x}) * 10.0::DOUBLE + 0.5) / 10.0::DOUBLE"
+
+
+_MET = _tenths("CASE WHEN judged > 0 THEN met::DOUBLE / n::DOUBLE * 100 END")
+_SHORT = "replace(department_name, 'Ministry of ', '') AS department_name"
+MART_ORACLE = {
+    "mart_requests_per_dept": _mart("department_name", f"{_SHORT}, n AS total_requests", _DEPT),
+    "mart_sla_trend": _mart(
+        "year_num, month_num, month_name",
+        f"year_num, month_num, month_name, {_MET} AS sla_pct, left(month_name, 3) || ' ' || year_num AS period", _DAY,
+        more=", 80.0::DOUBLE AS sla_target_pct, CAST(coalesce(sla_pct >= 80.0, false) AS INTEGER) AS on_target"),
+    "mart_satisfaction_vs_sla": _mart(
+        "department_name", f"{_SHORT}, {_hundredths('happy')} AS avg_satisfaction, {_MET} AS sla_pct, n AS total_requests",
+        _DEPT, only="has_survey = 1",
+        more=", 75.0::DOUBLE AS sla_target_pct, 3.5::DOUBLE AS satisfaction_target, "
+             "CAST(coalesce(sla_pct >= 75.0 AND avg_satisfaction >= 3.5, false) AS INTEGER) AS on_target"),
+    "mart_resolution_vs_sla": _mart(
+        "department_name", f"{_SHORT}, {_tenths('hours')} AS avg_hours, {_tenths('allowed')} AS sla_hours", _DEPT),
+}
