@@ -14,6 +14,10 @@ of references use that:
 * Random references discard candidates: the rows of a table cell compare their distances
   to 24 references and drop pairs whose largest coordinate difference exceeds the
   radius. Survivors are verified bit by bit.
+
+A cell of more than ``CELL_ROWS`` rows isn't gathered: its rows are dealt anew by the same
+structured references over the 37 bits that the cell leaves open, in 35 tables again. Rows that
+share such an inner cell agree in 42 bits or more, so it holds 2**22 distinct fingerprints at most.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +37,8 @@ SHINGLE_WORDS = 4
 RADIUS = 4
 SEED = 42
 OWNED = 3
+#: Rows of a cell beyond which it is dealt anew instead of compared in one task.
+CELL_ROWS = 1 << 16
 _SHINGLES_AT_ONCE = 1 << 16
 
 
@@ -85,12 +92,17 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         .mapInArrow(run, "doc_id long, fp long")
 
 
-def table_masks(blocks: int, owned: int) -> list[int]:
-    """The bits owned by each table, as signed longs."""
-    at = [64 * k // blocks for k in range(blocks + 1)]
-    block = [(1 << at[k + 1]) - (1 << at[k]) for k in range(blocks)]
+def table_masks(blocks: int, owned: int, bits: list[int] | None = None) -> list[int]:
+    """The bits owned by each table, as signed longs; ``bits``: the positions dealt out (all 64)."""
+    bits = list(range(64)) if bits is None else bits
+    at = [len(bits) * k // blocks for k in range(blocks + 1)]
+    block = [sum(1 << x for x in bits[at[k]:at[k + 1]]) for k in range(blocks)]
     masks = [sum(block[k] for k in own) for own in combinations(range(blocks), owned)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    return [_signed(m) for m in masks]
+
+
+def _signed(m: int) -> int:
+    return m - (1 << 64) if m >> 63 else m
 
 
 def _references(n: int = 24) -> np.ndarray:
@@ -145,41 +157,79 @@ def cell_links(fp: np.ndarray, cell: np.ndarray, radius: int) -> tuple[np.ndarra
     return np.concatenate(first or none), np.concatenate(second or none)
 
 
-def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(distinct: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(u, v) edges that span every link between the rows (fp, node) of distinct fingerprints."""
     masks = table_masks(radius + OWNED, OWNED)  # radius differing bits leave OWNED blocks untouched
-    cells = distinct.select("fp", "node", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks]))
-                            .alias("table", "key"))
+    keys = lambda ms: F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in ms])
+    cells = distinct.select("fp", "node", F.posexplode(keys(masks)).alias("table", "key"))
+    found = written(_compared(cells, ["table", "key"], radius, cell_rows), "cell-links")
+    # The same pigeonholes over the bits that a large cell's table doesn't own: within a cell, linked
+    # rows differ in radius of those at most.
+    inner = [table_masks(radius + OWNED, OWNED, [x for x in range(64) if not m >> x & 1]) for m in masks]
+    by_table = F.element_at(F.array(*[F.array(*[F.lit(m) for m in ms]) for ms in inner]), F.col("table") + 1)
+    large = found.filter("fp is not null").select("fp", "node", "table", "key", F.posexplode(
+        F.transform(by_table, lambda m: m.bitwiseAND(F.col("fp")))).alias("inner", "inner_key"))
+    more = _compared(large, ["table", "key", "inner", "inner_key"], radius, None)
+    return found.filter("u is not null").select("u", "v").unionByName(more.select("u", "v"))
+
+
+def _compared(cells: DataFrame, keys: list[str], radius: int, cell_rows: int | None) -> DataFrame:
+    """Links (u, v) within the cells that ``keys`` name. Cells of more than ``cell_rows`` rows come out
+    as their rows (fp, node, table, key) instead; a task holds that many rows and a batch."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("fp", pa.int64()), ("node", pa.int64()),
+                        ("table", pa.int32()), ("key", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(part: pa.Table) -> pa.RecordBatch:
-            fp = part.column("fp").to_numpy().view(np.uint64)
-            t, key, node = (part.column(c).to_numpy() for c in ("table", "key", "node"))
-            new = np.ones(len(fp), dtype=bool)
-            new[1:] = (t[1:] != t[:-1]) | (key[1:] != key[:-1])
-            a, b = cell_links(fp, np.cumsum(new), radius)
-            return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["u", "v"])
-
-        held: list[pa.Table] = []
+        def changes(part: pa.Table) -> np.ndarray:
+            new = np.zeros(len(part), dtype=bool)
+            for c in keys:
+                x = part.column(c).to_numpy()
+                new[1:] |= x[1:] != x[:-1]
+            return new
+
+        def out(n: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
+
+        def passed(part: pa.Table) -> pa.RecordBatch:
+            return out(len(part), **{c: pa.array(part.column(c).to_numpy()) for c in ("fp", "node", "table", "key")})
+
+        def closed(part: pa.Table) -> Iterator[pa.RecordBatch]:
+            """Whole cells: large ones pass, the others are compared."""
+            at = np.flatnonzero(changes(part))
+            size = np.diff(at, prepend=0, append=len(part))
+            if cell_rows is not None and size.max() > cell_rows:
+                large = pa.array(np.repeat(size > cell_rows, size))
+                yield passed(part.filter(large))
+                part = part.filter(pa.compute.invert(large))
+            fp, node = part.column("fp").to_numpy().view(np.uint64), part.column("node").to_numpy()
+            a, b = cell_links(fp, np.cumsum(changes(part)), radius)
+            yield out(len(a), u=pa.array(node[a]), v=pa.array(node[b]))
+
+        held, passing, last = [], False, None  # rows of the cell that may go on; whether they pass; its keys
         for b in batches:
             if not len(b):
                 continue
             part = pa.Table.from_batches([b])
-            t, key = part.column("table").to_numpy(), part.column("key").to_numpy()
-            change = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1]))
-            if held and (held[-1].column("table")[-1].as_py(), held[-1].column("key")[-1].as_py()) != (t[0], key[0]):
-                yield done(pa.concat_tables(held))
-                held = []
-            if len(change):  # the batch's last cell may go on in the next batch
-                at = int(change[-1]) + 1
-                yield done(pa.concat_tables([*held, part.slice(0, at)]))
-                held = [part.slice(at)]
+            cut = np.flatnonzero(changes(part)).tolist()
+            if last not in (None, [part.column(c)[0].as_py() for c in keys]):
+                cut = [0, *cut]
+            if passing:
+                yield passed(part.slice(0, cut[0] if cut else None))
             else:
-                held.append(part)
+                held.append(part.slice(0, cut[0] if cut else None))
+            if cut:
+                held.append(part.slice(cut[0], cut[-1] - cut[0]))
+                yield from closed(pa.concat_tables(held))
+                held, passing = [part.slice(cut[-1])], False
+            if cell_rows is not None and sum(map(len, held)) > cell_rows:
+                yield passed(pa.concat_tables(held))
+                held, passing = [], True
+            last = [part.column(c)[-1].as_py() for c in keys]
         if held:
-            yield done(pa.concat_tables(held))
+            yield from closed(pa.concat_tables(held))
 
-    return cells.repartition("table", "key").sortWithinPartitions("table", "key").mapInArrow(run, "u long, v long")
+    return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        run, "u long, v long, fp long, node long, table int, key long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
