@@ -17,17 +17,26 @@ from servstar.llm.common import documents, written
 def quality_classifier(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pairwise-ranked classifier predicts good."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    good = docs.withColumn("__good", quality.predicted(quality.scored(F.col("text"), model)))
-    return good.filter("__good = 1").select(*docs.columns)
+    return docs.filter(quality.predicted(quality.scored(F.col("text"), model)) == 1)
+
+
+def inside(docs: DataFrame) -> DataFrame:
+    """The documents under other column names, so that none can clash with an operator's results."""
+    return docs.toDF(*[f"in_{c}" for c in docs.columns])
+
+
+def outside(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"`in_{c}`").alias(c) for c in docs.columns])
 
 
 def exact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of equal texts."""
-    return exact_dedup.exact_duplicates(docs).filter("kept").select(*docs.columns)
+    return outside(exact_dedup.exact_duplicates(inside(docs), "in_text", "in_doc_id").filter("kept"), docs)
 
 
 def near(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates. Documents without an id stay."""
+    """The document with the smallest id of each group of near-duplicates. Documents without an id stay;
+    documents that share an id stay or go together."""
     found = simhash.near_duplicates(docs)
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -35,8 +44,8 @@ def near(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice."""
-    mixed = mixing.mix(docs.withColumn("__n", F.lit(0)))
-    return mixed.withColumn("__n", F.explode(F.sequence(F.lit(0), F.col("copies")))).filter("__n > 0").select(*docs.columns)
+    mixed = mixing.mix(inside(docs), "in_text", "in_source", "in_doc_id").filter("copies > 0")
+    return outside(mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))), docs)
 
 
 def pack(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

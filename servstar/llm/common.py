@@ -49,6 +49,11 @@ def with_results(df: DataFrame, results: dict) -> DataFrame:
     return df.select(*kept, *[c.alias(k) for k, c in results.items()])
 
 
+def unused_prefix(df: DataFrame) -> str:
+    """Underscores that no column name of ``df`` starts with: a name after them is free."""
+    return "_" * (1 + max([2, *[len(c) - len(c.lstrip("_")) for c in df.columns]]))
+
+
 def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(did, t32, text, doc_id): ``did`` is the id, or for a NULL id a number above 2**62
     made from the text, so NULL ids come last and apart; ``t32`` tells rows that share an id but not a text."""

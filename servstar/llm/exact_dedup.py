@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servstar.llm.common import SPACE, documents, with_results
+from servstar.llm.common import SPACE, documents, unused_prefix, with_results
 
 BITS_PER_ROW = 16
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
@@ -101,22 +101,22 @@ def exact_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         hit = lambda p: (seen.value[p >> np.uint64(3)] >> (np.uint64(7) - (p & np.uint64(7))).astype(np.uint8)) & 1
         return pd.Series((hit(a) & hit(b)).astype(bool))
 
-    rows = (docs.withColumn("__norm", normalised(F.col(f"`{text}`")))
-            .withColumns({"__sha": F.sha2("__norm", 256), "__hash": F.xxhash64("__norm"),
-                          "__row": F.monotonically_increasing_id()}).drop("__norm")
-            .withColumn("__maybe", maybe_repeated("__hash")).drop("__hash"))
-    single = with_results(rows.filter("not __maybe"), {
-        "text_sha256": F.col("__sha"), "keep_id": F.col(f"`{doc_id}`"),
+    own = unused_prefix(docs)
+    norm, sha, h, row, maybe, first, n = (own + x for x in ("norm", "sha", "hash", "row", "maybe", "first", "n"))
+    rows = (docs.withColumn(norm, normalised(F.col(f"`{text}`")))
+            .withColumns({sha: F.sha2(norm, 256), h: F.xxhash64(norm), row: F.monotonically_increasing_id()}).drop(norm)
+            .withColumn(maybe, maybe_repeated(h)).drop(h))
+    single = with_results(rows.filter(~F.col(maybe)), {
+        "text_sha256": F.col(sha), "keep_id": F.col(f"`{doc_id}`"),
         "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
-    several = rows.filter("__maybe")
-    least = several.groupBy("__sha").agg(
+    several = rows.filter(maybe)
+    least = several.groupBy(sha).agg(
         F.min(F.struct(F.col(f"`{doc_id}`").isNull().alias("n"), F.col(f"`{doc_id}`").alias("d"),
-                       F.col("__row").alias("r"))).alias("__first"), F.count("*").alias("__n"))
-    joined = with_results(several.join(least, "__sha"), {
-        "text_sha256": F.col("__sha"), "keep_id": F.col("__first.d"), "group_size": F.col("__n"),
-        "kept": F.col("__row") == F.col("__first.r")})
-    drop = ["__sha", "__row", "__maybe", "__first", "__n"]
-    return single.drop(*drop).unionByName(joined.drop(*drop))
+                       F.col(row).alias("r"))).alias(first), F.count("*").alias(n))
+    joined = with_results(several.join(least, sha), {
+        "text_sha256": F.col(sha), "keep_id": F.col(first)["d"], "group_size": F.col(n),
+        "kept": F.col(row) == F.col(first)["r"]})
+    return single.drop(sha, row, maybe).unionByName(joined.drop(sha, row, maybe, first, n))
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

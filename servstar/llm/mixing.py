@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from servstar.llm.common import documents, with_results, word_count, written
+from servstar.llm.common import documents, unused_prefix, with_results, word_count, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -91,15 +91,15 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     base = docs.select(word_count(F.col(f"`{text}`")).alias("size"), F.col(f"`{source}`").alias("source"),
                        id_hash(F.col(f"`{doc_id}`")).alias("hash"))
     rows = written(base, "sizes")
-    cut = written(thresholds(rows, targets(rows, weights, share, most)), "thresholds").select(
-        F.col("source").alias("__s"), F.col("source_size").alias("__ss"), F.col("target").alias("__t"),
-        F.col("copies").alias("__c"), F.col("threshold").alias("__cut"))
-    wide = docs.withColumns({"__size": word_count(F.col(f"`{text}`")), "__hash": id_hash(F.col(f"`{doc_id}`"))}) \
-        .join(cut, F.col(f"`{source}`").eqNullSafe(F.col("__s")))
-    copies = F.col("__c") + F.when(F.col("__hash") < F.col("__cut"), 1).otherwise(0)
-    out = with_results(wide, {"size": F.col("__size"), "source_size": F.col("__ss"), "target": F.col("__t"),
-                              "copies": copies, "taken": F.col("__size") * copies})
-    return out.drop("__s", "__ss", "__t", "__c", "__cut", "__size", "__hash")
+    own = unused_prefix(docs)
+    src, ss, t, c, cut, size, h = (F.col(own + x) for x in ("source", "source_size", "target", "copies", "cut", "size", "hash"))
+    at = written(thresholds(rows, targets(rows, weights, share, most)), "thresholds").toDF(
+        *[own + x for x in ("source", "source_size", "target", "copies", "cut")])
+    wide = docs.withColumns({own + "size": word_count(F.col(f"`{text}`")), own + "hash": id_hash(F.col(f"`{doc_id}`"))}) \
+        .join(at, F.col(f"`{source}`").eqNullSafe(src))
+    copies = c + F.when(h < cut, 1).otherwise(0)
+    out = with_results(wide, {"size": size, "source_size": ss, "target": t, "copies": copies, "taken": size * copies})
+    return out.drop(*[own + x for x in ("source", "source_size", "target", "copies", "cut", "size", "hash")])
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:

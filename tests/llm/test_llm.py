@@ -97,8 +97,9 @@ def test_simhash_odd_rows(odd_docs, none):
     assert near_duplicates(none).collect() == []
 
 
-@pytest.mark.parametrize("radius", [4, 6])
-def test_pivot_tables_lose_no_link(spark, radius):
+@pytest.mark.parametrize("radius, cell_rows, batch", [(4, 1 << 16, 10000), (6, 1 << 16, 10000), (4, 20, 10000), (4, 3, 7), (6, 40, 50)])
+def test_pivot_tables_lose_no_link(spark, radius, cell_rows, batch):
+    """Also with cells too large for a task, which are dealt anew, and with cells cut by batches."""
     from servstar.llm.common import components
     from servstar.llm.simhash import links
     r = random.Random(radius)
@@ -110,7 +111,13 @@ def test_pivot_tables_lose_no_link(spark, radius):
     fps |= {dense ^ sum(1 << b for b in r.sample(range(64), 2)) for _ in range(300)}
     fps = sorted(fps)
     df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, k) for k, f in enumerate(fps)], "fp long, node long")
-    got = {x.node: x.component for x in components(links(df, radius)).collect()}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(batch))
+    try:
+        got = {x.node: x.component for x in components(links(df, radius, cell_rows)).collect()}
+    finally:
+        spark.conf.set(size, before)
     a = np.array(fps, dtype=np.uint64)
     pairs = [(i, int(j)) for i in range(len(a)) for j in i + 1 + np.flatnonzero(np.bitwise_count(a[i] ^ a[i + 1:]) <= radius)]
     want = brute.components(range(len(fps)), pairs)
@@ -313,6 +320,10 @@ def test_quality_odd_rows(spark, odd_docs, none):
     model = quality.train(odd_docs, labels)
     got = odd_docs.select("doc_id", quality.scored(F.col("text"), model).alias("s")).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in odd_rows()) and all(0 <= r.s <= 1 for r in got)
+    # Repeated labels, labels of other kinds and repeated documents change nothing.
+    again = quality.train(odd_docs.unionByName(odd_docs), labels.unionByName(labels).unionByName(
+        spark.createDataFrame([(5, 7)], "doc_id long, quality int")))
+    assert np.array_equal(again.weights, model.weights) and again.cut == model.cut
     unlabelled = quality.train(odd_docs, labels.filter("false"))
     assert all(r.s >= 0.3 for r in odd_docs.select(quality.scored(F.col("text"), unlabelled).alias("s")).collect())
     assert none.select(quality.scored(F.col("text"), model)).collect() == []
@@ -450,3 +461,16 @@ def test_pipeline_stages_keep_columns_and_odd_rows(spark, odd_docs, none):
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns
             assert out.count() <= 2 * docs.count()
+
+
+def test_pipeline_stages_leave_clashing_columns_alone(spark, given):
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns(
+        {c: F.col("doc_id") + 7 for c in ("copies", "size", "taken", "row", "fingerprint", "component_id", "__n", "__good", "kept")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        new = [c for c in docs.columns if c not in spark.read.parquet(f"{SF}/documents.parquet").columns]
+        assert out.count() and out.filter(" or ".join(f"{c} <> doc_id + 7" for c in new)).count() == 0, name
