@@ -15,8 +15,8 @@ Two forms, same rows (a test checks it):
   computed in place and nothing request-sized is shuffled.
 
 In both, the dimension joins are broadcast (sizes checked), so request rows
-stream through. Requests that fail a dimension lookup are returned separately
-(``split_orphans``) rather than failing the load.
+stream through. ``fact_and_orphans`` is the second form with left joins: requests
+that fail a lookup stay, marked, so that the load writes fact and quarantine in one pass.
 """
 
 from __future__ import annotations
@@ -38,9 +38,10 @@ def resolve_keys(requests: DataFrame, dim_department: DataFrame,
                     .join(dl, "sla_id", how))
 
 
-def _fact_row(keyed: DataFrame, has_survey: F.Column) -> DataFrame:
-    """Fact columns from requests with resolved keys and survey scores."""
+def _fact_row(keyed: DataFrame, has_survey: F.Column, *more: F.Column) -> DataFrame:
+    """Fact columns (and ``more``) from requests with resolved keys and survey scores."""
     df = keyed.select(
+        *more,
         F.col("request_id").alias("fact_id"),
         "request_id", "request_ref", "dept_key", "service_key",
         smart_date_key("submitted_at").alias("time_key"),
@@ -54,7 +55,12 @@ def _fact_row(keyed: DataFrame, has_survey: F.Column) -> DataFrame:
         "submitted_at", "completed_at",
         F.current_timestamp().alias("load_timestamp"),
     )
-    return schemas.conform(df, schemas.FACT_SERVICE_REQUESTS)
+    fact = schemas.FACT_SERVICE_REQUESTS
+    if not more:
+        return schemas.conform(df, fact)
+    names = {f.name for f in fact.fields}
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in fact.fields],
+                     *[c for c in df.columns if c not in names])
 
 
 def build_fact(requests: DataFrame, surveys: DataFrame, dim_department: DataFrame,
@@ -80,14 +86,20 @@ def build_fact_from_staging(staging: DataFrame, dim_department: DataFrame,
     return _fact_row(keyed, has_survey())
 
 
-def split_orphans(requests: DataFrame, dim_department: DataFrame,
-                  dim_service_type: DataFrame, dim_sla: DataFrame) -> DataFrame:
-    """Requests that no dimension row matches, with the failed lookups named."""
-    keyed = resolve_keys(requests, dim_department, dim_service_type, dim_sla, how="left")
-    missing = F.concat_ws(",",
-                          F.when(F.col("dept_key").isNull(), F.lit("department")),
-                          F.when(F.col("service_key").isNull(), F.lit("service_type")),
-                          F.when(F.col("sla_key").isNull(), F.lit("sla")))
-    return (keyed.where(F.col("dept_key").isNull() | F.col("service_key").isNull()
-                        | F.col("sla_key").isNull())
-                 .select("request_id", "request_ref", missing.alias("missing_keys")))
+def fact_and_orphans(staging: DataFrame, dim_department: DataFrame, dim_service_type: DataFrame,
+                     dim_sla: DataFrame, dim_time: DataFrame) -> DataFrame:
+    """Every staged request in one pass: the fact's columns, ``missing_keys`` (the lookups that
+    failed, comma-joined) and ``loaded``: 1 for a fact row, 0 for one that belongs in quarantine.
+
+    The calendar counts as a lookup too: a request without a calendar day (NULL submit date, or a
+    day outside the calendar) would vanish from the monthly KPIs."""
+    from servstar.sources.binding import has_survey, survey_scores
+    keyed = resolve_keys(staging.select("*", *survey_scores()), dim_department, dim_service_type,
+                         dim_sla, how="left")
+    days = dim_time.select(F.col("time_key").alias("calendar_key"))
+    keyed = keyed.join(days, smart_date_key("submitted_at") == F.col("calendar_key"), "left")
+    missing = F.concat_ws(",", *[F.when(F.col(key).isNull(), F.lit(name)) for key, name in (
+        ("dept_key", "department"), ("service_key", "service_type"), ("sla_key", "sla"),
+        ("calendar_key", "time"))])
+    return _fact_row(keyed, has_survey(), missing.alias("missing_keys"),
+                     (missing == "").cast("int").alias("loaded"))

@@ -9,9 +9,9 @@ and returns a ``StoredWarehouse`` that reads those files:
    next to the small reference-table jobs;
 2. source tables: requests and surveys as narrow projections of the staging
    table; service types and SLA definitions aggregated from it;
-3. dimensions (sizes observed while written, for checked broadcasts), then the
-   fact (from the staging rows and broadcast dimensions) and the quarantine of
-   requests no dimension row matches.
+3. dimensions (sizes observed while written, for checked broadcasts), then, in one
+   pass over the staging rows with the dimensions broadcast, the fact and the
+   quarantine of requests that a lookup fails for: one table, partitioned by ``loaded``.
 
 Written tables cut lineage, so a lost executor costs at most the job in flight.
 KPI queries read the stored star schema, as a dashboard would.
@@ -37,6 +37,8 @@ SOURCE_TABLES = ("departments", "service_types", "sla_definitions", "service_req
                  "user_surveys")
 DIM_TABLES = ("dim_department", "dim_service_type", "dim_sla", "dim_time")
 STAR_TABLES = DIM_TABLES + ("fact_service_requests",)
+#: Requests that the fact leaves out, with the failed lookups (a part of the fact's table).
+QUARANTINE = "_quarantine/fact_orphans"
 
 
 class StoredWarehouse:
@@ -56,9 +58,12 @@ class StoredWarehouse:
         """The stored table (the file listing is done once and reused)."""
         df = self._tables.get(name)
         if df is None or df.sparkSession is not self.spark:
-            df = _read(self.spark, self.path(name))
-            if name == "fact_service_requests":
-                df = df.drop("submitted_year")
+            if name in ("fact_service_requests", QUARANTINE):  # one table, by partition
+                both = _read(self.spark, self.path("fact_service_requests"))
+                df = (both.where("loaded = 1").drop("loaded", "missing_keys") if name != QUARANTINE else
+                      both.where("loaded = 0").select("request_id", "request_ref", "missing_keys"))
+            else:
+                df = _read(self.spark, self.path(name))
             self._tables[name] = df
         return df
 
@@ -159,15 +164,16 @@ def load(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredWar
 
     def fact_table():
         wh = StoredWarehouse(spark, root, sizes)
-        df = fact.build_fact_from_staging(read(at("_staging/requests")), wh.dim("dim_department"),
-                                          wh.dim("dim_service_type"), wh.dim("dim_sla"))
-        return df.withColumn("submitted_year", F.year("submitted_at"))
+        return fact.fact_and_orphans(read(at("_staging/requests")), wh.dim("dim_department"),
+                                     wh.dim("dim_service_type"), wh.dim("dim_sla"), wh.dim("dim_time"))
 
     staging = lambda: read(at("_staging/requests"))
     steps = {
-        "_staging/requests": ([], write("_staging/requests", lambda: binding.request_staging(src))),
         "departments": ([], write("departments", lambda: binding.departments(src))),
-        "service_catalog": ([], write("service_catalog", lambda: binding.service_catalog(src))),
+        "service_catalog": ([], write("service_catalog", lambda: binding.service_catalog(src), dim=True)),
+        "_staging/requests": (["service_catalog"], write(
+            "_staging/requests", lambda: binding.request_staging(
+                src, catalog=StoredWarehouse(spark, root, sizes).dim("service_catalog")))),
         "dim_time": ([], write("dim_time", lambda: dims.dim_time(binding.calendar_bounds(src)),
                                dim=True)),
         "dim_department": (["departments"], write(
@@ -185,19 +191,11 @@ def load(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredWar
                                                            staging()))),
         "sla_definitions": (["_staging/requests"], write(
             "sla_definitions", lambda: binding.sla_definitions(staging()))),
-        # same SLA rows as the sla_definitions table, straight from staging, so
-        # the fact does not wait for that write
-        "dim_sla": (["_staging/requests"], write(
-            "dim_sla", lambda: dims.dim_sla(binding.sla_definitions(staging())), dim=True)),
+        "dim_sla": (["sla_definitions"], write(
+            "dim_sla", lambda: dims.dim_sla(read(at("sla_definitions"))), dim=True)),
         "fact_service_requests": (
             ["_staging/requests", "dim_department", "dim_service_type", "dim_sla", "dim_time"],
-            write("fact_service_requests", fact_table, partition_by=["submitted_year"])),
-        # requests the fact's inner dimension joins leave out, with the failed lookups
-        "_quarantine/fact_orphans": (
-            ["_staging/requests", "dim_department", "dim_service_type", "dim_sla"],
-            write("_quarantine/fact_orphans", lambda: fact.split_orphans(
-                binding.requests_from_staging(staging()), read(at("dim_department")),
-                read(at("dim_service_type")), read(at("dim_sla"))))),
+            write("fact_service_requests", fact_table, partition_by=["loaded"])),
     }
     run_steps(steps)
     return StoredWarehouse(spark, root, sizes)
@@ -225,11 +223,11 @@ def input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.md5("\n".join(parts).encode()).hexdigest()[:16]
 
 
-def lasting_root(spark: SparkSession, sf_dir: str) -> str | None:
-    """Where the warehouse of this input lasts, or None if ``ROOT_SETTING`` isn't set.
+def lasting_root(spark: SparkSession, sf_dir: str, kind: str = "warehouse") -> str | None:
+    """Where the warehouse (or stream) of this input lasts, or None if ``ROOT_SETTING`` isn't set.
     Another input, or changed files, gives another folder."""
     root = spark.conf.get(ROOT_SETTING, None)
-    return f"{root.rstrip('/')}/warehouse-{input_fingerprint(spark, sf_dir)}" if root else None
+    return f"{root.rstrip('/')}/{kind}-{input_fingerprint(spark, sf_dir)}" if root else None
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> StoredWarehouse:

@@ -223,12 +223,14 @@ _register("fact_quarantine",
 SELECT r.request_id, r.request_ref,
        concat_ws(',', CASE WHEN dd.dept_key IS NULL THEN 'department' END,
                       CASE WHEN ds.service_key IS NULL THEN 'service_type' END,
-                      CASE WHEN dl.sla_key IS NULL THEN 'sla' END) AS missing_keys
+                      CASE WHEN dl.sla_key IS NULL THEN 'sla' END,
+                      CASE WHEN t.time_key IS NULL THEN 'time' END) AS missing_keys
 FROM service_requests r
 LEFT JOIN dim_department dd   ON r.department_id = dd.department_id
 LEFT JOIN dim_service_type ds ON r.service_type_id = ds.service_type_id
 LEFT JOIN dim_sla dl          ON r.sla_id = dl.sla_id
-WHERE dd.dept_key IS NULL OR ds.service_key IS NULL OR dl.sla_key IS NULL"""))
+LEFT JOIN dim_time t          ON t.full_date = CAST(r.submitted_at AS DATE)
+WHERE dd.dept_key IS NULL OR ds.service_key IS NULL OR dl.sla_key IS NULL OR t.time_key IS NULL"""))
 
 _register("dq_score_range",
           lambda spark, sf_dir: quality.score_range(warehouse(spark, sf_dir).user_surveys),
@@ -310,6 +312,8 @@ SELECT event_type AS department, COUNT(*) AS events FROM events GROUP BY event_t
 _register("stream_by_priority", ev.stream_by_priority, f"""
 SELECT {_EVENT_PRIORITY_SQL} AS priority, COUNT(*) AS events FROM events GROUP BY 1""")
 _register("stream_total", ev.stream_total, "SELECT COUNT(*) AS total_events FROM events")
+_register("stream_quarantine", ev.stream_quarantine, """
+SELECT event_id, CAST(event_type = 'signup' AS INTEGER) AS whole FROM events WHERE event_type IN ('signup', 'error')""")
 _register("stream_projection", ev.stream_projection, f"""
 SELECT 'EVT-' || CAST(event_id AS VARCHAR) AS request_ref, event_type AS department,
        'SVC-' || CAST(user_id AS VARCHAR) AS service_type, {_EVENT_PRIORITY_SQL} AS priority,

@@ -77,7 +77,7 @@ def order_lines(src: SourceTables) -> DataFrame:
         F.collect_set(F.to_date("l_shipdate")).alias("ship_days"),
         F.count_if(ret).alias("returned_lines"),
         F.sum(F.when(ret, F.round(F.col("l_discount") * 100).cast("long"))).alias("discount_pts"),
-        F.sum(F.when(ret, F.col("l_quantity"))).alias("quantity_sum"),
+        F.sum(F.when(ret, F.col("l_quantity").cast("decimal(18,2)"))).alias("quantity_sum"),
         F.sum(F.when(ret, F.round(F.col("l_tax") * 100).cast("long"))).alias("tax_pts"),
     )
 
@@ -98,8 +98,12 @@ def request_staging(src: SourceTables, lines: DataFrame | None = None,
     orders = src.table("orders", "o_orderkey", "o_custkey", "o_orderstatus",
                                   "o_orderdate", "o_orderpriority")
     cust = src.table("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    part = src.table("part", "p_partkey", "p_type")
+    # the type is looked up per part, never per request
     types = catalog.select(F.col("service_code").alias("p_type"), "service_type_id")
+    part = src.table("part", "p_partkey", "p_type").join(types, "p_type", "left")
+    # orders without lines get a key of their own, so that they don't all meet in one
+    # partition of the part join; the second condition keeps them from matching
+    part_key = F.coalesce("first_partkey", -F.abs("o_orderkey") - 1)
 
     # completion is resolved right after the order-key join, so the ship-day
     # sets are dropped before the customer and part shuffles
@@ -112,8 +116,7 @@ def request_staging(src: SourceTables, lines: DataFrame | None = None,
                          "returned_lines", "discount_pts", "quantity_sum", "tax_pts"))
     df = (per_order
           .join(cust, per_order.o_custkey == cust.c_custkey, "left")
-          .join(part, F.col("first_partkey") == part.p_partkey, "left")
-          .join(types, "p_type", "left"))
+          .join(part, (part_key == part.p_partkey) & F.col("first_partkey").isNotNull(), "left"))
 
     pos = priority_position(F.col("o_orderpriority"))
     sla_id = F.when(F.col("service_type_id").isNotNull() & (pos > 0),
@@ -160,7 +163,7 @@ def survey_scores() -> list[F.Column]:
     NULL when the request has no returned line."""
     n = F.col("returned_lines").cast("double")
     d = F.col("discount_pts") / n
-    q = F.col("quantity_sum") / n
+    q = F.col("quantity_sum").cast("double") / n
     t = F.col("tax_pts") / n
     raw = {"satisfaction_score": F.lit(1.0) + F.lit(4.0) * d / F.lit(10.0),
            "ease_of_use_score": F.lit(1.0) + q / F.lit(12.5),

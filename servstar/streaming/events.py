@@ -5,16 +5,15 @@ Producer (IO11, F28): the given ``events`` table is bound to the event record
 ``value`` column. It goes to Kafka when broker options are given, else to JSON
 text files (one message per line) that a file stream reads the same way.
 
-Consumer: one stateful query keyed by (department, priority) — the running
-per-department, per-priority and total counts of the reference are sums over
-its cells, so three summaries cost one state store bounded by the key domain
-(no watermark needed). ``availableNow`` drains what is there and stops (ST6);
-the checkpoint records progress (ST7), so a restart adds nothing. Each
-micro-batch writes the complete counts as a new snapshot of the small sink
-table (idempotent when a batch is replayed after a failure; readers take the
-newest committed snapshot, never a half-written one). Messages that do not
-decode, or lack department / priority, go to a quarantine sink instead of
-stopping the stream.
+Consumer: one query that decodes each message once. Its batch function adds the
+micro-batch's counts per (department, priority) to the newest committed snapshot of the
+count table and keeps messages that do not decode, or lack department / priority, in a
+quarantine table. The running per-department, per-priority and total counts of the
+reference are sums over the cells, so three summaries cost one small table.
+``availableNow`` drains what is there and stops (ST6); the checkpoint records progress
+(ST7), so a restart adds nothing. Each micro-batch writes folders of its own, numbered by
+the batch, from the snapshot before it: a batch replayed after a failure gives the same
+folders, and readers take the newest committed one, never a half-written one.
 """
 
 from __future__ import annotations
@@ -26,8 +25,9 @@ from pyspark.sql import functions as F
 
 from servstar import schemas
 from servstar.functions.expr import event_priority
+from servstar.plans.warehouse import lasting_root
 from servstar.session import scratch_path
-from servstar.sources.tables import SourceTables
+from servstar.sources.tables import SourceTables, path_exists
 
 # Fixed values of the event record.
 EVENT_TYPE = "SERVICE_REQUEST_CREATED"
@@ -120,20 +120,31 @@ def projection(decoded: DataFrame) -> DataFrame:
 
 
 def cell_counts(decoded: DataFrame) -> DataFrame:
-    """ST3-ST5 in one stateful aggregate keyed by (department, priority)."""
+    """ST3-ST5 in one aggregate keyed by (department, priority)."""
     return decoded.where("_ok").groupBy("department", "priority") \
                   .agg(F.count(F.lit(1)).alias("events"))
 
 
-def _snapshot_to(path: str, keep: int = 2):
-    """foreachBatch writer: each micro-batch's complete state goes to its own
-    ``batch_id=<n>`` folder (a replayed batch rewrites only its own folder),
-    so a reader never sees a half-written table; older snapshots beyond
-    ``keep`` are removed after the new one commits."""
+def _counts_to(path: str, quarantine: str | None = None, keep: int = 2):
+    """foreachBatch writer of the running counts and the quarantine (module docstring);
+    snapshots beyond ``keep`` are removed after the new one commits."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        for old in _snapshots(batch.sparkSession, path)[:-keep]:
-            _delete(batch.sparkSession, f"{path}/batch_id={old}")
+        spark = batch.sparkSession
+        batch = batch.persist()  # two writers, one read and one parse; bounded by the files per trigger
+        try:
+            counts = cell_counts(batch)
+            before = [n for n in _snapshots(spark, path) if n < batch_id]
+            if before:
+                kept = spark.read.schema(counts.schema).parquet(f"{path}/batch_id={before[-1]}")
+                counts = counts.unionByName(kept).groupBy("department", "priority").agg(F.sum("events").alias("events"))
+            counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            bad = batch.where(~F.col("_ok")).select("raw")
+            if quarantine and not bad.isEmpty():
+                bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+        for old in _snapshots(spark, path)[:-keep]:
+            _delete(spark, f"{path}/batch_id={old}")
     return write
 
 
@@ -178,23 +189,15 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
 def start_counts(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str,
                  quarantine: str | None = None):
     """Start draining the stream into the cell-count table (and quarantine)."""
-    decoded = decode(source)
-    q = (cell_counts(decoded).writeStream.outputMode("complete")
-         .foreachBatch(_snapshot_to(sink))
-         .option("checkpointLocation", f"{checkpoint}/counts")
-         .trigger(availableNow=True).start())
-    queries = [q]
-    if quarantine:
-        queries.append(start_quarantine(spark, source, quarantine, f"{checkpoint}/quarantine"))
-    return queries
-
-
-def start_quarantine(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str):
-    """Messages that do not decode, or lack department / priority, kept raw."""
-    bad = decode(source).where(~F.col("_ok")).select("raw")
-    return (bad.writeStream.format("parquet").outputMode("append")
-            .option("path", sink).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return [decode(source).writeStream.foreachBatch(_counts_to(sink, quarantine))
+            .option("checkpointLocation", f"{checkpoint}/counts").trigger(availableNow=True).start()]
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that do not decode, or lack department / priority, kept raw (none: no rows)."""
+    if not folder_numbers(spark, path, "batch_id="):
+        return spark.createDataFrame([], "raw string")
+    return spark.read.schema("raw string, batch_id long").parquet(path).select("raw")
 
 
 def start_projection(spark: SparkSession, source: DataFrame, sink: str, checkpoint: str):
@@ -211,12 +214,9 @@ def await_all(queries) -> None:
             raise q.exception()
 
 
-# State partitions of the count query. Its keys are bounded by the
-# (department, priority) domain, and the first start fixes the number for the
-# life of the checkpoint, so it is sized to the keys rather than to the
-# cluster-wide shuffle setting (which would mean thousands of state-store
-# tasks per micro-batch for a few dozen keys). A department holding a large
-# share of events is combined per task before the shuffle.
+# Shuffle partitions of the count query: its rows are one per (department, priority) and task,
+# so it is sized to the keys rather than to the cluster-wide shuffle setting. A department holding
+# a large share of events is combined per task before the shuffle.
 STATE_PARTITIONS = 8
 # Files per micro-batch: bounds the size of one batch when a large backlog is
 # drained (tests use 1 to force many batches).
@@ -253,21 +253,24 @@ _LOCK = threading.Lock()
 class StreamRun:
     """Messages produced from ``events`` of one folder, and the consumer sinks.
 
-    The messages are published once; each consumer (the count query with the
-    quarantine of unreadable messages; the per-event projection) is drained on
-    first use, so no summary loses a message without a trace.
-    """
+    The messages are published once; each consumer (counts with the quarantine of unreadable
+    messages; the per-event projection) is drained on first use. With ``spark.servstar.root``
+    set, messages, sinks and checkpoints last there: a later application goes on after the last
+    committed batch. ``spoil`` changes the messages before they are published."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spoil=None):
         self.spark = spark
-        root = scratch_path(spark, "stream")
+        kind = "stream" if spoil is None else f"stream-{spoil.__name__}"
+        root = lasting_root(spark, sf_dir, kind) or scratch_path(spark, kind)
         self.messages = f"{root}/messages"
         self.counts = f"{root}/counts"
         self.quarantine = f"{root}/quarantine"
         self.projected = f"{root}/projection"
         self.checkpoint = f"{root}/_checkpoints"
-        src = SourceTables(spark, sf_dir)
-        produce(encode(event_records(src.table("events"))), self.messages)
+        if not path_exists(spark, f"{self.messages}/_SUCCESS"):
+            _delete(spark, self.messages)  # what an interrupted application left
+            messages = encode(event_records(SourceTables(spark, sf_dir).table("events")))
+            produce(spoil(messages) if spoil else messages, self.messages)
         self._done: set[str] = set()
         self._lock = threading.Lock()
 
@@ -287,30 +290,37 @@ class StreamRun:
             await_all(queries)
             self._done.add(which)
 
-    def table(self, which: str) -> DataFrame:
+    def table(self, which: str, spark: SparkSession | None = None) -> DataFrame:
+        """A sink, read through ``spark`` (its own session by default)."""
+        spark = spark or self.spark
         self._drain("projected" if which == "projected" else "counts")
         if which == "counts":
-            return read_counts(self.spark, self.counts)
-        return self.spark.read.parquet(getattr(self, which))
+            return read_counts(spark, self.counts)
+        if which == "quarantine":
+            return read_quarantine(spark, self.quarantine)
+        return spark.read.parquet(self.projected)
 
 
-def stream_run(spark: SparkSession, sf_dir: str) -> StreamRun:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def stream_run(spark: SparkSession, sf_dir: str, spoil=None) -> StreamRun:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), spoil)
     with _LOCK:
         run = _RUNS.get(key)
         if run is None:
-            run = StreamRun(spark, sf_dir)
+            run = StreamRun(spark, sf_dir, spoil)
             _RUNS[key] = run
         return run
 
 
-def _table(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, which: str, spoil=None) -> DataFrame:
     """A sink of the folder's stream run, read through the calling session."""
-    run = stream_run(spark, sf_dir)
-    run.table(which)  # drains the consumer on first use
-    if which == "counts":
-        return read_counts(spark, run.counts)
-    return spark.read.parquet(getattr(run, which))
+    return stream_run(spark, sf_dir, spoil).table(which, spark)
+
+
+def faulty(messages: DataFrame) -> DataFrame:
+    """What a faulty producer sends: texts of 'error' events cut short, 'signup' events without a priority."""
+    department = F.get_json_object("value", "$.department")
+    return messages.withColumn("value", F.when(department == "error", F.substring("value", 1, 40)).when(
+        department == "signup", F.regexp_replace("value", ',"priority":"[^"]*"', "")).otherwise(F.col("value")))
 
 
 # -- registry adapters ---------------------------------------------------------------
@@ -326,6 +336,13 @@ def stream_total(spark, sf_dir):
     return total(_table(spark, sf_dir, "counts"))
 
 
+def stream_quarantine(spark, sf_dir):
+    """Unreadable messages of a faulty producer: event id, and whether the text is whole."""
+    bad = _table(spark, sf_dir, "quarantine", faulty)
+    return bad.select(F.regexp_extract("raw", r'"event_id":"(\d+)"', 1).cast("long").alias("event_id"),
+                      F.endswith("raw", F.lit("}")).cast("int").alias("whole"))
+
+
 def stream_projection(spark, sf_dir):
     df = _table(spark, sf_dir, "projected")
     return df.select("request_ref", "department", "service_type", "priority",

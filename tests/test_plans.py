@@ -6,6 +6,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF0001
 
@@ -21,8 +22,8 @@ def _plan(df) -> str:
 
 def _fact_read_schema(plan: str) -> str:
     for line in plan.splitlines():
-        # the fact is the one table partitioned by submitted_year
-        if "FileScan" in line and "submitted_year" in line:
+        # the fact is the one table partitioned by loaded
+        if "FileScan" in line and "loaded" in line:
             return re.search(r"FileScan parquet \[([^\]]*)\]", line).group(1)
     raise AssertionError("no fact scan in plan")
 
@@ -56,6 +57,35 @@ def test_load_fact_build_does_not_shuffle_requests(spark):
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
 
 
+def test_staging_never_shuffles_by_part_type(spark):
+    """One line-sized shuffle; the type is looked up per part, with broadcasts of part off."""
+    from servstar.plans.warehouse import warehouse
+    from servstar.sources import binding
+    from servstar.sources.tables import SourceTables
+    ss = spark.newSession()
+    ss.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    catalog = F.broadcast(ss.read.parquet(warehouse(spark, SF0001).path("service_catalog")))
+    plan = _plan(binding.request_staging(SourceTables(ss, SF0001), catalog=catalog))
+    shuffles = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert not [ln for ln in shuffles if "p_type" in ln]
+    assert len([ln for ln in shuffles if "hashpartitioning(l_orderkey" in ln]) == 1
+
+
+def test_fact_and_quarantine_come_from_one_scan(spark):
+    from servstar.operators import fact
+    from servstar.plans.warehouse import warehouse
+    wh = warehouse(spark, SF0001)
+    staging = spark.read.parquet(wh.path("_staging/requests"))
+    df = fact.fact_and_orphans(staging, *[wh.dim(d) for d in ("dim_department", "dim_service_type", "dim_sla", "dim_time")])
+    plan = _plan(df)
+    assert plan.count("FileScan") == 5 and "hashpartitioning" not in plan  # staging and four dimensions
+    # no submit date: no calendar day, so quarantine
+    late = fact.fact_and_orphans(staging.withColumn("submitted_at", F.lit(None).cast("timestamp_ntz")), *[
+        wh.dim(d) for d in ("dim_department", "dim_service_type", "dim_sla", "dim_time")])
+    assert late.where("loaded = 1").count() == 0
+    assert late.where("missing_keys NOT LIKE '%time'").count() == 0
+
+
 def test_line_aggregate_combines_map_side(spark):
     from servstar.sources import binding
     from servstar.sources.tables import SourceTables
@@ -68,5 +98,5 @@ def test_orphan_report_scans_the_fact_once(spark):
     df = queries()["dq_orphans"](spark, SF0001)
     df.collect()
     final = _plan(df).split("== Initial Plan ==")[0]
-    scans = [ln for ln in final.splitlines() if "FileScan" in ln and "submitted_year" in ln]
+    scans = [ln for ln in final.splitlines() if "FileScan" in ln and "loaded#" in ln]
     assert len(scans) == 1        # four foreign keys, one pass

@@ -100,3 +100,30 @@ def test_summaries_quarantine_what_they_cannot_read(spark, tmp_path):
     good = spark.read.parquet(f"{folder}/events.parquet").count()
     assert ev.total(run.table("counts")).first()[0] == good
     assert sorted(r.raw for r in run.table("quarantine").collect()) == sorted(bad)
+
+
+def test_stream_goes_on_in_a_later_application(spark, monkeypatch):
+    """With a lasting root, a second run publishes nothing and counts nothing twice."""
+    from servstar.plans.warehouse import ROOT_SETTING
+    spark.conf.set(ROOT_SETTING, scratch_path(spark, "lasting-stream"))
+    try:
+        first = ev.StreamRun(spark, SF0001)
+        n = ev.total(first.table("counts")).first()[0]
+        batches = ev._snapshots(spark, first.counts)
+        monkeypatch.setattr(ev, "produce", None)
+        second = ev.StreamRun(spark, SF0001)
+        assert ev.total(second.table("counts")).first()[0] == n > 0
+        assert second.counts == first.counts and ev._snapshots(spark, second.counts) == batches
+    finally:
+        spark.conf.unset(ROOT_SETTING)
+
+
+def test_a_replayed_batch_changes_nothing(spark):
+    good = [('{"event_id":"%d","request_ref":"R","department":"D","priority":"LOW"}' % k,) for k in range(5)]
+    batches = [ev.decode(spark.createDataFrame(rows, "value string")) for rows in (good, [*good, ("bad",)])]
+    root = scratch_path(spark, "replayed")
+    write = ev._counts_to(f"{root}/counts", f"{root}/quarantine")
+    for k in (0, 1, 1):
+        write(batches[k], k)
+        assert ev.read_counts(spark, f"{root}/counts").first().events == 5 * (k + 1)
+    assert [r.raw for r in ev.read_quarantine(spark, f"{root}/quarantine").collect()] == ["bad"]
