@@ -25,8 +25,8 @@ from servstar.llm.common import components, mixed, written
 THRESHOLD = 0.95
 #: At the threshold a pair meets in a table with probability 0.56, in one of 8 with 0.998 or more.
 TABLES, PROBES, SCALE = 8, 4, 6.0
-#: Rows of a cell beyond which its visitors are dealt to several tasks.
-CELL_ROWS = 4096
+#: Rows of a cell beyond which its visitors are dealt to several tasks, and beyond which its homes are, too.
+CELL_ROWS, HOME_ROWS = 4096, 16384
 BLOCK = 1024
 
 
@@ -202,15 +202,22 @@ def link_rows(vectors: DataFrame, threshold: float, dims: int, tables: int, prob
             yield from done(pa.concat_tables(held))
 
     rows = vectors.mapInArrow(keys, "t int, cell long, home boolean, node long, m long, x binary")
-    # Cells of many rows: every task of such a cell gets all homes and its share of the visitors.
+    # Cells of many rows are dealt to a grid of tasks: a visitor goes to its row of the grid, a home to its
+    # column, so every visitor meets every home in one task, and no task holds a whole cell.
+    parts_of = lambda n: F.ceil(F.col("rows") / n)
     large = written(rows.groupBy("t", "cell").agg(F.count("*").alias("rows")).filter(F.col("rows") > CELL_ROWS)
-                    .select("t", "cell", F.ceil(F.col("rows") / CELL_ROWS).cast("int").alias("parts")), "large-cells")
-    rows = rows.join(large, ["t", "cell"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    dealt = rows.withColumn("salt", F.explode(F.when(F.col("home"), F.sequence(F.lit(0), F.col("parts") - 1))
-                                              .otherwise(F.array(own))))
-    # A home also is a visitor of its cell, in its own share only.
-    dealt = dealt.withColumn("visits", ~F.col("home") | (F.col("salt") == own)).drop("parts")
+                    .select("t", "cell", parts_of(CELL_ROWS).alias("parts"), parts_of(HOME_ROWS).alias("home_parts")),
+                    "large-cells")
+    one = F.lit(1).cast("long")
+    rows = rows.join(large, ["t", "cell"], "left").withColumns(
+        {c: F.coalesce(F.col(c), one) for c in ("parts", "home_parts")})
+    across = F.col("home_parts")
+    own, own_home = F.pmod(F.xxhash64("node"), F.col("parts")), F.pmod(F.xxhash64("node"), across)
+    as_visitor = F.transform(F.sequence(one - 1, across - 1), lambda k: own * across + k)
+    as_home = F.transform(F.sequence(one - 1, F.col("parts") - 1), lambda k: k * across + own_home)
+    dealt = rows.withColumn("salt", F.explode(F.when(F.col("home"), F.array_union(as_visitor, as_home)).otherwise(as_visitor)))
+    dealt = dealt.withColumns({"visits": F.floor(F.col("salt") / across) == own,
+                               "home": F.col("home") & (F.col("salt") % across == own_home)}).drop("parts", "home_parts")
     return dealt.repartition("t", "cell", "salt").sortWithinPartitions("t", "cell", "salt").mapInArrow(
         run, "u long, v long, n long")
 
