@@ -38,21 +38,23 @@ def named(**fields):
 
 
 def found(text, kind: str, pattern: str, order: int, keep):
-    """Array of (start, rank, end, kind, value) of the pattern's matches that ``keep`` holds for.
+    """Array of (start, rank, end, kind, value) of the pattern's matches; ``keep`` tells of such a span
+    whether it stays, so that the array only grows by those.
 
     ``split`` gives what lies between the matches, so starts are running lengths."""
     match = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
 
     def step(acc, x):
-        start = acc["at"] + F.length(x["b"])
-        end = start + F.length(x["m"])
+        start = acc["at"] + x["gap"]
+        end = start + x["size"]
         span = named(start=start, rank=F.lit(order), end=end, kind=F.lit(kind), value=x["m"])
-        return named(at=end, out=F.when(keep(x["m"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]))
+        return named(at=end, out=F.when(keep(span), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]))
 
     kind_of = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
     none = F.array().cast(kind_of)
-    pairs = F.zip_with(F.slice(between, 1, F.size(match)), match, lambda b, m: named(b=b, m=m))
+    pairs = F.zip_with(F.slice(between, 1, F.size(match)), match,
+                       lambda b, m: named(gap=F.length(b), size=F.length(m), m=m))
     every = F.aggregate(pairs, named(at=F.lit(0), out=none), step, lambda acc: acc["out"])
     return F.when(F.size(match) > 0, every.cast(kind_of)).otherwise(none)
 
@@ -61,7 +63,7 @@ def base_spans(text):
     """The spans of the three rules by start, then kind as listed."""
     def one(order: int, kind: str, pattern: str, least: int, group: int):
         value = (lambda m: F.regexp_extract(m, pattern, group)) if group else (lambda m: m)
-        return found(text, kind, SEARCH.get(kind, pattern), order, lambda m: F.length(value(m)) >= least)
+        return found(text, kind, SEARCH.get(kind, pattern), order, lambda s: F.length(value(s["value"])) >= least)
     return F.array_sort(F.concat(*[one(i, *rule) for i, rule in enumerate(RULES)]))
 
 
@@ -70,12 +72,6 @@ def secret_value(span):
     return F.when(span["kind"] == "assign", F.regexp_extract(span["value"], RULES[0][1], 2)).otherwise(span["value"])
 
 
-def ordinary_tokens(text, spans):
-    """Tokens that touch no base span."""
-    return F.filter(found(text, "markov", TOKEN, len(RULES), lambda m: F.lit(True)),
-                    lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-
-
 def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", random_texts: int = RANDOM_TEXTS,
           ordinary_texts: int = ORDINARY_TEXTS) -> list[float]:
     """Log-likelihood ratio of each transition (previous character, next character; 0 stands
@@ -115,14 +111,23 @@ def ratio(value, table: list[float]):
     return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x)
 
 
+def random_tokens(text, spans, table: list[float]):
+    """Tokens that the models take for random and that touch no base span. The models judge first, as few
+    tokens are left for the comparison with the spans then."""
+    def keep(t):
+        least = F.greatest(F.lit(LEAST_RATIO), LEAST_MEAN * F.length(t["value"]))
+        return (ratio(t["value"], table) >= least) & ~F.exists(
+            spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
+    return found(text, "markov", TOKEN, len(RULES), keep)
+
+
 def scan(docs: DataFrame, table: list[float], text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, base, spans): arrays of (start, rank, end, kind, value) of every row's whole
     text, by code points, end exclusive. ``base`` has the rules' matches, ``spans`` also the tokens
     that the models take for random (kind ``markov``). NULL is empty: two empty arrays."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), t.alias("text")).withColumn("base", base_spans(F.col("text")))
-    more = F.filter(ordinary_tokens(F.col("text"), F.col("base")), lambda s: F.when(
-        F.length(s["value"]) > 1, ratio(s["value"], table)) >= F.greatest(F.lit(LEAST_RATIO), LEAST_MEAN * F.length(s["value"])))
+    more = random_tokens(F.col("text"), F.col("base"), table)
     return rows.select("doc_id", "base", F.array_sort(F.concat("base", more)).alias("spans"))
 
 

@@ -169,9 +169,11 @@ def test_lattice_links_and_odd_vectors(spark):
     assert embedding_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
-def test_large_cells_are_dealt_out(spark, monkeypatch):
+@pytest.mark.parametrize("cell_rows, home_rows", [(16, 1 << 14), (16, 50), (7, 7)])
+def test_large_cells_are_dealt_out(spark, monkeypatch, cell_rows, home_rows):
     from servstar.llm import lattice
-    monkeypatch.setattr(lattice, "CELL_ROWS", 16)
+    monkeypatch.setattr(lattice, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(lattice, "HOME_ROWS", home_rows)
     g = np.random.default_rng(2)
     v = g.normal(size=16)
     rows = [(k, (v + g.normal(size=16) * 0.01).tolist()) for k in range(150)]
@@ -285,6 +287,18 @@ def test_secret_odd_rows_and_models(spark, odd_docs, none):
     assert [got[k] for k in range(len(more), len(rows))] == [""] * len(plain)
 
 
+def test_secrets_of_a_text_with_many_tokens(spark):
+    """Work grows with the tokens of a text, not with their square."""
+    from pyspark.sql import functions as F
+
+    from servstar.llm import secrets
+    text = " ".join(f"some-plain-token-{k}" for k in range(100_000)) + " AKIA" + "B2C3" * 5
+    table = secrets.train(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), table).select(
+        secrets.joined(F.col("base"))).first()[0]
+    assert got == f"access:{len(text) - 24}:{len(text)}"
+
+
 # -- 5 --------------------------------------------------------------------------------------------
 
 def test_mixing_odd_rows(odd_docs, none):
