@@ -4,8 +4,8 @@ Every task tokenises its documents, cuts whole windows off long ones and keeps a
 bounded pool of the remaining lengths. A window takes the longest remaining piece, and
 bitset subset-sum dynamic programming over the pool's lengths finds the multiset
 that fills the rest closest to capacity; its counts are backtracked and the pattern
-is used as often as the pool allows. Nothing is shuffled: a pool of a few
-thousand pieces fills its windows exactly, so more pieces would gain nothing.
+is used as often as the pool allows. If it leaves a gap, one more piece is cut to fill it
+and the piece's rest goes back to the pool. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from servstar.llm.common import documents
 
 CAPACITY = 2048
 END_ID = 1
-#: Pieces that a task holds at most; bounds its memory.
+#: Pieces that a task holds at most (or fewer ids than a window); bounds its memory.
 POOL = 8192
 #: Words whose ids a Python worker remembers at most.
 CACHE_WORDS = 300_000
@@ -119,7 +119,7 @@ class Packer:
         self.emit, self.capacity = emit, capacity
         self.pool: dict[int, list] = defaultdict(list)
         self.counts = np.zeros(capacity, dtype=np.int64)
-        self.held = self.sequences = 0
+        self.held = self.tokens = self.sequences = 0
 
     def add(self, doc_id, ids: bytes) -> None:
         tokens, step = len(ids) // 4, self.capacity
@@ -128,9 +128,20 @@ class Packer:
             if start + step <= tokens:
                 self.window([piece])
             else:
-                self.pool[tokens - start].append(piece)
-                self.counts[tokens - start] += 1
-                self.held += 1
+                self.put(piece)
+
+    def put(self, piece: tuple) -> None:
+        length = len(piece[2]) // 4
+        self.pool[length].append(piece)
+        self.counts[length] += 1
+        self.held += 1
+        self.tokens += length
+
+    def take(self, length: int) -> tuple:
+        self.counts[length] -= 1
+        self.held -= 1
+        self.tokens -= length
+        return self.pool[length].pop()
 
     def window(self, pieces: list) -> None:
         offset = 0
@@ -140,31 +151,32 @@ class Packer:
         self.sequences += 1
 
     def pack(self, keep: int) -> None:
-        """Fill windows until ``keep`` pieces are left or none fills exactly."""
-        while self.held > keep:
+        """Fill windows until ``keep`` pieces are left or all that are left don't fill one. Where none fill the
+        longest piece's window exactly, they fill it as closely as they can and one more is cut to the gap."""
+        while self.held > keep and self.tokens >= self.capacity:
             longest = int(np.flatnonzero(self.counts)[-1])
             self.counts[longest] -= 1
             fill = best_fill(self.counts, self.capacity - longest)
             self.counts[longest] += 1
-            if longest + sum(a * n for a, n in fill) < self.capacity:
-                return
             need = defaultdict(int, {longest: 1})
             for a, n in fill:
                 need[a] += n
-            for _ in range(min(len(self.pool[a]) // n for a, n in need.items())):
-                self.window([self.pool[a].pop() for a, n in need.items() for _ in range(n)])
-                for a, n in need.items():
-                    self.counts[a] -= n
-                self.held -= sum(need.values())
+            gap = self.capacity - sum(a * n for a, n in need.items())
+            for _ in range(1 if gap else min(len(self.pool[a]) // n for a, n in need.items())):
+                row = [self.take(a) for a, n in need.items() for _ in range(n)]
+                if gap:  # every piece left is longer than the gap, or it would be in the fill
+                    doc_id, start, ids, tokens = self.take(int(np.flatnonzero(self.counts)[-1]))
+                    row.append((doc_id, start, ids[:4 * gap], tokens))
+                    self.put((doc_id, start + gap, ids[4 * gap:], tokens))
+                self.window(row)
 
     def finish(self) -> None:
-        """What fills no window exactly is cut: whole windows, then powers of two, which need no padding."""
+        """What is left, less than a window, is cut into powers of two, which need no padding."""
         self.pack(0)
         rest = [p for a in sorted(self.pool, reverse=True) for p in self.pool[a]]
         left = sum(len(p[2]) // 4 for p in rest)
-        room, row = 0, []
-        size = lambda n: self.capacity if n >= self.capacity else 1 << (n.bit_length() - 1)
-        room = size(left) if left else 0
+        size = lambda n: 1 << (n.bit_length() - 1)
+        room, row = size(left) if left else 0, []
         for doc_id, start, ids, tokens in rest:
             while ids:
                 part = ids[:4 * room]
@@ -176,7 +188,7 @@ class Packer:
                     row, room = [], size(left) if left else 0
         self.pool.clear()
         self.counts[:] = 0
-        self.held = 0
+        self.held = self.tokens = 0
 
 
 def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", doc_id: str = "doc_id",
@@ -211,8 +223,6 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", doc_id: str =
                     packer.add(d, ids + end)
                     if packer.held >= pool:
                         packer.pack(pool // 2)
-                        if packer.held >= pool:  # nothing fits exactly
-                            packer.finish()
                     if len(rows) >= 2000:
                         yield taken()
         packer.finish()

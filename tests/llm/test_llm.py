@@ -223,6 +223,27 @@ def test_packing_odd_rows(odd_docs, none):
     assert pack(none, tokenizer_file()).collect() == []
 
 
+@pytest.mark.parametrize("lengths, most", [([2043] + [50 + k % 350 for k in range(3000)], 20), ([50 + k * 37 % 1990 for k in range(3000)], 600),
+                                           ([2047] * 50, 49 + 10), ([300] * 100, 18), ([2043] * 3 + [9] * 10, 9)])
+def test_packing_goes_on_where_no_fill_is_exact(lengths, most):
+    """A window without an exact fill costs one cut, and the other pieces are still packed whole."""
+    from servstar.llm.packing import Packer
+    out = []
+    packer = Packer(lambda sequence, offset, p: out.append((p[0], p[1], p[2], sequence, offset)), 2048)
+    for k, n in enumerate(lengths):
+        packer.add(k, np.full(n, k, dtype="<u4").tobytes())
+    packer.finish()
+    of, rows = defaultdict(bytes), defaultdict(int)
+    for k, start, ids, sequence, offset in sorted(out, key=lambda r: (r[0], r[1])):
+        assert start == len(of[k]) // 4
+        of[k] += ids
+        rows[sequence] += len(ids) // 4
+    assert [of[k] for k in range(len(lengths))] == [np.full(n, k, dtype="<u4").tobytes() for k, n in enumerate(lengths)]
+    short = [n for n in rows.values() if n != 2048]
+    assert len(short) == len(set(short)) and all(n & (n - 1) == 0 for n in short) and sum(short) < 2048
+    assert len(out) - len(lengths) <= most
+
+
 def test_words_have_the_tokenizers_ids():
     from servstar.llm.packing import tokenizer_file, word_tokenizer
     r = random.Random(3)
