@@ -3,7 +3,8 @@
 Three rules find secrets by form. Two character Markov models find more: one of random
 strings, one of ordinary identifiers, both first-order over letters, digits and a few signs,
 trained from labelled samples (values that a rule hit are random strings, other long tokens
-are ordinary). A token is a secret if the log-likelihood ratio of the models is high enough.
+are ordinary, also in other cases and joined by signs). A token is a secret if the log-likelihood ratio of the
+models is high enough.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-.
 #: Texts that random and ordinary samples are taken from, about (those with the smallest hashes).
 RANDOM_TEXTS, ORDINARY_TEXTS = 20_000, 2_000
 SMOOTHING = 0.5
+#: What an ordinary transition counts in other cases, a word's first and last letter beside a sign that joins
+#: words, and such a sign beside itself: identifiers in capitals or of several words needn't be in the texts.
+CASES, JOINED, RUNS = 0.1, 0.25, 0.025
+JOINS = "_-/="
 #: Natural logarithm of the likelihood ratio, in all and per character, from which on a token is a secret.
 LEAST_RATIO, LEAST_MEAN = 12.0, 0.75
 
@@ -87,12 +92,16 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", random_te
         F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("v")) \
         .filter(~F.exists("base", lambda s: F.contains(s["value"], F.col("v")))).select(F.lit(0).alias("model"), "v")
     codes = F.transform(F.split("v", ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    edge = F.array(F.lit(size))  # before and after an ordinary token
+    codes = F.when(F.col("model") == 0, F.concat(edge, codes, edge)).otherwise(codes)
     pairs = random.unionByName(words).select("model", codes.alias("c")).filter(F.size("c") > 1).select(
         "model", F.explode(F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1),
-                                      lambda a, b: a * size + b)).alias("at"))
-    count = {m: [SMOOTHING] * (size * size) for m in (0, 1)}
+                                      lambda a, b: a * (size + 1) + b)).alias("at"))
+    seen = {m: [[0.0] * (size + 1) for _ in range(size + 1)] for m in (0, 1)}
     for r in pairs.groupBy("model", "at").count().collect():
-        count[r.model][r["at"]] += r["count"]
+        seen[r.model][r["at"] // (size + 1)][r["at"] % (size + 1)] += r["count"]
+    seen[0] = identifiers(seen[0])
+    count = {m: [x + SMOOTHING for row in seen[m][:size] for x in row[:size]] for m in seen}
     out = []
     for a in range(size):
         row = slice(a * size, (a + 1) * size)
@@ -101,6 +110,22 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", random_te
     return out
 
 
+def identifiers(seen: list[list[float]]) -> list[list[float]]:
+    """Ordinary counts (the last row and column: a token's edge) plus those of words joined by signs and in other cases."""
+    size, low = len(ALPHABET) + 1, [0] + [ALPHABET.index(c.lower()) + 1 for c in ALPHABET]
+    out = [row[:size] for row in seen[:size]]
+    for j in [ALPHABET.index(c) + 1 for c in JOINS]:
+        for x in range(size):
+            out[j][x] += JOINED * seen[size][x]
+            out[x][j] += JOINED * seen[x][size]
+        out[j][j] += RUNS * sum(seen[size])
+    folded = [[0.0] * size for _ in range(size)]
+    for a in range(size):
+        for b in range(size):
+            folded[low[a]][low[b]] += out[a][b]
+    return [[x + CASES * folded[low[a]][low[b]] for b, x in enumerate(row)] for a, row in enumerate(out)]
+
+
 def ratio(value, table: list[float]):
     """Log-likelihood ratio of a string: random against ordinary."""
     size = len(ALPHABET) + 1

@@ -308,6 +308,31 @@ def test_secret_odd_rows_and_models(spark, odd_docs, none):
     assert [got[k] for k in range(len(more), len(rows))] == [""] * len(plain)
 
 
+def test_models_on_random_strings_and_held_out_tokens(spark):
+    """Recall by alphabet, and no token of other texts taken for random; figures of the whole trial are in the README."""
+    import re
+    import string
+
+    from servstar.llm import secrets
+    table = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    r, up, low, digits = random.Random(11), string.ascii_uppercase, string.ascii_lowercase, string.digits
+    families = {(digits + "ABCDEF", 32): 0.8, (digits + "ABCDEF", 40): 0.8, (up + digits, 32): 0.97, (up + digits, 20): 0.97,
+                (up + "234567", 32): 0.97, (low + digits, 20): 0.97, (up, 24): 0.95, (low, 24): 0.95,
+                (up + low + digits, 20): 0.97, (up + low + digits + "+/", 40): 0.97}
+    rows = [(k, "".join(r.choice(alphabet) for _ in range(n))) for k, (alphabet, n) in enumerate(families) for _ in range(500)]
+    other = [t.text or "" for t in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(3000).collect()]
+    held = sorted({w for t in other for w in re.findall(secrets.TOKEN, t) if not brute.secrets(t)})
+    names = ["get_user_account_information", "getUserAccountInformation", "connection-pool-size-limit", "-" * 40, "_" * 40,
+             "DEFAULT_CONNECTION_TIMEOUT", "path/to/some/other/documents"]
+    rows += [(-1, w) for w in held] + [(-2, w) for w in names]
+    got = Counter(x.doc_id for x in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), table)
+                  .filter("size(spans) > size(base)").select("doc_id").collect())
+    assert got[-1] == 0 and len(held) > 50 and got[-2] == 0
+    for k, (family, least) in enumerate(families.items()):
+        found = got[k] / 500
+        assert found >= least, (family, found)
+
+
 def test_secrets_of_a_text_with_many_tokens(spark):
     """Work grows with the tokens of a text, not with their square."""
     from pyspark.sql import functions as F
