@@ -57,12 +57,24 @@ def hilbert_index(cells: list, bits: int = BITS):
     return F.aggregate(levels, start, level, lambda acc: acc["h"])
 
 
-def _number(col, dtype: str):
-    """A number in the order of the column: strings by their first six bytes."""
-    if dtype == "string":
-        return F.conv(F.substring(F.concat(F.hex(F.encode(F.coalesce(col, F.lit("")), "UTF-8")),
-                                           F.lit("0" * 12)), 1, 12), 16, 10).cast("long")
-    return F.coalesce(col.cast("long"), F.lit(0))
+def string_cuts(values: DataFrame, cells: int) -> list[str]:
+    """The values of the string column ``v`` that end each of the first ``cells`` - 1 equal parts of the sorted rows;
+    a frequent value ends several.
+
+    Equal values are counted first, the running counts are those of sorted partitions of distinct
+    values, and the driver gets at most ``cells`` of them."""
+    counts = values.groupBy("v").agg(F.count("*").alias("n"))
+    run = written(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "hilbert-values")
+    sums = run.groupBy("part").agg(F.sum("n").alias("rows"))
+    # One row per partition of the distinct values.
+    offsets = sums.select("part", (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("skip"),
+                          F.sum("rows").over(Window.partitionBy()).alias("total"))
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    ends = run.withColumn("upto", upto).join(offsets, "part").select(
+        "v", F.expr(f"(skip + upto - n) * {cells} div total").alias("first"),
+        F.expr(f"least((skip + upto) * {cells} div total, {cells - 1})").alias("last"))
+    return [r.v for r in sorted(ends.filter("first < last").collect(), key=lambda r: r["first"])
+            for _ in range(r["last"] - r["first"])]
 
 
 def hilbert_shards(docs: DataFrame, dims: list[str], text: str = "text", doc_id: str = "doc_id",
@@ -73,8 +85,8 @@ def hilbert_shards(docs: DataFrame, dims: list[str], text: str = "text", doc_id:
     at most one; ``slot`` numbers a shard's rows from 0. Ties on the curve are ordered
     by text hash (equal texts stay together), then id; a cell that holds a third of
     all rows is therefore cut like any other. NULL text: size 8, CRC of
-    nothing. NULL metadata sort first. ``dims``: two to four columns; strings count
-    by their first six bytes, others as integers.
+    nothing. NULL metadata sort first. ``dims``: two to four columns; strings are
+    quantised as whole values, others as integers.
 
     One range shuffle of narrow rows; row numbers come from the sorted
     partitions and their counts, not from a window over all rows."""
@@ -83,12 +95,17 @@ def hilbert_shards(docs: DataFrame, dims: list[str], text: str = "text", doc_id:
     narrow = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), (F.octet_length(t) + 8).cast("long").alias("size"),
         F.crc32(F.encode(t, "UTF-8")).alias("text_crc32"), F.xxhash64(t).alias("th"),
-        *[_number(F.col(f"`{c}`"), kinds[c]).alias(f"x{k}") for k, c in enumerate(dims)])
+        *[(F.coalesce(F.col(f"`{c}`"), F.lit("")) if kinds[c] == "string" else F.coalesce(F.col(f"`{c}`").cast("long"), F.lit(0)))
+          .alias(f"x{k}") for k, c in enumerate(dims)])
+    kind = ["string" if kinds[c] == "string" else "long" for c in dims]
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    quantiles = narrow.agg(*[F.percentile_approx(f"x{k}", cuts, 10000) for k in range(len(dims))]).first()
+    numbers = [k for k in range(len(dims)) if kind[k] == "long"]
+    quantiles = dict(zip(numbers, narrow.agg(*[F.percentile_approx(f"x{k}", cuts, 10000) for k in numbers]).first())) if numbers else {}
+    quantiles |= {k: string_cuts(narrow.select(F.col(f"x{k}").alias("v")), 1 << bits)
+                  for k in range(len(dims)) if kind[k] == "string"}
 
     def cell(k: int):
-        bounds = F.array(*[F.lit(q).cast("long") for q in quantiles[k] or []])
+        bounds = F.array(*[F.lit(q) for q in quantiles[k] or []]).cast(f"array<{kind[k]}>")
         return F.size(F.filter(bounds, lambda q: q < F.col(f"x{k}")))
 
     placed = narrow.select("doc_id", "size", "text_crc32", "th",

@@ -417,6 +417,27 @@ def test_sharding(spark, texts, odd_docs, none):
     assert hilbert_shards(none, dims).collect() == []
 
 
+def test_strings_are_quantised_whole(spark):
+    """Sources that share their first bytes are placed like short ones, and a shard spans few of them."""
+    from servstar.llm.sharding import hilbert_shards, string_cuts
+    r = random.Random(4)
+    rows = [(k, f"t{k}", min(int(r.expovariate(0.2)), 15), r.randrange(5000)) for k in range(4000)]
+    got = []
+    for prefix in ("", "https://www.example.org/common_crawl_"):
+        docs = spark.createDataFrame([(i, t, prefix + "%02d" % s, n) for i, t, s, n in rows],
+                                     "doc_id long, text string, source string, n_chars long").repartition(5)
+        got.append({x.doc_id: x for x in hilbert_shards(docs, ["source", "n_chars"]).collect()})
+    assert {i: (x.hilbert, x.shard) for i, x in got[0].items()} == {i: (x.hilbert, x.shard) for i, x in got[1].items()}
+    of = defaultdict(set)
+    for i, _, s, _ in rows:
+        of[got[1][i].shard].add(s)
+    assert sum(max(x) - min(x) for x in of.values()) / 24 < 6
+    values = ["a"] * 5 + ["prefix-%d" % k for k in range(10)] + ["z"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(3)
+    assert string_cuts(df, 16) == sorted(values)[:15] and string_cuts(df, 4) == [sorted(values)[k] for k in (3, 7, 11)]
+    assert string_cuts(df.limit(0), 4) == []
+
+
 @pytest.mark.parametrize("dims", [2, 3])
 def test_hilbert_neighbours_touch(spark, dims):
     """The index is a bijection, and consecutive cells differ by one step in one dimension."""
