@@ -10,6 +10,7 @@ and the piece's rest goes back to the pool. Nothing is shuffled.
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 import types
@@ -31,6 +32,13 @@ POOL = 8192
 #: Words whose ids a Python worker remembers at most.
 CACHE_WORDS = 300_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+# What a tokenizer file of the kind that word_tokenizer takes apart says of itself.
+WORD_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": WORD_PIECES}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 
 def word_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
@@ -40,18 +48,22 @@ def word_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
     words one by one; each distinct word is encoded once per worker. Words of Latin letters, digits and
     signs skip the normaliser, which only lower-cases them, and go piece by piece to the tokenizer's
     BPE model; all others take the whole tokenizer. Texts with the control characters
-    that Python, but not the tokenizer, takes for white space are encoded whole."""
+    that Python, but not the tokenizer, takes for white space are encoded whole. So are all texts
+    if the file names another normaliser or pre-tokenizer than these rules are made for."""
     import regex
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     # Kept for the tasks that follow in the same Python worker.
     worker = sys.modules.setdefault("_servstar_worker", types.ModuleType("_servstar_worker"))
     if path not in worker.__dict__:
         from tokenizers import Tokenizer
-        worker.__dict__[path] = (Tokenizer.from_file(path), {}, {})
-    tokenizer, known, known_pieces = worker.__dict__[path]
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        by_words = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER
+        worker.__dict__[path] = (Tokenizer.from_file(path), {}, {}, by_words)
+    tokenizer, known, known_pieces, by_words = worker.__dict__[path]
     encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
     bpe = tokenizer.model.tokenize
-    pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+    pieces = regex.compile(WORD_PIECES).findall
     # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
     plain = [c for c in range(256) if 33 <= c <= 126 or 161 <= c <= 172 or 174 <= c]
     alphabet = {c: chr(c) for c in plain} | {c: chr(256 + k) for k, c in enumerate(sorted(set(range(256)) - set(plain)))}
@@ -59,6 +71,9 @@ def word_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
     def ids_of(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
 
+    if not by_words:
+        return ids_of
+
     def latin(word: str) -> bytes:
         out = []
         for p in pieces(word.lower()):
