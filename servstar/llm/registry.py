@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from servstar.llm import exact_dedup, lattice, mixing, packing, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, token_files
+from servstar.llm import exact_dedup, lattice, mixing, packing, periodic, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, token_files
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffix_radix": suffix_dedup.op8_suffix_radix,
     "op9_difference_cover": substring_dedup.op9_difference_cover,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
     "op13_token_frames": token_files.op13_token_frames,
 }
 ORACLE_SQL = {

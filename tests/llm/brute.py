@@ -128,6 +128,43 @@ def repeated_words(docs: dict, size: int = 20) -> dict:
     return out
 
 
+def planted(doc_id, text) -> list:
+    """The words of a text, with the periodic end that a tenth of the ids get."""
+    import zlib
+    w = words(text)
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    g = h // 10
+    if doc_id is not None and h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+    return w
+
+
+def periodic(w: list, least: int = 24, exponent: int = 3) -> list:
+    """Runs (start, length, period) by comparing all words at every lag."""
+    found = {}
+    for q in range(1, len(w) // exponent + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, exponent * q):
+                found.setdefault((i, j + q - i), q)  # a multiple of the period has the same stretch
+            i = max(j, i + 1)
+    return sorted(((i, n, q) for (i, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def periodic_row(w: list) -> tuple:
+    from fractions import Fraction
+    runs = periodic(w)
+    gone = {k for i, n, q in runs for k in range(i + q, i + n)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else (None,) * 3
+    return (len(runs), *best, best[1] * 1000 // best[2] if runs else None, sha("".join("%d,%d,%d\n" % r for r in runs)),
+            sha(" ".join(x for k, x in enumerate(w) if k not in gone)))
+
+
 def secrets(text) -> list:
     text = text or ""
     key = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
