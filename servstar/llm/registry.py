@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from servstar.llm import exact_dedup, lattice, mixing, packing, periodic, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, token_files
+from servstar.llm import exact_dedup, hard_negatives, lattice, mixing, packing, periodic, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, token_files
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_difference_cover": substring_dedup.op9_difference_cover,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_token_frames": token_files.op13_token_frames,
 }
 ORACLE_SQL = {
@@ -23,4 +24,5 @@ ORACLE_SQL = {
     "op5_mixing": mixing.ORACLE,
     "op9_difference_cover": substring_dedup.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }

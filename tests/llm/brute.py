@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 
@@ -165,6 +166,27 @@ def periodic_row(w: list) -> tuple:
             sha(" ".join(x for k, x in enumerate(w) if k not in gone)))
 
 
+def hard_negatives(rows: list, is_anchor) -> list:
+    """Result rows from (vec_id, vector, label) by scoring all rows for each anchor."""
+    import math
+    use = []
+    for i, v, label in rows:
+        if label is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            q = [math.floor(256 * x) if abs(x) < 1e300 else 1 << 40 for x in v]
+            if sum(x * x for x in q) < 1 << 62:
+                use.append((i, q, label))
+    out = []
+    for k, (i, a, label) in enumerate(use):
+        if i is None or not is_anchor(i):
+            continue
+        score = [(-sum(x * y for x, y in zip(a, b)), j is None, j or 0, n) for n, (j, b, _) in enumerate(use) if len(b) == len(a) and n != k]
+        score.sort()
+        for s, _, _, n in [x for x in score if use[x[3]][2] == label][:5]:
+            near = [x for x in score if use[x[3]][2] != label and 50 * -s <= 100 * -x[0] <= 95 * -s][:3]
+            out += [(i, use[n][0], r + 1, use[x[3]][0], -s, -x[0]) for r, x in enumerate(near)]
+    return out
+
+
 def secrets(text) -> list:
     text = text or ""
     key = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
@@ -174,9 +196,13 @@ def secrets(text) -> list:
                   for m in re.finditer(p, text) if len(m[g]) >= least)
 
 
-def token_ids(text):
+@cache
+def tokenizer():
     from tokenizers import Tokenizer
 
     from servstar.llm.packing import tokenizer_file
-    t = Tokenizer.from_file(tokenizer_file())
-    return np.asarray(t.encode(text or "", add_special_tokens=False).ids + [1], dtype="<u4")
+    return Tokenizer.from_file(tokenizer_file())
+
+
+def token_ids(text):
+    return np.asarray(tokenizer().encode(text or "", add_special_tokens=False).ids + [1], dtype="<u4")
