@@ -193,3 +193,10 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edge = written(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
+
+
+def least_of(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, component_id) of ``components``: the smallest ``least`` of its ``nodes`` (node, least), NULL where all are."""
+    found = written(found.join(nodes, "node"), "component-nodes")
+    least = found.groupBy("component").agg(F.min("least").alias("component_id"))
+    return found.select("node", "component").join(least, "component").select("node", "component_id")

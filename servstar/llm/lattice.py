@@ -13,6 +13,7 @@ leaves a cell are partial counts and links that span its components.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations, product
 
 import numpy as np
@@ -20,14 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servstar.llm.common import components, mixed, written
+from servstar.llm.common import components, least_of, mixed, written
 
 THRESHOLD = 0.95
-#: At the threshold a pair meets in a table with probability 0.56, in one of 8 with 0.998 or more.
-TABLES, PROBES, SCALE = 8, 4, 6.0
+TABLES, PROBES = 8, 4
+#: Mean distance of two vectors at the threshold in the plane of a table, in units of the lattice: there a pair meets
+#: in a table with probability 0.56, in one of 8 with 0.998 or more.
+SPREAD = 0.67
 #: Rows of a cell beyond which its visitors are dealt to several tasks, and beyond which its homes are, too.
 CELL_ROWS, HOME_ROWS = 4096, 16384
+#: Bytes of vectors (in double precision) that a task holds of a cell at most, whatever their dimensions.
+CELL_BYTES = 1 << 26
 BLOCK = 1024
+#: Pairs looked at together.
+PAIRS = 1 << 16
 
 
 def _short_vectors() -> np.ndarray:
@@ -59,11 +66,16 @@ def nearest_e8(x: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    """Cells (64-bit hashes of table and lattice point) of unit vectors."""
+    """Cells (64-bit hashes of dimensions, table and lattice point) of unit vectors.
 
-    def __init__(self, dims: int, tables: int, probes: int, scale: float):
+    A random plane of 8 of n dimensions holds 8 / n of a squared distance; the scale makes up for that, and
+    for the distance 2 - 2 cos at the threshold."""
+
+    def __init__(self, dims: int, tables: int, probes: int, threshold: float):
         rng = np.random.default_rng(3)
         wide = max(dims, 8)
+        scale = SPREAD * np.sqrt(wide / 8) / np.sqrt(max(2 - 2 * threshold, 1e-6))
+        self.dims = dims
         self.axes = [np.linalg.qr(rng.normal(size=(wide, 8)))[0][:dims] * scale for _ in range(tables)]
         self.mix = rng.integers(0, 1 << 63, size=(tables, 8), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.short, self.probes = _short_vectors(), probes
@@ -78,7 +90,7 @@ class Lattice:
             near = np.argpartition(-((y - home) @ self.short.T), self.probes, axis=1)[:, :self.probes]
             points = np.concatenate([home[:, None], home[:, None] + self.short[near]], axis=1)
             whole = (2 * points).astype(np.int64).view(np.uint64)
-            out[:, t] = mixed((whole * self.mix[t]).sum(axis=2, dtype=np.uint64))
+            out[:, t] = mixed((whole * self.mix[t]).sum(axis=2, dtype=np.uint64) + np.uint64(self.dims))
         return out
 
 
@@ -91,30 +103,40 @@ def unit(x: np.ndarray) -> np.ndarray:
 def cell_links(x: np.ndarray, node: np.ndarray, table: int, visits: np.ndarray, homes: np.ndarray,
                lattice: Lattice, threshold: float):
     """Of a cell's visitors and homes (row numbers): (visitor, home) pairs above the
-    threshold, a block at a time, without those that count elsewhere."""
+    threshold, at most ``PAIRS`` at a time, without those that count elsewhere."""
     for i in range(0, len(visits), BLOCK):
         for j in range(0, len(homes), BLOCK):
             v, h = visits[i:i + BLOCK], homes[j:j + BLOCK]
-            a, b = np.nonzero(x[v] @ x[h].T >= threshold - 1e-9)
-            a, b = v[a], h[b]
-            exact = (x[a] * x[b]).sum(axis=1) >= threshold
-            a, b = a[exact & (node[a] != node[b])], b[exact & (node[a] != node[b])]
-            if not len(a):
+            cosine = x[v] @ x[h].T
+            above = cosine >= threshold - 1e-9
+            # The product of matrices may round otherwise than that of two vectors: near the threshold each pair by itself.
+            near = np.flatnonzero(above & (cosine < threshold + 1e-9))
+            for k in range(0, len(near), max(1, PAIRS * 64 // x.shape[1])):
+                some = near[k:k + max(1, PAIRS * 64 // x.shape[1])]
+                a, b = np.unravel_index(some, above.shape)
+                above.flat[some] = (x[v[a]] * x[h[b]]).sum(axis=1) >= threshold
+            above &= node[v][:, None] != node[h][None, :]
+            if not above.any():
                 continue
-            rows, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-            cells = lattice.cells(x[rows])[:, :table + 1]
-            p, q = cells[at[:len(a)]], cells[at[len(a):]]
-            meets = (p == q[:, :, :1]).any(axis=2)  # the first visits the second's home
-            back = (q == p[:, :, :1]).any(axis=2)
-            once = ~(meets | back)[:, :table].any(axis=1) & ((node[a] < node[b]) | ~back[:, table])
-            yield a[once], b[once]
+            cells_v, cells_h = lattice.cells(x[v])[:, :table + 1], lattice.cells(x[h])[:, :table + 1]
+            pairs = np.flatnonzero(above)
+            for k in range(0, len(pairs), PAIRS):
+                a, b = np.unravel_index(pairs[k:k + PAIRS], above.shape)
+                p, q = cells_v[a], cells_h[b]
+                meets = (p == q[:, :, :1]).any(axis=2)  # the first visits the second's home
+                back = (q == p[:, :, :1]).any(axis=2)
+                a, b = v[a], h[b]
+                once = ~(meets | back)[:, :table].any(axis=1) & ((node[a] < node[b]) | ~back[:, table])
+                yield a[once], b[once]
 
 
 def _spanning(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[int]:
     """Numbers of the links (p, q) that join two parts; ``label`` (a forest) is updated."""
+    while not np.array_equal(up := label[label], label):
+        label[:] = up
     out = []
-    # Links that start at the same row come first to last, so most are skipped without a search.
-    for k, (c, d) in enumerate(zip(p.tolist(), q.tolist())):
+    for k in np.flatnonzero(label[p] != label[q]).tolist():
+        c, d = int(p[k]), int(q[k])
         while label[c] != c:
             label[c] = c = label[label[c]]
         while label[d] != d:
@@ -125,16 +147,23 @@ def _spanning(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[int]:
     return out
 
 
-def link_rows(vectors: DataFrame, threshold: float, dims: int, tables: int, probes: int, scale: float) -> DataFrame:
+def link_rows(vectors: DataFrame, threshold: float, tables: int, probes: int) -> DataFrame:
     """(u, v, n) from rows (node, m, x) of distinct vectors: with v NULL, n more links of u; else a link."""
     kind = dict(vectors.dtypes)["x"]
     number = np.float32 if kind == "array<float>" else np.float64
 
+    def lattices():
+        return cache(lambda dims: Lattice(dims, tables, probes, threshold))
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(dims, tables, probes, scale)
+        lattice_of = lattices()
         for b in batches:
-            for at in range(0, len(b), 1024):
-                part = b.slice(at, 1024)
+            size = b.column(2).value_lengths().to_numpy()
+            parts = [b.take(pa.array(np.flatnonzero(size == d)[at:at + 1024])) for d in np.unique(size).tolist()
+                     for at in range(0, int((size == d).sum()), 1024)]
+            for part in parts:
+                dims = part.column(2).value_lengths()[0].as_py()
+                lattice = lattice_of(dims)
                 x = unit(part.column(2).flatten().to_numpy().astype(np.float64).reshape(-1, dims))
                 cells = lattice.cells(x).view(np.int64)
                 n, width = len(x), probes + 1
@@ -148,7 +177,7 @@ def link_rows(vectors: DataFrame, threshold: float, dims: int, tables: int, prob
                          part.column(1).take(row), body.take(row)], ["t", "cell", "home", "node", "m", "x"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(dims, tables, probes, scale)
+        lattice_of = lattices()
 
         def done(part: pa.Table) -> Iterator[pa.RecordBatch]:
             node, m = part.column("node").to_numpy(), part.column("m").to_numpy()
@@ -157,13 +186,14 @@ def link_rows(vectors: DataFrame, threshold: float, dims: int, tables: int, prob
             salt = part.column("salt").to_numpy()
             new[1:] = (t[1:] != t[:-1]) | (cell[1:] != cell[:-1]) | (salt[1:] != salt[:-1])
             cut = np.append(np.flatnonzero(new), len(node))
-            body = part.column("x").combine_chunks()
-            body = np.frombuffer(b"".join(v.as_py() for v in body), dtype=number).reshape(-1, dims)
-            for a, z in zip(cut[:-1], cut[1:]):
+            bodies = part.column("x").combine_chunks()
+            for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
                 homes = np.flatnonzero(home[a:z])
                 if z - a < 2 or not len(homes):
                     continue
-                x, ids, size = unit(body[a:z].astype(np.float64)), node[a:z], m[a:z]
+                body = np.frombuffer(b"".join(v.as_py() for v in bodies[a:z]), dtype=number).reshape(z - a, -1)
+                lattice = lattice_of(body.shape[1])
+                x, ids, size = unit(body.astype(np.float64)), node[a:z], m[a:z]
                 count = np.zeros(z - a, dtype=np.int64)
                 label = np.arange(z - a)
                 us, vs = [], []
@@ -201,12 +231,14 @@ def link_rows(vectors: DataFrame, threshold: float, dims: int, tables: int, prob
         if held:
             yield from done(pa.concat_tables(held))
 
+    longest = vectors.agg(F.max(F.size("x"))).first()[0] or 1
+    cell_rows, home_rows = (max(256, min(n, CELL_BYTES // (8 * longest) // k)) for n, k in ((CELL_ROWS, 4), (HOME_ROWS, 1)))
     rows = vectors.mapInArrow(keys, "t int, cell long, home boolean, node long, m long, x binary")
     # Cells of many rows are dealt to a grid of tasks: a visitor goes to its row of the grid, a home to its
     # column, so every visitor meets every home in one task, and no task holds a whole cell.
     parts_of = lambda n: F.ceil(F.col("rows") / n)
-    large = written(rows.groupBy("t", "cell").agg(F.count("*").alias("rows")).filter(F.col("rows") > CELL_ROWS)
-                    .select("t", "cell", parts_of(CELL_ROWS).alias("parts"), parts_of(HOME_ROWS).alias("home_parts")),
+    large = written(rows.groupBy("t", "cell").agg(F.count("*").alias("rows")).filter(F.col("rows") > cell_rows)
+                    .select("t", "cell", parts_of(cell_rows).alias("parts"), parts_of(home_rows).alias("home_parts")),
                     "large-cells")
     one = F.lit(1).cast("long")
     rows = rows.join(large, ["t", "cell"], "left").withColumns(
@@ -223,33 +255,30 @@ def link_rows(vectors: DataFrame, threshold: float, dims: int, tables: int, prob
 
 
 def embedding_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
-                         threshold: float = THRESHOLD, tables: int = TABLES, probes: int = PROBES,
-                         scale: float = SCALE) -> DataFrame:
+                         threshold: float = THRESHOLD, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row: how many other rows have a cosine of
     ``threshold`` or more, the smallest id reachable over such links, and whether that is the row's own.
 
-    Equal vectors are one node with a count. Vectors that are NULL, zero, of another length than
-    most or hold NULL or non-finite components link with nothing. Rows with a NULL id take part through rows with an
-    equal vector. No pair below the threshold links; a pair at the threshold is found with
-    probability 0.998, closer pairs more surely."""
+    Equal vectors are one node with a count. Vectors that are NULL, empty, zero or hold NULL or non-finite
+    components link with nothing; vectors of different lengths don't link. Every row counts, also those with a NULL id or an id
+    that other rows bear; where no row of a component has an id, ``component_id`` is NULL, and ``kept`` is false for rows
+    without id. No pair below the threshold links; a pair at the threshold is found with
+    probability 0.998 (8 dimensions or more), closer pairs more surely."""
     v = F.col(f"`{embedding}`")
     finite = ~F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == F.lit(float("inf"))))
     ok = F.coalesce(v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda e: e != 0), F.lit(False))
-    rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.when(ok, v).alias("x"))
-    common = rows.filter("x is not null").groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dims = common.d if common else 8
-    rows = rows.withColumn("x", F.when(F.size("x") == dims, F.transform("x", lambda e: e + 0)))  # -0.0 is 0.0
-    nodes = written(rows.filter("x is not null").groupBy("x").agg(
-        F.min("vec_id").alias("node"), F.count("*").alias("m")).filter("node is not null")
-        .select("node", "m", "x"), "vectors")
-    found = written(link_rows(nodes, threshold, dims, tables, probes, scale), "links")
-    label = components(found.filter("v is not null").select("u", "v"))
+    rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"),
+                          F.when(ok, F.transform(v, lambda e: e + 0)).alias("x"))  # -0.0 is 0.0
+    nodes = written(rows.filter("x is not null").groupBy("x").agg(F.min("vec_id").alias("least"), F.count("*").alias("m"))
+                    .select(F.monotonically_increasing_id().alias("node"), "m", "x", "least"), "vectors")
+    found = written(link_rows(nodes.select("node", "m", "x"), threshold, tables, probes), "links")
+    label = least_of(components(found.filter("v is not null").select("u", "v")), nodes.select("node", "least"))
     count = found.filter("v is null").groupBy("u").agg(F.sum("n").alias("n"))
     known = nodes.join(count, F.col("u") == F.col("node"), "left").drop("u").join(label, "node", "left").select(
         "x", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"))
+        F.coalesce("component_id", "least").alias("component_id"))
     out = rows.join(known, "x", "left")
-    component = F.coalesce("component_id", "vec_id")
+    component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
