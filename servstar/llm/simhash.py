@@ -31,7 +31,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servstar.llm.common import components, documents, text_chunks, word_spans, written
+from servstar.llm.common import components, documents, least_of, text_chunks, word_spans, written
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -44,7 +44,7 @@ _SHINGLES_AT_ONCE = 1 << 16
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                  shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): 64-bit SimHash (as a signed long) of the whole text, A-Z
+    """(doc_id, text_hash, fp): the text's XXH64 and 64-bit SimHash (as signed longs) of the whole text, A-Z
     lower-cased. A bit is set if it is set in over half of the XXH64 values of the
     ``shingle``-word shingles; fewer words make one shingle, none makes 0."""
     lower = np.arange(256, dtype=np.uint8)
@@ -85,11 +85,17 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") \
                             .sum(axis=0, dtype=np.int64)
                     out[d] = np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(out.view(np.int64))],
-                                                 ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(out.view(np.int64))],
+                    ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`")) \
-        .mapInArrow(run, "doc_id long, fp long")
+    t = F.col(f"`{text}`")
+    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), t, text_hash(t).alias("text_hash")) \
+        .mapInArrow(run, "doc_id long, text_hash long, fp long")
+
+
+def text_hash(text):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def table_masks(blocks: int, owned: int, bits: list[int] | None = None) -> list[int]:
@@ -234,20 +240,23 @@ def _compared(cells: DataFrame, keys: list[str], radius: int, cell_rows: int | N
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                     shingle: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row: 16 hexadecimal digits, and the
-    smallest doc_id reachable over links of ``radius`` differing bits or fewer.
+    """(doc_id, fingerprint, component_id, text_hash, kept) of every row: 16 hexadecimal digits, the
+    smallest doc_id reachable over links of ``radius`` differing bits or fewer, the text's XXH64, and whether the
+    row is its component's first (by id, NULL ids last, then text hash).
 
-    Equal fingerprints are one node (their smallest id), so a group of copies costs one
-    row. Texts without words have fingerprint 0. Rows with a NULL id take part
-    through rows that share their fingerprint; else their component is NULL."""
+    Equal fingerprints are one node, whatever ids their rows have, so a group of copies costs one row. Texts without words have
+    fingerprint 0. Rows with a NULL id or an id that others bear link like any other; ``component_id`` is NULL
+    where no row of the component has an id. Rows equal in id and text are kept or not together."""
     fps = written(fingerprints(docs, text, doc_id, shingle), "fingerprints")
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null"), "fp-nodes")
-    found = components(links(nodes, radius))
-    label = nodes.join(found, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash"))
+    nodes = written(fps.groupBy("fp").agg(first.alias("least")).select(F.col("fp").alias("node"), "least"), "fp-nodes")
+    found = least_of(components(links(nodes.select(F.col("node").alias("fp"), "node"), radius)), nodes)
+    label = nodes.join(found, "node", "left").select(F.col("node").alias("fp"), F.coalesce("component_id", "least").alias("least"))
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     return fps.join(label, "fp", "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"),
+        "text_hash", own.eqNullSafe(F.col("least")).alias("kept"))
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
