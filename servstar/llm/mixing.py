@@ -5,6 +5,10 @@ hash bucket; the bucket in which the budget runs out is the only one refined, by
 the next 12 bits of the hash, until the threshold has all 48. A document is
 taken (once more) if its hash lies below its source's threshold: a filter, no sort
 of the documents.
+
+Rows without an id, or with one that others bear, share that hash. Where the boundary is such a hash, its rows are
+refined likewise by a hash of their texts and, where these agree too, by their row numbers: the threshold is
+then a triple, compared part by part.
 """
 
 from __future__ import annotations
@@ -17,7 +21,9 @@ from servstar.llm.common import documents, unused_prefix, with_results, word_cou
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-LEVELS, LEVEL_BITS = 4, 12
+LEVEL_BITS = 12
+#: Levels of each part of the threshold: 48 bits of the id's hash, 48 of the text's, 60 of the row number.
+PARTS = {"hash": 4, "text_hash": 4, "row": 5}
 
 
 def id_hash(doc_id):
@@ -25,6 +31,19 @@ def id_hash(doc_id):
     return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 12), 16, 10).cast("long")
 
 
+def sizes_of(docs: DataFrame, text: str, source: str, doc_id: str) -> DataFrame:
+    """(size, source, hash, text_hash, row) of each document."""
+    t = F.col(f"`{text}`")
+    return docs.select(word_count(t).alias("size"), F.col(f"`{source}`").alias("source"), *parts_of(t, F.col(f"`{doc_id}`")))
+
+
+def parts_of(text, doc_id) -> list:
+    """What thresholds compare. A row number is the partition's number and the row's there, 30 bits each."""
+    row = F.monotonically_increasing_id()
+    return [id_hash(doc_id).alias("hash"), F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 16).alias("text_hash"),
+            (F.shiftright(row, 33) * (1 << 30) + row.bitwiseAND(F.lit((1 << 30) - 1))).alias("row")]
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """(source, source_size, target): ``share`` of all sizes divided by weight,
     each target at most ``most`` times its source's size, the excess reshared.
@@ -51,33 +70,56 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 
 
 def thresholds(rows: DataFrame, target: DataFrame) -> DataFrame:
-    """(source, source_size, target, copies, threshold): every document of the
-    source is taken ``copies`` times, those with a hash below ``threshold`` once more.
+    """(source, source_size, target, copies, at_hash, at_text_hash, at_row): every document of the
+    source is taken ``copies`` times, those below the threshold once more. The last two parts are 0 where
+    they don't matter.
 
-    The last bucket (one hash value) is taken if that brings the source nearer to its target."""
+    The last bucket (one row, or rows alike) is taken if that brings the source nearer to its target."""
     ratio = F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)).cast("double"))
     state = written(target, "targets").withColumn("copies", F.coalesce(ratio, F.lit(0)).cast("long")) \
-        .withColumns({"left": F.col("target") - F.col("copies") * F.col("source_size"), "prefix": F.lit(0).cast("long")})
-    for level in range(LEVELS):
-        shift = LEVEL_BITS * (LEVELS - 1 - level)
-        bucket = F.shiftright("hash", shift)
+        .withColumn("left", F.col("target") - F.col("copies") * F.col("source_size"))
+    for part, levels in PARTS.items():
+        state = refined(rows, state, part, levels)
+        rows = rows.join(state.select(F.col("source").alias("s"), F.col(f"at_{part}").alias("at")),
+                         F.col("source").eqNullSafe(F.col("s")) & (F.col(part) == F.col("at"))).drop("s", "at")
+        if state.filter("several").isEmpty():
+            break
+    nearer = F.when(2 * F.col("left") >= F.col("last"), 1).otherwise(0)
+    state = state.withColumn(f"at_{part}", F.col(f"at_{part}") + nearer)
+    return state.select("source", "source_size", "target", "copies",
+                        *[F.col(f"at_{p}") if f"at_{p}" in state.columns else F.lit(0).cast("long").alias(f"at_{p}") for p in PARTS])
+
+
+def refined(rows: DataFrame, state: DataFrame, part: str, levels: int) -> DataFrame:
+    """``state`` plus ``at_<part>``, the value of ``part`` in which the budget ``left`` runs out; ``left`` is what
+    remains before it, ``last`` the size of its rows (NULL: the budget covers all), ``several`` whether it has more than one."""
+    state = state.drop("last", "several").withColumn("prefix", F.lit(0).cast("long"))
+    for level in range(levels):
+        bucket = F.shiftright(part, LEVEL_BITS * (levels - 1 - level))
         inside = rows.join(state.select(F.col("source").alias("s"), "prefix"), F.col("source").eqNullSafe(F.col("s"))) \
             .filter(F.shiftright(bucket, LEVEL_BITS) == F.col("prefix"))
-        hist = inside.groupBy("s", bucket.alias("bucket")).agg(F.sum("size").alias("n"))
+        hist = inside.groupBy("s", bucket.alias("bucket")).agg(F.sum("size").alias("n"), F.count("*").alias("rows"))
         over = Window.partitionBy("s").orderBy("bucket")
         hist = hist.withColumn("upto", F.sum("n").over(over))
         hist = hist.join(state.select(F.col("source").alias("k"), "left"), F.col("s").eqNullSafe(F.col("k")))
         edge = hist.filter(F.col("upto") > F.col("left")).groupBy("s").agg(
-            F.min(F.struct("bucket", "n", "upto")).alias("e"))
+            F.min(F.struct("bucket", "n", "upto", "rows")).alias("e"))
         state = state.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").withColumns({
             # no edge: the whole range fits (or is empty), so the threshold is its end
             "next": F.coalesce("e.bucket", F.shiftleft(F.col("prefix") + 1, LEVEL_BITS)),
             "left": F.col("left") - F.coalesce(F.col("e.upto") - F.col("e.n"), F.lit(0)),
-            "last": F.col("e.n")}).drop("prefix", "s", "e").withColumnRenamed("next", "prefix")
-        if level < LEVELS - 1:
-            state = written(state.drop("last"), "thresholds")  # one row per source
-    nearer = F.when(2 * F.col("left") >= F.col("last"), 1).otherwise(0)
-    return state.select("source", "source_size", "target", "copies", (F.col("prefix") + nearer).alias("threshold"))
+            "last": F.col("e.n"), "several": F.coalesce(F.col("e.rows") > 1, F.lit(False))}) \
+            .drop("prefix", "s", "e").withColumnRenamed("next", "prefix")
+        state = written(state.drop("last", "several") if level < levels - 1 else state, "thresholds")  # one row per source
+    return state.withColumnRenamed("prefix", f"at_{part}")
+
+
+def taken_more(parts: list, at: list):
+    """Whether the parts lie below the threshold."""
+    below = F.lit(False)
+    for p, t in reversed(list(zip(parts, at))):
+        below = (p < t) | ((p == t) & below)
+    return F.when(below, 1).otherwise(0)
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
@@ -86,25 +128,39 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     (how often the mix takes the document, 0 to ``most``) and ``taken`` = size * copies.
 
     Sources in code-point order, NULL last, weigh ``weights`` in turn. NULL or empty
-    texts have size 0. Repeated rows share a hash and are taken alike. Same rows,
+    texts have size 0. A source's taken words miss its target by half a document at most, also where ids are NULL or repeated;
+    which of several equal rows are taken goes by their place in the input, which should be read from storage. Same rows,
     same result. Input columns named like a result are replaced."""
-    base = docs.select(word_count(F.col(f"`{text}`")).alias("size"), F.col(f"`{source}`").alias("source"),
-                       id_hash(F.col(f"`{doc_id}`")).alias("hash"))
-    rows = written(base, "sizes")
+    at = plan(written(sizes_of(docs, text, source, doc_id), "sizes"), weights, share, most)
     own = unused_prefix(docs)
-    src, ss, t, c, cut, size, h = (F.col(own + x) for x in ("source", "source_size", "target", "copies", "cut", "size", "hash"))
-    at = written(thresholds(rows, targets(rows, weights, share, most)), "thresholds").toDF(
-        *[own + x for x in ("source", "source_size", "target", "copies", "cut")])
-    wide = docs.withColumns({own + "size": word_count(F.col(f"`{text}`")), own + "hash": id_hash(F.col(f"`{doc_id}`"))}) \
-        .join(at, F.col(f"`{source}`").eqNullSafe(src))
-    copies = c + F.when(h < cut, 1).otherwise(0)
-    out = with_results(wide, {"size": size, "source_size": ss, "target": t, "copies": copies, "taken": size * copies})
-    return out.drop(*[own + x for x in ("source", "source_size", "target", "copies", "cut", "size", "hash")])
+    t = F.col(f"`{text}`")
+    wide = docs.withColumns({own + "size": word_count(t)} | {own + p: c for p, c in zip(PARTS, parts_of(t, F.col(f"`{doc_id}`")))})
+    out = with_results(*chosen(wide, at, own, f"`{source}`"))
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if not c.startswith(own)])
+
+
+def plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    return written(thresholds(rows, targets(rows, weights, share, most)), "thresholds")
+
+
+def chosen(rows: DataFrame, at: DataFrame, own: str, source: str) -> tuple[DataFrame, dict]:
+    """Rows with columns size, hash, text_hash and row under the prefix ``own``, joined to their source's
+    threshold, and the results."""
+    at = at.toDF(*[f"{own}for_{c}" for c in at.columns])
+    col = lambda c: F.col(own + c)
+    wide = rows.join(at, F.col(source).eqNullSafe(col("for_source")))
+    copies = col("for_copies") + taken_more([col(p) for p in PARTS], [col(f"for_at_{p}") for p in PARTS])
+    return wide, {"size": col("size"), "source_size": col("for_source_size"), "target": col("for_target"), "copies": copies,
+                  "taken": col("size") * copies}
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir).select("doc_id", "text", "source")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+    """The mix over (doc_id, size, source, hashes) only, so that the texts are read and their words counted once."""
+    docs = documents(spark, sf_dir)
+    ids = F.col("doc_id")
+    rows = written(docs.select("doc_id", word_count(F.col("text")).alias("size"), "source", *parts_of(F.col("text"), ids)), "sizes")
+    wide, results = chosen(rows.withColumnsRenamed({c: f"_{c}" for c in ("size", *PARTS)}), plan(rows), "_", "source")
+    return wide.select("doc_id", *[results[c].alias(c) for c in ("size", "source_size", "target", "taken")])
 
 
 #: By sorting, where the operator filters by threshold.
