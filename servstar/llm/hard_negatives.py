@@ -5,11 +5,12 @@ cluster's widest anchor angle and |x| the row's length, no anchor a of the clust
 |a| * |x| * cos(max(0, t - s)). The rows sorted by that bound without |a| are the cluster's list; it is sorted once, and
 every member walks it until its worst wanted score exceeds all bounds that follow: certified termination.
 
-A list isn't gathered. Its head, about ``HEAD`` rows found by a histogram of the bounds, is walked first, which
-gives every member a score that it can't do worse than. The lowest of these over the members cuts the list: the
-rows above are walked, those below are certified to be of no use and never leave their task. Long lists are
-dealt to shards by row and large clusters to chunks of members; each shard is sorted and walked by its own, and
-the shards' best are merged. Positives come first, then the negatives between their two limits.
+A list isn't gathered, nor is a row sent once for every cluster. Rows are dealt once, to shards of rows that are nearest to
+the same centroid, and the members of many clusters meet a shard in one task, which sorts the shard's part of
+each cluster's list and lets the members walk it; their best over all shards are merged. The lists' heads, about ``HEAD``
+rows each by a histogram of the bounds, go first and give every member a score that it can't do worse than. The
+lowest of these over a cluster's members cuts its list: rows below all cuts and clusters out of a shard's reach are
+certified to be of no use and aren't sent. Positives come first, then the negatives between their two limits.
 """
 
 from __future__ import annotations
@@ -23,16 +24,20 @@ from pyspark.sql import functions as F
 
 from servstar.llm.common import hash_sample, written
 
-#: Rows of a list that are walked first, rows of a shard, anchors of a chunk.
-HEAD, SHARD_ROWS, MEMBERS = 4096, 32768, 512
+#: Rows of a list that are walked first, rows of a shard, anchors that meet a shard in one task.
+HEAD, SHARD_ROWS, MEMBERS = 4096, 32768, 4096
+#: Bytes of a shard's vectors that a task sorts at once; a larger shard is walked part by part.
+SHARD_BYTES = 1 << 25
 #: Anchors a cluster should have, clusters at most, and sampled anchors (numbers of theirs) that fit the centroids.
 CLUSTER_ANCHORS, MOST_CLUSTERS, SAMPLE, SAMPLE_NUMBERS = 128, 512, 8192, 1 << 22
+#: Shards of the rows whose number of dimensions no sampled anchor has.
+OTHER_SHARDS = 16
 BINS = 1000
 BLOCK = 1024
 LEAST, MOST = -(1 << 62), 1 << 62
 ROWS = "rid long, vec_id long, label long, anchor boolean, dims int, norm double, x binary"
-LISTED = "cluster long, chunk int, shard int, bound double, rid long, vec_id long, label long, norm double, x binary, " \
-         "low array<long>, high array<long>, least array<long>"
+DEALT = "home long, shard int, chunk long, cluster long, rid long, vec_id long, label long, norm double, x binary, " \
+        "low array<long>, high array<long>, least array<long>"
 FOUND = "anchor long, query int, score long, vec_id long, rid long"
 
 
@@ -94,30 +99,49 @@ def angles(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
 
 
 class Clusters:
-    """Centroids by vector length, and what is known of each cluster: its widest angle, its number of chunks.
+    """Centroids by number of dimensions, and what is known of each cluster, counted over all rows.
 
-    Cluster ``dims * 1024 + k`` belongs to centroid k of vectors of ``dims`` components; a length that the sample
-    lacks has one cluster without a centroid, whose bound is the row's length."""
+    Cluster ``dims * 1024 + k`` belongs to centroid k of vectors of ``dims`` components; a number of dimensions that the
+    sample lacks has one cluster without a centroid, whose bound is the row's length."""
 
     def __init__(self, centre: dict[int, np.ndarray]):
         self.centre = centre
-        self.wide: dict[int, np.ndarray] = {}
-        self.chunks: dict[int, int] = {}
+        #: Widest angle of an anchor, and of any row; length of the longest row of the cluster.
+        self.wide, self.radius, self.longest = ({d: np.zeros(len(c)) for d, c in centre.items()} for _ in range(3))
+        #: First chunk and number of chunks of a cluster's anchors; shards of its rows.
+        self.chunks: dict[int, tuple[int, int]] = {}
+        self.shards: dict[int, int] = {}
         self.top = 1.0
 
-    def assign(self, dims: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, dims: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's cluster and angle."""
         if dims not in self.centre:
             return np.full(len(x), dims * 1024 + 1023), np.full(len(x), np.pi)
         angle = angles(x, self.centre[dims])
         own = angle.argmin(axis=1)
         return dims * 1024 + own, angle[np.arange(len(x)), own]
 
-    def bounds(self, dims: int, x: np.ndarray, norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Clusters of that length, and (row, cluster) upper bounds of score / anchor length, rounding covered."""
+    def bounds(self, dims: int, x: np.ndarray, norm: np.ndarray, only=slice(None)) -> np.ndarray:
+        """(row, cluster) upper bounds of score / anchor length, rounding covered."""
         if dims not in self.centre:
-            return np.array([dims * 1024 + 1023]), norm[:, None] * (1 + 1e-9)
-        apart = np.maximum(angles(x, self.centre[dims]) - self.wide[dims] - 1e-6, 0)
-        return dims * 1024 + np.arange(len(self.wide[dims])), norm[:, None] * (np.cos(apart) + 1e-9)
+            return norm[:, None] * (1 + 1e-9)
+        apart = np.maximum(angles(x, self.centre[dims][only]) - self.wide[dims][only] - 1e-6, 0)
+        return norm[:, None] * (np.cos(apart) + 1e-9)
+
+    def reach(self, dims: int) -> np.ndarray:
+        """(home, cluster): the same for all rows whose nearest centroid is the home's."""
+        apart = angles(self.centre[dims], self.centre[dims]) - self.wide[dims] - self.radius[dims][:, None] - 2e-6
+        return self.longest[dims][:, None] * (np.cos(np.maximum(apart, 0)) + 2e-9)
+
+    def chunked(self, dims: int) -> tuple[np.ndarray, np.ndarray]:
+        """The clusters with anchors (numbers of centroids), ordered by chunk, and each one's first chunk."""
+        own = np.array([k for k in range(len(self.centre[dims])) if dims * 1024 + k in self.chunks], dtype=np.int64)
+        return own, np.array([self.chunks[dims * 1024 + k][0] for k in own.tolist()], dtype=np.int64)
+
+    def low(self, dims: int, only: np.ndarray, cut: dict[int, float]) -> np.ndarray:
+        """Cuts of these clusters, a little lower for rounding."""
+        low = np.array([cut.get(dims * 1024 + k, -np.inf) for k in only.tolist()])
+        return low - np.where(np.isinf(low), 0, 1e-9 * np.abs(low))
 
 
 def by_length(part: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
@@ -141,22 +165,32 @@ def fitted(anchors: DataFrame) -> Clusters:
                      if len(c := spherical_means(np.array(g), max(1, wanted * len(g) // seen)))})
 
 
-def clustered(anchors: DataFrame, clusters: Clusters) -> DataFrame:
-    """Anchors with their cluster and angle; fills in the clusters' widest angles and numbers of chunks."""
+def clustered(rows: DataFrame, clusters: Clusters) -> DataFrame:
+    """Rows with their cluster and angle; fills in what is known of the clusters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, len(b), BLOCK):
                 for dims, own, x in by_length(b.slice(at, BLOCK)):
-                    cluster, angle = clusters.assign(dims, x)
+                    cluster, angle = clusters.nearest(dims, x)
                     yield pa.RecordBatch.from_arrays([*own.columns, pa.array(cluster), pa.array(angle)],
                                                      [*own.schema.names, "cluster", "angle"])
 
-    out = written(anchors.mapInArrow(run, ROWS + ", cluster long, angle double"), "anchors")
-    clusters.wide = {d: np.zeros(len(c)) for d, c in clusters.centre.items()}
-    known = out.filter(F.col("cluster") % 1024 < 1023).groupBy("cluster").agg(F.max("angle").alias("wide"), F.count("*").alias("n"))
-    for r in known.collect():  # one row per centroid
-        clusters.wide[r.cluster // 1024][r.cluster % 1024] = r.wide
-        clusters.chunks[r.cluster] = -(-r.n // MEMBERS)
+    out = written(rows.mapInArrow(run, ROWS + ", cluster long, angle double"), "clustered")
+    known = out.filter(F.col("cluster") % 1024 < 1023).groupBy("cluster").agg(
+        F.count("*").alias("n"), F.count_if("anchor").alias("anchors"), F.max("angle").alias("radius"), F.max("norm").alias("longest"),
+        F.max(F.when(F.col("anchor"), F.col("angle"))).alias("wide"))
+    chunk = held = last = 0
+    for r in sorted(known.collect()):  # one row per centroid
+        d, k = divmod(r.cluster, 1024)
+        clusters.radius[d][k], clusters.longest[d][k], clusters.wide[d][k] = r.radius, r.longest, r.wide or 0.0
+        clusters.shards[r.cluster] = -(-r.n // SHARD_ROWS)
+        clusters.top = max(clusters.top, r.longest)
+        if r.anchors:
+            if d != last or held + r.anchors > MEMBERS:
+                chunk, held = chunk + 1, 0
+            parts = -(-r.anchors // MEMBERS)
+            clusters.chunks[r.cluster] = (chunk, parts)
+            chunk, held, last = chunk + parts - 1, MEMBERS if parts > 1 else held + r.anchors, d
     return out
 
 
@@ -169,11 +203,10 @@ def histogram(rows: DataFrame, clusters: Clusters) -> DataFrame:
                 for dims, own, x in by_length(b.slice(at, BLOCK)):
                     if dims not in clusters.centre:
                         continue
-                    cluster, bound = clusters.bounds(dims, x, own.column("norm").to_numpy())
-                    bins = bin_of(bound, clusters.top)
-                    for k, c in enumerate(cluster.tolist()):
-                        if c in clusters.chunks:
-                            count[c] = count.get(c, 0) + np.bincount(bins[:, k], minlength=2 * BINS + 3)
+                    only, _ = clusters.chunked(dims)
+                    bins = bin_of(clusters.bounds(dims, x, own.column("norm").to_numpy(), only), clusters.top)
+                    for k, c in enumerate((dims * 1024 + only).tolist()):
+                        count[c] = count.get(c, 0) + np.bincount(bins[:, k], minlength=2 * BINS + 3)
         for c, n in count.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), c)), pa.array(at), pa.array(n[at])], ["cluster", "bin", "n"])
@@ -186,128 +219,176 @@ def bin_of(bound, top: float):
     return np.clip(np.floor(bound / top * BINS) + BINS, 0, 2 * BINS + 2).astype(np.int64)
 
 
-def shards_above(counts: DataFrame, cut: dict[int, float], top: float) -> dict[int, int]:
-    """Shards of the list parts above the cuts."""
-    low = {c: int(bin_of(b, top)) if b > -np.inf else 0 for c, b in cut.items()}
-    if not low:
-        return {}
-    at = F.create_map(*[F.lit(int(v)) for kv in low.items() for v in kv])
-    rows = counts.filter(F.col("bin") >= at[F.col("cluster")]).groupBy("cluster").agg(F.sum("n").alias("n")).collect()
-    return {r.cluster: -(-r.n // SHARD_ROWS) for r in rows}
+def dealt_rows(rows: DataFrame, clusters: Clusters, cut: dict[int, float]) -> DataFrame:
+    """The rows above some cluster's cut, once per chunk of members that they can serve."""
+    names = [c.split()[0] for c in DEALT.split(", ")]
 
-
-def listed(rows: DataFrame, clusters: Clusters, cut: dict[int, float], shards: dict[int, int]) -> DataFrame:
-    """The rows above each cluster's cut, once per chunk of members, with their shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, len(b), BLOCK):
                 for dims, own, x in by_length(b.slice(at, BLOCK)):
-                    cluster, bound = clusters.bounds(dims, x, own.column("norm").to_numpy())
-                    for k, c in enumerate(cluster.tolist()):
-                        if dims in clusters.centre and c not in clusters.chunks:
-                            continue  # no anchors
-                        low = cut.get(c, -np.inf)
-                        use = np.flatnonzero(bound[:, k] >= low - 1e-9 * abs(low)) if low > -np.inf else np.arange(len(x))
-                        for chunk in range(clusters.chunks.get(c, 1) if len(use) else 0):
-                            part, n = own.take(pa.array(use)), len(use)
-                            none = pa.nulls(n, pa.list_(pa.int64()))
-                            shard = part.column("rid").to_numpy() * 0x9E3779B1 % (1 << 31) % max(1, shards.get(c, 1))
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(n, c)), pa.array(np.full(n, chunk, np.int32)), pa.array(shard.astype(np.int32)),
-                                 pa.array(bound[use, k]), *(part.column(a) for a in ("rid", "vec_id", "label", "norm", "x")),
-                                 none, none, none], [a.split()[0] for a in LISTED.split(", ")])
-
-    return rows.mapInArrow(run, LISTED)
-
-
-def best(wanted: int, same: bool):
-    """The walk: from members and list rows, by (cluster, chunk, shard) and descending bound, members first, to
-    the ``wanted`` best rows of each member's queries."""
+                    home, rid = own.column("cluster").to_numpy(), own.column("rid").to_numpy()
+                    if dims in clusters.centre:
+                        only, first = clusters.chunked(dims)
+                        above = clusters.bounds(dims, x, own.column("norm").to_numpy(), only) >= clusters.low(dims, only, cut)
+                        shards = np.array([clusters.shards[h] for h in home.tolist()])
+                        chunks = {(f + k): above[:, first == f].any(axis=1) for f in np.unique(first).tolist()
+                                  for k in range(max(clusters.chunks[dims * 1024 + c][1] for c in only[first == f].tolist()))}
+                    else:
+                        shards, chunks = np.full(len(x), OTHER_SHARDS), {-dims: np.ones(len(x), dtype=bool)}
+                    shard = (rid * 0x9E3779B1 % (1 << 31) % shards).astype(np.int32)
+                    for chunk, use in chunks.items():
+                        at_ = pa.array(np.flatnonzero(use))
+                        n, part = len(at_), own.take(at_)
+                        none, given = pa.nulls(n, pa.list_(pa.int64())), {c: part.column(c) for c in ("rid", "vec_id", "label", "norm", "x")}
+                        given |= {"home": pa.array(home[use]), "shard": pa.array(shard[use]), "chunk": pa.array(np.full(n, chunk)),
+                                  "cluster": pa.nulls(n, pa.int64()), "low": none, "high": none, "least": none}
+                        yield pa.RecordBatch.from_arrays([given[c] for c in names], names)
+
+    return rows.mapInArrow(run, DEALT)
+
+
+def dealt_members(members: DataFrame, clusters: Clusters, cut: dict[int, float]) -> DataFrame:
+    """The members, once per shard within their cluster's reach."""
+    names = [c.split()[0] for c in DEALT.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        walk, key = None, None
+        reach = {d: clusters.reach(d) for d in clusters.centre}
+        for b in batches:
+            cluster, rid = b.column("cluster").to_numpy(), b.column("rid").to_numpy()
+            for c in np.unique(cluster).tolist():
+                d, k = divmod(c, 1024)
+                at = np.flatnonzero(cluster == c)
+                first, parts = clusters.chunks.get(c, (-d, 1))
+                chunk = pa.array(first + rid[at] * 0x85EBCA6B % (1 << 31) % parts)
+                part = b.take(pa.array(at))
+                near = [(c, OTHER_SHARDS)] if d not in reach else [
+                    (d * 1024 + h, clusters.shards[d * 1024 + h])
+                    for h in np.flatnonzero(reach[d][:, k] >= clusters.low(d, np.array([k]), cut)).tolist() if d * 1024 + h in clusters.shards]
+                for home, shards in near:
+                    for shard in range(shards):
+                        given = {"home": pa.array(np.full(len(at), home)), "shard": pa.array(np.full(len(at), shard, np.int32)), "chunk": chunk}
+                        yield pa.RecordBatch.from_arrays([given[n] if n in given else part.column(n) for n in names], names)
+
+    return members.mapInArrow(run, DEALT)
+
+
+def best(clusters: Clusters, cut: dict[int, float], wanted: int, same: bool):
+    """Members and rows by (home, shard, chunk), members first, to the ``wanted`` best rows of the members' queries."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, key = None, None
         for b in batches:
             if not len(b):
                 continue
-            keys = [b.column(c).to_numpy() for c in ("cluster", "chunk", "shard")]
+            keys = [b.column(c).to_numpy() for c in ("home", "shard", "chunk")]
             new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
             for a, z in zip([0, *new.tolist()], [*new.tolist(), len(b)]):
                 now = tuple(int(k[a]) for k in keys)
                 if now != key:
-                    if walk is not None:
-                        yield from walk.result()
-                    walk, key = Walk(now[0] // 1024, wanted, same), now
-                walk.take(b.slice(a, z - a))
-        if walk is not None:
-            yield from walk.result()
+                    if task is not None:
+                        yield from task.result()
+                    task, key = Shard(now[0] // 1024, clusters, cut, wanted, same), now
+                task.take(b.slice(a, z - a))
+        if task is not None:
+            yield from task.result()
 
     return run
 
 
-class Walk:
-    """One shard of a list and the members that walk it."""
+class Shard:
+    """A shard of rows and the members of a chunk of clusters."""
 
-    def __init__(self, dims: int, wanted: int, same: bool):
-        self.dims, self.wanted, self.same = dims, wanted, same
-        self.parts: list[pa.RecordBatch] = []
-        self.x, self.open, self.size = None, True, 32
-        self.top = [np.zeros(0, dtype=np.int64) for _ in range(4)] + [np.zeros(0, dtype=bool)]  # query, score, vec_id, rid, known
+    def __init__(self, dims: int, clusters: Clusters, cut: dict[int, float], wanted: int, same: bool):
+        self.dims, self.clusters, self.cut, self.wanted, self.same = dims, clusters, cut, wanted, same
+        self.members: list[pa.RecordBatch] = []
+        self.rows: list[pa.RecordBatch] = []
+        self.walks: dict[int, Walk] | None = None
+        self.most = max(1, min(SHARD_ROWS, SHARD_BYTES // (4 * dims)))
 
     def take(self, part: pa.RecordBatch) -> None:
-        bound = part.column("bound").to_numpy()
-        members = int(np.searchsorted(-bound, -np.inf, side="right"))
+        members = len(part) - part.column("cluster").null_count
         if members:
-            self.parts.append(part.slice(0, members))
-        if members < len(part) and self.parts and self.open:
-            self._start()
-            i = members
-            while i < len(part) and self.open:
-                self._block(part.slice(i, self.size), bound[i])
-                i += self.size
-                self.size = min(BLOCK, 2 * self.size)
-
-    def _start(self) -> None:
-        if self.x is not None:
-            return
-        m = pa.Table.from_batches(self.parts)
-        self.x = vectors_of(m.column("x").combine_chunks(), self.dims)
-        self.norm, self.label, self.rid = (m.column(c).to_numpy() for c in ("norm", "label", "rid"))
-        low = m.column("low").combine_chunks()
-        n = low.value_lengths().to_numpy()
+            self.members.append(part.slice(0, members))
+        if self.members and members < len(part):
+            self.rows.append(part.slice(members))
+            if sum(map(len, self.rows)) >= self.most:
+                self.walk()
+
+    def walk(self) -> None:
+        """Each cluster's list of the rows at hand, sorted once, and its members' walks."""
+        if self.walks is None:
+            m = pa.Table.from_batches(self.members).combine_chunks().to_batches()[0]
+            cluster = m.column("cluster").to_numpy()
+            self.walks = {c: Walk(m.take(pa.array(np.flatnonzero(cluster == c))), self.dims, self.wanted, self.same)
+                          for c in np.unique(cluster).tolist()}
+        part = pa.Table.from_batches(self.rows).combine_chunks().to_batches()[0]
+        self.rows = []
+        rows = Rows(part, self.dims)
+        for c, walk in self.walks.items():
+            only = np.array([c % 1024])
+            bound = self.clusters.bounds(self.dims, rows.x, rows.norm, only)[:, 0]
+            use = np.flatnonzero(bound >= self.clusters.low(self.dims, only, self.cut))
+            walk.down(rows, use[np.argsort(-bound[use], kind="stable")], bound)
+
+    def result(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            self.walk()
+        for walk in (self.walks or {}).values():
+            yield from walk.result()
+
+
+class Rows:
+    def __init__(self, part: pa.RecordBatch, dims: int):
+        self.x = vectors_of(part.column("x"), dims)
+        self.norm, self.label, self.rid = (part.column(c).to_numpy() for c in ("norm", "label", "rid"))
+        self.known = part.column("vec_id").is_valid().to_numpy(zero_copy_only=False)
+        self.id = part.column("vec_id").fill_null(0).to_numpy()
+
+
+class Walk:
+    """The members of one cluster and the best rows of their queries so far."""
+
+    def __init__(self, members: pa.RecordBatch, dims: int, wanted: int, same: bool):
+        self.wanted, self.same = wanted, same
+        self.x = vectors_of(members.column("x"), dims)
+        self.norm, self.label, self.rid = (members.column(c).to_numpy() for c in ("norm", "label", "rid"))
+        n = members.column("low").value_lengths().to_numpy()
         self.member = np.repeat(np.arange(len(n)), n)
         self.number = np.arange(len(self.member)) - np.repeat(np.cumsum(n) - n, n)
-        self.low, self.high, self.least = (m.column(c).combine_chunks().flatten().to_numpy() for c in ("low", "high", "least"))
-        self.need = np.maximum(self.low, self.least)
+        low, self.high, least = (members.column(c).flatten().to_numpy() for c in ("low", "high", "least"))
+        self.need = np.maximum(low, least)
+        self.top = [np.zeros(0, dtype=np.int64) for _ in range(4)] + [np.zeros(0, dtype=bool)]  # query, score, vec_id, rid, known
+
+    def down(self, rows: Rows, order: np.ndarray, bound: np.ndarray) -> None:
+        """Walks the list ``order`` (descending bounds) until all queries are done."""
+        i, size = 0, 32
+        while i < len(order) and self._block(rows, order[i:i + size], bound[order[i]]):
+            i, size = i + size, min(BLOCK, 2 * size)
 
-    def _block(self, part: pa.RecordBatch, bound: float) -> None:
-        """Rows whose bounds are ``bound`` at most; a query whose worst wanted score exceeds that is done."""
-        with np.errstate(over="ignore"):
-            reach = self.norm[self.member] * bound
+    def _block(self, rows: Rows, at: np.ndarray, bound: float) -> bool:
+        """Rows whose bounds are ``bound`` at most. A query whose worst wanted score exceeds that is done; false if all are."""
+        reach = self.norm[self.member] * bound
         query = np.flatnonzero(reach + 1e-9 * np.abs(reach) + 1e-6 >= self.need)
         if not len(query):
-            self.open = False
-            return
+            return False
         who, column = np.unique(self.member[query], return_inverse=True)
-        x, y = vectors_of(part.column("x"), self.dims), self.x[who]
-        exact = np.float64 if part.column("norm").to_numpy().max() * self.norm[who].max() < 1 << 52 else np.int64
-        score = (x.astype(exact) @ y.astype(exact).T).astype(np.int64)
-        rid, label = part.column("rid").to_numpy(), part.column("label").to_numpy()
-        fits = label[:, None] == self.label[who][None, :]
-        fits = fits & (rid[:, None] != self.rid[who][None, :]) if self.same else ~fits
+        exact = np.float64 if rows.norm[at].max() * self.norm[who].max() < 1 << 52 else np.int64
+        score = (rows.x[at].astype(exact) @ self.x[who].astype(exact).T).astype(np.int64)
+        fits = rows.label[at][:, None] == self.label[who][None, :]
+        fits = fits & (rows.rid[at][:, None] != self.rid[who][None, :]) if self.same else ~fits
         score, fits = score[:, column], fits[:, column]
         row, q = np.nonzero(fits & (score >= self.need[query]) & (score <= self.high[query]))
-        if not len(row):
-            return
-        known = part.column("vec_id").is_valid().to_numpy(zero_copy_only=False)
-        ids = part.column("vec_id").fill_null(0).to_numpy()
-        new = (query[q], score[row, q], ids[row], rid[row], known[row])
-        top = [np.concatenate([a, b]) for a, b in zip(self.top, new)]
-        order = np.lexsort((top[3], top[2], ~top[4], -top[1], top[0]))
-        top = [a[order] for a in top]
-        begin = np.flatnonzero(np.diff(top[0], prepend=-1))
-        rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
-        self.top = [a[rank < self.wanted] for a in top]
-        full = rank == self.wanted - 1
-        self.need[top[0][full]] = np.maximum(self.need[top[0][full]], top[1][full])
+        if len(row):
+            new = (query[q], score[row, q], *(a[at[row]] for a in (rows.id, rows.rid, rows.known)))
+            top = [np.concatenate([a, b]) for a, b in zip(self.top, new)]
+            order = np.lexsort((top[3], top[2], ~top[4], -top[1], top[0]))
+            top = [a[order] for a in top]
+            begin = np.flatnonzero(np.diff(top[0], prepend=-1))
+            rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+            self.top = [a[rank < self.wanted] for a in top]
+            full = rank == self.wanted - 1
+            self.need[top[0][full]] = np.maximum(self.need[top[0][full]], top[1][full])
+        return True
 
     def result(self) -> Iterator[pa.RecordBatch]:
         q, score, ids, rid, known = self.top
@@ -317,22 +398,14 @@ class Walk:
                  pa.array(ids, mask=~known), pa.array(rid)], [c.split()[0] for c in FOUND.split(", ")])
 
 
-def walked(rows: DataFrame, members: DataFrame, clusters: Clusters, counts: DataFrame, cut: dict[int, float], wanted: int,
-           same: bool, name: str) -> DataFrame:
+def walked(rows: DataFrame, members: DataFrame, clusters: Clusters, cut: dict[int, float], wanted: int, same: bool,
+           name: str) -> DataFrame:
     """FOUND rows plus ``place`` (from 1): the ``wanted`` best rows of every query of the members
     (columns of anchors, and arrays low, high, least: limits of the score, and a score that the worst wanted one reaches)."""
-    shards = shards_above(counts, cut, clusters.top)
-    at = F.coalesce(F.create_map(*[F.lit(int(v)) for kv in shards.items() for v in kv])[F.col("cluster")], F.lit(1)) \
-        if shards else F.lit(1)
-    chunks = {c: n for c, n in clusters.chunks.items() if n > 1}
-    chunk = F.pmod(F.xxhash64("rid"), F.coalesce(F.create_map(*[F.lit(int(v)) for kv in chunks.items() for v in kv])[F.col("cluster")],
-                                                 F.lit(1))).cast("int") if chunks else F.lit(0)
-    head = members.withColumn("chunk", chunk).withColumn("bound", F.lit(float("inf"))) \
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), (at - 1).cast("int"))))
-    columns = [c.split()[0] for c in LISTED.split(", ")]
-    every = head.select(columns).unionByName(listed(rows, clusters, cut, shards))
-    keys = ["cluster", "chunk", "shard"]
-    found = every.repartition(*keys).sortWithinPartitions(*keys, F.desc("bound")).mapInArrow(best(wanted, same), FOUND)
+    keys = ["home", "shard", "chunk"]
+    every = dealt_members(members, clusters, cut).unionByName(dealt_rows(rows, clusters, cut))
+    found = every.repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_last("cluster")).mapInArrow(
+        best(clusters, cut, wanted, same), FOUND)
     order = Window.partitionBy("anchor", "query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "rid")
     return written(found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= wanted), name)
 
@@ -347,16 +420,16 @@ def cuts(members: DataFrame, worst: DataFrame, clusters: Clusters) -> dict[int,
             for r in need.filter(F.col("cluster") % 1024 < 1023).groupBy("cluster").agg(F.min("b").alias("b")).collect()}
 
 
-def searched(rows: DataFrame, members: DataFrame, clusters: Clusters, counts: DataFrame, head: dict[int, float], wanted: int,
-             same: bool, name: str) -> DataFrame:
+def searched(rows: DataFrame, members: DataFrame, clusters: Clusters, head: dict[int, float], wanted: int, same: bool,
+             name: str) -> DataFrame:
     """``walked`` over the lists' heads, then over the lists down to the cuts that the heads certify."""
-    first = walked(rows, members, clusters, counts, head, wanted, same, f"{name}-heads")
+    first = walked(rows, members, clusters, head, wanted, same, f"{name}-heads")
     worst = first.filter(F.col("place") == wanted).select("anchor", "query", "score")
     cut = cuts(members, worst, clusters)
     known = worst.groupBy(F.col("anchor").alias("rid")).agg(F.map_from_entries(F.collect_list(F.struct("query", "score"))).alias("at"))
     least = F.transform("least", lambda v, k: F.coalesce(F.col("at")[k.cast("int")], v))
     members = members.join(known, "rid", "left").withColumn("least", least).drop("at")
-    return walked(rows, members, clusters, counts, cut, wanted, same, name)
+    return walked(rows, members, clusters, cut, wanted, same, name)
 
 
 def hard_negatives(vectors: DataFrame, anchor: Column, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
@@ -371,10 +444,9 @@ def hard_negatives(vectors: DataFrame, anchor: Column, vec_id: str = "vec_id", e
     dimensions have no score. Rows are what counts: repeated rows are other rows, each with its own place and
     results. Zero vectors score 0. An anchor without a positive, or a positive without a negative, gives no row."""
     rows = written(whole_vectors(vectors, anchor, vec_id, embedding, label, scale), "whole-vectors")
-    anchors = rows.filter("anchor")
-    clusters = fitted(anchors)
-    members = clustered(anchors, clusters)
-    clusters.top = float(rows.agg(F.max("norm")).first()[0] or 1.0) or 1.0
+    clusters = fitted(rows.filter("anchor"))
+    rows = clustered(rows, clusters)
+    members = rows.filter("anchor")
     counts = histogram(rows, clusters)
     upto = F.sum("n").over(Window.partitionBy("cluster").orderBy(F.desc("bin")))
     found = counts.withColumn("upto", upto).filter(F.col("upto") - F.col("n") < HEAD).groupBy("cluster").agg(F.min("bin").alias("bin"))
@@ -382,7 +454,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, vec_id: str = "vec_id", e
 
     limit = lambda v: F.array(F.lit(v).cast("long"))
     members = members.withColumns({"low": limit(LEAST), "high": limit(MOST), "least": limit(LEAST)})
-    close = searched(rows, members, clusters, counts, head, positives, True, "positives")
+    close = searched(rows, members, clusters, head, positives, True, "positives")
     p = F.col("score")
     # 50 p <= 100 n <= 95 p, without products that leave the range of longs
     band = close.filter("score >= 0").withColumn("half", F.expr("(score + pmod(score, 2)) div 2")).groupBy(F.col("anchor").alias("rid")).agg(
@@ -390,7 +462,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, vec_id: str = "vec_id", e
                                              (p - F.expr("(score + pmod(-score, 20)) div 20")).alias("high")))).alias("band"))
     askers = written(members.drop("low", "high", "least").join(band, "rid").select(
         "*", F.col("band.low").alias("low"), F.col("band.high").alias("high"), F.col("band.low").alias("least")).drop("band"), "askers")
-    hard = searched(rows, askers, clusters, counts, head, negatives, False, "negatives")
+    hard = searched(rows, askers, clusters, head, negatives, False, "negatives")
     ids = rows.select(F.col("rid").alias("anchor"), F.col("vec_id").alias("anchor_id"))
     chosen = close.select("anchor", (F.col("place") - 1).alias("query"), F.col("vec_id").alias("positive_id"),
                           F.col("score").alias("positive_score"))
