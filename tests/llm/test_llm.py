@@ -82,6 +82,37 @@ def test_simhash_matches_brute_force(spark, texts):
     assert got == brute.near(texts)
 
 
+def test_rows_without_or_with_shared_ids_carry_links(spark):
+    """Documents joined only through rows without an id are one group; one row of a group is kept, whatever its id."""
+    import corpus_pipeline
+    from servstar.llm.simhash import near_duplicates, links  # noqa: F401
+    r = random.Random(8)
+    words = ["w%d" % k for k in range(3000)]
+
+    def close(text):  # a text two bits or more, but at most the radius, away
+        while True:
+            w = text.split()
+            w[r.randrange(len(w))] = r.choice(words)
+            n = (brute.fingerprint(" ".join(w)) ^ brute.fingerprint(text)).bit_count()
+            if 2 < n <= 4:
+                return " ".join(w)
+
+    while True:
+        a = " ".join(r.choice(words) for _ in range(300))
+        b = close(a)
+        c = close(b)
+        if (brute.fingerprint(a) ^ brute.fingerprint(c)).bit_count() > 4:
+            break
+    other = " ".join(r.choice(words) for _ in range(300))
+    rows = [(1, a), (None, b), (3, c), (3, other), (None, "alone and without id " * 3), (None, "alone and without id " * 3)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {(x.doc_id, x.text_hash): x for x in near_duplicates(df).collect()}
+    at = {t: x for (i, t), x in zip(rows, df.selectExpr("xxhash64(text) as h").collect())}
+    assert [got[i, at[t].h].component_id for i, t in rows] == [1, 1, 1, 3, None, None]
+    kept = corpus_pipeline.near(spark, df, SF).collect()
+    assert Counter((x.doc_id, x.text) for x in kept) == Counter([(1, a), (3, other), rows[4], rows[5]])
+
+
 def test_simhash_odd_rows(odd_docs, none):
     from servstar.llm.simhash import near_duplicates
     rows = near_duplicates(odd_docs).collect()
@@ -169,6 +200,56 @@ def test_lattice_links_and_odd_vectors(spark):
     assert embedding_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_lattice_links_within_each_length_and_rows_without_ids(spark):
+    from servstar.llm.lattice import embedding_duplicates
+    g = np.random.default_rng(3)
+    a, b = g.normal(size=64), g.normal(size=32)
+    rows = [(k, (a * (1 + k)).tolist()) for k in range(20)] + [(100 + k, (b * (k + 1)).tolist()) for k in range(4)]
+    # 200 and 202 link with a row without id only; two different vectors under one id
+    e = g.normal(size=64)
+    e -= a * (a @ e) / (a @ a)
+    turn = lambda deg: (a / np.linalg.norm(a) * np.cos(np.radians(deg)) + e / np.linalg.norm(e) * np.sin(np.radians(deg))).tolist()
+    rows += [(200, turn(90)), (None, turn(104)), (202, turn(118)), (300, [1.0, 0.0]), (300, [0.0, 1.0]), (301, [2.0, 0.1]), (None, [-1.0, -5.0])]
+    got = Counter(map(tuple, embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    want = Counter((k, 19, 0, k == 0) for k in range(20)) + Counter((100 + k, 3, 100, k == 0) for k in range(4))
+    want += Counter([(200, 1, 200, True), (None, 2, 200, False), (202, 1, 200, False), (300, 1, 300, True), (300, 0, 300, True),
+                     (301, 1, 300, False), (None, 0, None, False)])
+    assert got == want
+
+
+@pytest.mark.parametrize("dims", [8, 12, 16, 24, 32, 64, 128, 384, 768])
+def test_lattice_recall_at_the_threshold(dims):
+    """Pairs at a cosine of exactly 0.95 meet in a cell in 95 of 100 cases or more."""
+    from servstar.llm.lattice import PROBES, TABLES, THRESHOLD, Lattice, unit
+    g = np.random.default_rng(dims)
+    x, e = unit(g.normal(size=(1000, dims))), g.normal(size=(1000, dims))
+    e = unit(e - x * (x * e).sum(axis=1, keepdims=True))
+    y = 0.95 * x + np.sqrt(1 - 0.95 ** 2) * e
+    lattice = Lattice(dims, TABLES, PROBES, THRESHOLD)
+    p, q = lattice.cells(x), lattice.cells(y)
+    met = ((p == q[:, :, :1]).any(axis=2) | (q == p[:, :, :1]).any(axis=2)).any(axis=1)
+    assert met.mean() >= 0.95, met.mean()
+
+
+def test_dense_cell_of_long_vectors_in_bounded_memory():
+    """4096 near-equal vectors of 768 dimensions compared in one cell take less than 300 MB beside the vectors."""
+    import tracemalloc
+
+    from servstar.llm.lattice import PROBES, TABLES, THRESHOLD, Lattice, _spanning, cell_links, unit
+    g = np.random.default_rng(1)
+    x = unit(g.normal(size=768) + g.normal(size=(4096, 768)) * 0.01)
+    lattice, at = Lattice(768, TABLES, PROBES, THRESHOLD), np.arange(4096)
+    tracemalloc.start()
+    label, seen = np.arange(4096), 0
+    for p, q in cell_links(x, at, 0, at, at, lattice, THRESHOLD):
+        assert len(p) <= 1 << 16
+        _spanning(label, p, q)
+        seen += len(p)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen > 4096 and peak < 300 << 20, peak
+
+
 @pytest.mark.parametrize("cell_rows, home_rows", [(16, 1 << 14), (16, 50), (7, 7)])
 def test_large_cells_are_dealt_out(spark, monkeypatch, cell_rows, home_rows):
     from servstar.llm import lattice
@@ -347,6 +428,24 @@ def test_secrets_of_a_text_with_many_tokens(spark):
 
 # -- 5 --------------------------------------------------------------------------------------------
 
+def test_mixing_meets_its_target_with_null_and_repeated_ids(spark, tmp_path):
+    """Equal rows, rows without id and rows that share one are split like any others."""
+    from servstar.llm.mixing import mix
+    rows = [(None if k % 3 == 0 else k, "a b c d e f g h i j " * 2, "s1") for k in range(600)]  # a third equal and without id
+    rows += [(7, f"w{k} " * (1 + k % 9), "s2") for k in range(900)] + [(k, "x y z", "s3") for k in range(500)]
+    rows += [(None, f"v{k % 40} " * 3, None) for k in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    got = mix(docs).collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in got) == Counter(rows)
+    for s in ("s1", "s2", "s3", None):
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own) / 2
+        assert all(0 <= r.taken <= 2 * r.size for r in own)
+    again = mix(docs).collect()
+    assert Counter(map(str, got)) == Counter(map(str, again))
+
+
 def test_mixing_odd_rows(odd_docs, none):
     from servstar.llm.mixing import mix
     rows = [(r[0], r[1], r[3]) for r in odd_rows()]

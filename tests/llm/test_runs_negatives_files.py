@@ -117,7 +117,8 @@ def test_hard_negatives_odd_rows(spark, monkeypatch, small):
 
     from servstar.llm import hard_negatives as h
     if small:  # heads, shards, chunks and clusters of a few rows
-        for name, value in (("HEAD", 10), ("SHARD_ROWS", 40), ("MEMBERS", 4), ("CLUSTER_ANCHORS", 8), ("SAMPLE", 30)):
+        for name, value in (("HEAD", 10), ("SHARD_ROWS", 40), ("MEMBERS", 4), ("CLUSTER_ANCHORS", 8), ("SAMPLE", 30),
+                            ("SHARD_BYTES", 1000)):
             monkeypatch.setattr(h, name, value)
     df = spark.createDataFrame([(*r, 1, "x") for r in odd_vectors()], "vec_id long, embedding array<double>, label int, rid long, norm string")
     got = h.hard_negatives(df, F.col("vec_id") % 5 == 0).collect()
