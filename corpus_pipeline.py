@@ -35,11 +35,12 @@ def exact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates. Documents without an id stay;
-    documents that share an id stay or go together."""
-    found = simhash.near_duplicates(docs)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The first document, by id (NULL last) and text, of each group of near-duplicates. Rows equal in id and text
+    stay or go together."""
+    gone = simhash.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone_id"), "text_hash").distinct()
+    rows = inside(docs)
+    same = F.col("in_doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (simhash.text_hash(F.col("in_text")) == F.col("text_hash"))
+    return outside(rows.join(gone, same, "left_anti"), docs)
 
 
 def mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
