@@ -1,44 +1,40 @@
 """Dimension builders (L1-L3, L5).
 
-Surrogate keys are ``row_number`` over the natural key: reproducible across
-reloads. The window has no partition, so it runs in one task; dimensions here
-are bounded by their domains (nations, part types x priorities, calendar days).
-The fact table never takes this path.
+Surrogate keys come from a stored key map (``operators.keys``): what has a key keeps it over
+reloads, new natural keys are numbered after it. Without a map given, a dimension gets one of its own, whose keys
+ascend with the natural key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from servstar import schemas
 from servstar.functions.expr import (
     monday_week_number, quarter_label, sla_category, smart_date_key, weekend_flag,
 )
+from servstar.operators.keys import KeyMap, keyed
 
 
-def _keyed(df: DataFrame, key: str, natural: str) -> DataFrame:
-    return df.withColumn(key, F.row_number().over(Window.orderBy(natural)).cast("long"))
-
-
-def dim_department(departments: DataFrame) -> DataFrame:
-    df = _keyed(departments.select("department_id", "department_code", "department_name",
-                                   "department_sector"), "dept_key", "department_id")
+def dim_department(departments: DataFrame, keys: KeyMap | None = None) -> DataFrame:
+    df = keyed(departments.select("department_id", "department_code", "department_name",
+                                   "department_sector"), "dept_key", "department_id", keys)
     return schemas.conform(df.withColumn("effective_date", F.current_timestamp()),
                            schemas.DIM_DEPARTMENT)
 
 
-def dim_service_type(service_types: DataFrame) -> DataFrame:
+def dim_service_type(service_types: DataFrame, keys: KeyMap | None = None) -> DataFrame:
     """Copies code, name and category; the owning department is not carried."""
-    df = _keyed(service_types.select("service_type_id", "service_code", "service_name",
-                                     "category"), "service_key", "service_type_id")
+    df = keyed(service_types.select("service_type_id", "service_code", "service_name",
+                                     "category"), "service_key", "service_type_id", keys)
     return schemas.conform(df.withColumn("effective_date", F.current_timestamp()),
                            schemas.DIM_SERVICE_TYPE)
 
 
-def dim_sla(sla_definitions: DataFrame) -> DataFrame:
-    df = _keyed(sla_definitions.select("sla_id", "priority_level", "sla_hours"),
-                "sla_key", "sla_id")
+def dim_sla(sla_definitions: DataFrame, keys: KeyMap | None = None) -> DataFrame:
+    df = keyed(sla_definitions.select("sla_id", "priority_level", "sla_hours"),
+                "sla_key", "sla_id", keys)
     df = df.withColumn("sla_category", sla_category("sla_hours"))
     return schemas.conform(df.withColumn("effective_date", F.current_timestamp()),
                            schemas.DIM_SLA)

@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 
 from servstar.plans.warehouse import warehouse
 from servstar.session import scratch_path
-from servstar.sources.tables import SourceTables
-from servstar.streaming.events import encode, event_records, folder_numbers
+from servstar.sources.tables import SourceTables, folder_numbers
+from servstar.streaming.events import encode, event_records
 
 
 # -- N1 -----------------------------------------------------------------------------

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from servstar.operators import dims, fact
 from servstar.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from servstar.operators.keys import KeyMap
 from servstar.session import scratch_path
 from servstar.sources import binding
 from servstar.sources.tables import SourceTables, path_exists
@@ -134,19 +135,22 @@ def run_steps(steps: dict, parallelism: int | None = None) -> None:
             fut.result()
 
 
-def load(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredWarehouse:
+def load(spark: SparkSession, sf_dir: str, root: str | None = None, keys_root: str | None = None) -> StoredWarehouse:
     """Run the load jobs; returns the stored warehouse.
 
     The steps form a small DAG run as concurrent Spark jobs: the small
     reference and dimension jobs fill slots the lineitem-sized staging job
     leaves idle. A step whose table is already committed under ``root`` is
     skipped, so a re-run after a failure resumes where the last one stopped.
+    Surrogate keys are taken from, and new ones added to, the key maps under ``keys_root``
+    (default: ``root``), which a later load of changed input should be given again.
     """
     root = root or scratch_path(spark, "warehouse")
     src = SourceTables(spark, sf_dir)
     read = lambda path: _read(spark, path)
     at = lambda name: f"{root}/{name}"
     sizes: dict[str, int] = {}
+    key_map = lambda key, natural: KeyMap(spark, f"{keys_root or root + '/_keys'}/{key}", key, natural)
 
     def write(name, build, partition_by=None, dim=False):
         def run():
@@ -170,17 +174,19 @@ def load(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredWar
     staging = lambda: read(at("_staging/requests"))
     steps = {
         "departments": ([], write("departments", lambda: binding.departments(src))),
-        "service_catalog": ([], write("service_catalog", lambda: binding.service_catalog(src), dim=True)),
+        "service_catalog": ([], write("service_catalog", lambda: binding.service_catalog(
+            src, key_map("service_type_id", "p_type")), dim=True)),
         "_staging/requests": (["service_catalog"], write(
             "_staging/requests", lambda: binding.request_staging(
                 src, catalog=StoredWarehouse(spark, root, sizes).dim("service_catalog")))),
         "dim_time": ([], write("dim_time", lambda: dims.dim_time(binding.calendar_bounds(src)),
                                dim=True)),
         "dim_department": (["departments"], write(
-            "dim_department", lambda: dims.dim_department(read(at("departments"))), dim=True)),
+            "dim_department", lambda: dims.dim_department(
+                read(at("departments")), key_map("dept_key", "department_id")), dim=True)),
         "dim_service_type": (["service_catalog"], write(
-            "dim_service_type", lambda: dims.dim_service_type(read(at("service_catalog"))),
-            dim=True)),
+            "dim_service_type", lambda: dims.dim_service_type(
+                read(at("service_catalog")), key_map("service_key", "service_type_id")), dim=True)),
         # requests and surveys: narrow projections of the staging table
         "service_requests": (["_staging/requests"], write(
             "service_requests", lambda: binding.requests_from_staging(staging()))),
@@ -192,7 +198,8 @@ def load(spark: SparkSession, sf_dir: str, root: str | None = None) -> StoredWar
         "sla_definitions": (["_staging/requests"], write(
             "sla_definitions", lambda: binding.sla_definitions(staging()))),
         "dim_sla": (["sla_definitions"], write(
-            "dim_sla", lambda: dims.dim_sla(read(at("sla_definitions"))), dim=True)),
+            "dim_sla", lambda: dims.dim_sla(
+                read(at("sla_definitions")), key_map("sla_key", "sla_id")), dim=True)),
         "fact_service_requests": (
             ["_staging/requests", "dim_department", "dim_service_type", "dim_sla", "dim_time"],
             write("fact_service_requests", fact_table, partition_by=["loaded"])),
@@ -230,6 +237,12 @@ def lasting_root(spark: SparkSession, sf_dir: str, kind: str = "warehouse") -> s
     return f"{root.rstrip('/')}/{kind}-{input_fingerprint(spark, sf_dir)}" if root else None
 
 
+def lasting_keys(spark: SparkSession, sf_dir: str) -> str | None:
+    """Where the key maps of this folder last, whatever its files hold by then."""
+    root = spark.conf.get(ROOT_SETTING, None)
+    return f"{root.rstrip('/')}/keys-{hashlib.md5(sf_dir.rstrip('/').encode()).hexdigest()[:16]}" if root else None
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> StoredWarehouse:
     """The stored warehouse for ``sf_dir``: loaded once per Spark application,
     with table handles and views bound to the calling session (sessions of one
@@ -242,7 +255,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> StoredWarehouse:
     with _LOCK:
         wh = _LOADED.get(key)
         if wh is None:
-            wh = load(spark, sf_dir, root)
+            wh = load(spark, sf_dir, root, lasting_keys(spark, sf_dir))
             _LOADED[key] = wh
         if wh.spark is spark:
             return wh

@@ -37,6 +37,7 @@ from servstar.functions.expr import (
     SIZE_TYPES, SLA_DAYS_BY_PRIORITY, add_hours, half_point, minutes_between,
     sla_hours_for_priority,
 )
+from servstar.operators.keys import KeyMap, keyed
 from servstar.sources.tables import SourceTables
 
 
@@ -52,15 +53,14 @@ def departments(src: SourceTables) -> DataFrame:
     return schemas.conform(df, schemas.DEPARTMENTS)
 
 
-def service_catalog(src: SourceTables) -> DataFrame:
+def service_catalog(src: SourceTables, keys: KeyMap | None = None) -> DataFrame:
     """service_type_id, service_code, service_name, category (one row per part type).
 
-    The distinct runs as a partial aggregate; the id window then sees one row
-    per type (a bounded domain), so its single partition is harmless.
+    Ids come from a key map over the part types: a type keeps its id, and so its SLA ids, when others appear.
     """
     types = src.table("part", "p_type").where(F.col("p_type").isNotNull()).distinct()
-    return types.select(
-        F.row_number().over(Window.orderBy("p_type")).cast("long").alias("service_type_id"),
+    return keyed(types, "service_type_id", "p_type", keys).select(
+        "service_type_id",
         F.col("p_type").alias("service_code"),
         F.col("p_type").alias("service_name"),
         F.when(F.col("p_type").isin(*SIZE_TYPES), "Size").otherwise("Line").alias("category"),

@@ -152,3 +152,28 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the committed ``<prefix><number>`` folders under ``path``, ascending."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    ids = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith(prefix) and fs.exists(
+                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            ids.append(int(name[len(prefix):]))
+    return sorted(ids)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

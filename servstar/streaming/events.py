@@ -27,7 +27,7 @@ from servstar import schemas
 from servstar.functions.expr import event_priority
 from servstar.plans.warehouse import lasting_root
 from servstar.session import scratch_path
-from servstar.sources.tables import SourceTables, path_exists
+from servstar.sources.tables import SourceTables, delete as _delete, folder_numbers, path_exists
 
 # Fixed values of the event record.
 EVENT_TYPE = "SERVICE_REQUEST_CREATED"
@@ -148,36 +148,11 @@ def _counts_to(path: str, quarantine: str | None = None, keep: int = 2):
     return write
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def folder_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the committed ``<prefix><number>`` folders under ``path``, ascending."""
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    ids = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(prefix) and fs.exists(
-                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            ids.append(int(name[len(prefix):]))
-    return sorted(ids)
-
-
 def _snapshots(spark: SparkSession, path: str) -> list[int]:
     """Committed snapshot batch ids under ``path``, ascending."""
     return folder_numbers(spark, path, "batch_id=")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    p, fs = _fs(spark, path)
-    fs.delete(p, True)
-
-
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """The newest committed snapshot of the count table."""
     ids = _snapshots(spark, path)
