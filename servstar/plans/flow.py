@@ -45,8 +45,10 @@ def extract_since(spark: SparkSession, source: DataFrame, key: str, target: str)
     """
     runs = committed_runs(spark, target)
     last = None
-    if runs:
-        last = spark.read.schema(source.schema).parquet(*[f"{target}/run={n}" for n in runs]).agg(F.max(key)).first()[0]
+    for n in reversed(runs):  # keys grow from run to run, so the last run that has rows has the maximum
+        last = spark.read.schema(source.schema).parquet(f"{target}/run={n}").agg(F.max(key)).first()[0]
+        if last is not None:
+            break
     batch = source if last is None else source.where(F.col(key) > F.lit(last))
     obs = Observation("extract")
     batch = batch.observe(obs, F.count(F.lit(1)).alias("n"), F.max(key).alias("max_key"))
@@ -95,16 +97,44 @@ def validate_json(messages: DataFrame, fields=REQUIRED_FIELDS, column: str = "va
                      (F.size(missing) == 0).cast("int").alias("valid"))
 
 
+def variant_fields(df: DataFrame, column: str, fields: dict[str, str]) -> DataFrame:
+    """``df`` plus, per field (name to type), ``<name>`` and ``<name>_state``, from one parse of the JSON text: 'ok',
+    'unreadable' (the text is no JSON), 'missing' (no such path, or JSON null) or 'wrong type'. NULL text has missing fields."""
+    wide = df.withColumn("_variant", F.try_parse_json(column))
+    out = {}
+    for name, kind in fields.items():
+        raw, typed = F.try_variant_get("_variant", f"$.{name}", "variant"), F.try_variant_get("_variant", f"$.{name}", kind)
+        absent = raw.isNull() | F.is_variant_null(raw)
+        out[name] = typed
+        out[f"{name}_state"] = F.when(F.col("_variant").isNull() & F.col(column).isNotNull(), F.lit("unreadable")) \
+            .when(absent, F.lit("missing")).when(typed.isNull(), F.lit("wrong type")).otherwise(F.lit("ok"))
+    return wide.withColumns(out).drop("_variant")
+
+
+def json_variant_fields(spark, sf_dir):
+    """The events' ``k``, with the texts of some event types spoilt: cut short, renamed or no number."""
+    kind = F.col("event_type")
+    spoilt = F.when(kind == "error", F.substring("props", 1, 5)).when(kind == "view", F.replace("props", F.lit('"k"'), F.lit('"j"'))) \
+        .when(kind == "signup", F.regexp_replace("props", r"(\d+)", '"n$1"')).when(kind == "click", F.regexp_replace("props", r"\d+", "null")) \
+        .otherwise(F.col("props"))
+    events = SourceTables(spark, sf_dir).table("events", "event_id", "event_type", "props").withColumn("props", spoilt)
+    return variant_fields(events, "props", {"k": "long"}).select("event_id", "k", "k_state")
+
+
 def json_path_validate(spark, sf_dir):
     events = SourceTables(spark, sf_dir).table("events")
     return validate_json(encode(event_records(events)))
 
 
 # -- N3 -----------------------------------------------------------------------------
+def sla_met(completed_at, sla_deadline):
+    return F.coalesce(completed_at <= sla_deadline, F.lit(False))
+
+
 def sla_flag(requests: DataFrame) -> DataFrame:
     """Deadline flag: completed at or before ``sla_deadline`` -> 1, else 0
     (an open request is 0)."""
-    met = F.col("completed_at").isNotNull() & (F.col("completed_at") <= F.col("sla_deadline"))
+    met = sla_met(F.col("completed_at"), F.col("sla_deadline"))
     return requests.select("request_id", "submitted_at", "sla_deadline", "completed_at",
                            met.cast("int").alias("sla_flag"),
                            F.col("sla_compliant"))

@@ -11,13 +11,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from servstar import schemas
-from servstar.functions.expr import EVENT_PRIORITIES, round_half_up_sql as rnd, sla_category, strip_prefix
-from servstar.operators import fact, quality
+from servstar.functions.expr import (
+    EVENT_PRIORITIES, half_point_even, lower_names, round_half_up_sql as rnd, sla_category, strip_prefix,
+)
+from servstar.operators import constraints, fact, quality
+from servstar.operators.keys import KeyMap
 from servstar.oracle import KPI_ORACLE, MART_ORACLE, with_star
-from servstar.plans import flow, kpis_frame, kpis_sql, marts, sinks
+from servstar.plans import flow, incremental, kpis_frame, kpis_sql, marts, sinks
 from servstar.plans.warehouse import SOURCE_TABLES, STAR_TABLES, warehouse
 from servstar.sources import binding
-from servstar.sources.tables import SourceTables
+from servstar.sources.tables import SourceTables, resolve_codes
+from servstar.session import scratch_path
 from servstar.streaming import events as ev
 
 QUERIES = {}
@@ -294,6 +298,84 @@ def _fact_by_survey_join(spark, sf_dir):
 _register("fact_survey_join", _fact_by_survey_join, ORACLE_SQL["fact_service_requests"])
 
 
+_LINE_RULES = [
+    constraints.Unique(("l_orderkey", "l_linenumber")), constraints.Between("l_quantity", 2, 40), constraints.OneOf("l_returnflag", ("A", "N")),
+    constraints.References("l_suppkey", "suppliers", "s_suppkey"), constraints.References("l_orderkey", "orders", "o_orderkey")]
+
+
+def _line_violations(spark, sf_dir):
+    """Lines by the list of constraints they violate; the suppliers are those with a positive balance."""
+    src = SourceTables(spark, sf_dir)
+    parents = {"suppliers": src.table("supplier").filter("s_acctbal > 0"), "orders": src.table("orders")}
+    lines = src.table("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_suppkey")
+    accepted, bad = constraints.load_checked(lines, _LINE_RULES, scratch_path(spark, "checked-lines"), parents)
+    listed = bad.groupBy(F.array_join("violations", ", ").alias("violations")).agg(F.count(F.lit(1)).alias("lines"))
+    return listed.unionByName(accepted.agg(F.count(F.lit(1)).alias("lines")).select(F.lit("").alias("violations"), "lines"))
+
+
+_register("dq_line_constraints", _line_violations, """
+SELECT violations, COUNT(*) AS lines FROM (
+    SELECT concat_ws(', ', CASE WHEN n > 1 THEN 'l_orderkey,l_linenumber repeated' END,
+                     CASE WHEN l_quantity < 2 OR l_quantity > 40 THEN 'l_quantity out of range' END,
+                     CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'l_returnflag not listed' END,
+                     CASE WHEN l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) THEN 'l_suppkey not in suppliers' END,
+                     CASE WHEN l_orderkey NOT IN (SELECT o_orderkey FROM orders) THEN 'l_orderkey not in orders' END) AS violations
+    FROM (SELECT *, COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem) x) y
+GROUP BY violations""")
+
+
+def _checked_sources(spark, sf_dir):
+    """Rows that the declared constraints accept and quarantine, per source table. Suppose nations above 20 were no departments."""
+    wh = warehouse(spark, sf_dir)
+    tables = {t: wh.table(t) for t in SOURCE_TABLES} | {"departments": wh.table("departments").filter("department_id <= 20")}
+    out = None
+    for t, df in tables.items():
+        accepted, bad = constraints.load_checked(df, constraints.declared(t), scratch_path(spark, f"checked-{t}"), tables)
+        row = accepted.agg(F.count(F.lit(1)).alias("accepted")).crossJoin(bad.agg(F.count(F.lit(1)).alias("quarantined"))) \
+            .select(F.lit(t).alias("table_name"), "accepted", "quarantined")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_register("dq_source_quarantine", _checked_sources, with_star("""
+SELECT 'departments' AS table_name, COUNT(*) FILTER (department_id <= 20) AS accepted, CAST(0 AS BIGINT) AS quarantined FROM departments
+UNION ALL SELECT 'service_types', COUNT(*) FILTER (department_id IS NULL OR department_id <= 20), COUNT(*) FILTER (department_id > 20) FROM service_types
+UNION ALL SELECT 'sla_definitions', COUNT(*), 0 FROM sla_definitions
+UNION ALL SELECT 'service_requests', COUNT(*) FILTER (department_id <= 20 AND service_type_id IS NOT NULL),
+                 COUNT(*) FILTER (department_id IS NULL OR department_id > 20 OR service_type_id IS NULL) FROM service_requests
+UNION ALL SELECT 'user_surveys', COUNT(*), 0 FROM user_surveys"""))
+
+
+# -- keys that last, and small rules on given rows (F26, F3, F24, F25, PF14, J9) ------------------
+def _keys_reload(spark, sf_dir):
+    """Keys of the part types after a load without every third brand's parts and one with all."""
+    part = SourceTables(spark, sf_dir).table("part", "p_type", "p_brand")
+    keys = KeyMap(spark, scratch_path(spark, "part-type-keys"), "type_key", "p_type")
+    keys.extend(part.filter("p_type not like 'E%' and p_type not like 'M%'"))
+    return keys.keyed(part.select("p_type").distinct())
+
+
+_register("keys_after_reload", _keys_reload, """
+WITH t AS (SELECT DISTINCT p_type, p_type LIKE 'E%' OR p_type LIKE 'M%' AS late FROM part)
+SELECT p_type, row_number() OVER (ORDER BY late, p_type) AS type_key FROM t""")
+_register("half_points_even",
+          lambda spark, sf_dir: SourceTables(spark, sf_dir).table("lineitem", "l_orderkey", "l_linenumber", "l_quantity").select(
+              "l_orderkey", "l_linenumber", half_point_even(F.col("l_quantity") / 4).alias("half_points")), """
+SELECT l_orderkey, l_linenumber, round_even(l_quantity / 4 * 2, 0) / 2 AS half_points FROM lineitem""")
+_register("column_defaults",
+          lambda spark, sf_dir: schemas.conform(
+              lower_names(SourceTables(spark, sf_dir).table("orders", "o_orderkey").toDF("REQUEST_ID")),
+              schemas.SERVICE_REQUESTS).select(
+              "request_id", "status", "priority", "sla_compliant", F.col("created_at").isNotNull().cast("int").alias("stamped")), """
+SELECT o_orderkey AS request_id, 'SUBMITTED' AS status, 'NORMAL' AS priority, 0 AS sla_compliant, 1 AS stamped FROM orders""")
+_register("code_lookup",
+          lambda spark, sf_dir: resolve_codes(
+              SourceTables(spark, sf_dir).table("part", "p_partkey", "p_type"),
+              warehouse(spark, sf_dir).service_types.filter("service_type_id % 2 = 1"), "p_type", "service_code", "service_type_id"), with_star("""
+SELECT p_partkey, CASE WHEN service_type_id % 2 = 1 THEN service_type_id END AS service_type_id
+FROM part LEFT JOIN service_types ON service_code = p_type"""))
+
+
 # -- step 8: sinks and the load-once guard (IO5-IO7) -------------------------------------------
 _register("csv_roundtrip", sinks.csv_roundtrip, KPI_ORACLE["kpi1_resolution_sql"])
 _register("load_if_empty_twice", sinks.load_if_empty_twice, with_star("""
@@ -311,6 +393,8 @@ _register("stream_by_department", ev.stream_by_department, """
 SELECT event_type AS department, COUNT(*) AS events FROM events GROUP BY event_type""")
 _register("stream_by_priority", ev.stream_by_priority, f"""
 SELECT {_EVENT_PRIORITY_SQL} AS priority, COUNT(*) AS events FROM events GROUP BY 1""")
+_register("stream_state_counts", ev.stream_state_counts, f"""
+SELECT event_type AS department, {_EVENT_PRIORITY_SQL} AS priority, COUNT(*) AS events FROM events GROUP BY 1, 2""")
 _register("stream_total", ev.stream_total, "SELECT COUNT(*) AS total_events FROM events")
 _register("stream_quarantine", ev.stream_quarantine, """
 SELECT event_id, CAST(event_type = 'signup' AS INTEGER) AS whole FROM events WHERE event_type IN ('signup', 'error')""")
@@ -356,3 +440,30 @@ SELECT 'EVT-' || CAST(event_id AS VARCHAR) AS request_ref, event_type AS departm
        'user_' || CAST(user_id AS VARCHAR) AS requester_name,
        CAST(NULL AS VARCHAR) AS requester_email, ts AS submitted_at
 FROM events""")
+_register("json_variant_fields", flow.json_variant_fields, """
+SELECT event_id, CASE WHEN event_type = 'purchase' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE event_type WHEN 'error' THEN 'unreadable' WHEN 'view' THEN 'missing' WHEN 'click' THEN 'missing'
+                       WHEN 'signup' THEN 'wrong type' ELSE 'ok' END AS k_state
+FROM events""")
+
+#: A full reload of the second day, and the three runs' counts from plain comparisons of the two days.
+_REQUEST_ROWS = """
+SELECT request_id, request_ref, department_id, channel, status, priority, submitted_at, sla_deadline, completed_at,
+       CASE WHEN completed_at IS NOT NULL AND completed_at <= sla_deadline THEN 1 ELSE 0 END AS sla_flag
+FROM service_requests WHERE request_id % 17 <> 0"""
+_register("incremental_load_rows", incremental.incremental_load_rows, with_star(_REQUEST_ROWS))
+_register("incremental_load", incremental.incremental_load, with_star("""
+SELECT 1 AS run, a.n + g.n AS new_rows, 0 AS changed_rows, 0 AS removed_rows, a.bad + g.bad AS rejected_rows,
+       am.n AS months_written, a.n + g.n AS target_rows
+FROM (SELECT COUNT(*) FILTER (request_id % 17 <> 0) AS n, COUNT(*) FILTER (request_id % 17 = 0) AS bad FROM service_requests WHERE request_id % 7 <> 0) a,
+     (SELECT COUNT(*) FILTER (request_id % 17 <> 0) AS n, COUNT(*) FILTER (request_id % 17 = 0) AS bad FROM service_requests WHERE request_id % 13 = 0) g,
+     (SELECT COUNT(DISTINCT strftime(submitted_at, '%Y-%m')) AS n FROM service_requests
+      WHERE request_id % 17 <> 0 AND (request_id % 7 <> 0 OR request_id % 13 = 0)) am
+UNION ALL
+SELECT 2, COUNT(*) FILTER (request_id % 7 = 0), COUNT(*) FILTER (request_id % 7 <> 0 AND request_id % 11 = 0 AND channel IS DISTINCT FROM 'OLD'),
+       COUNT(*) FILTER (request_id % 13 = 0), (SELECT COUNT(*) FROM service_requests WHERE request_id % 17 = 0),
+       COUNT(DISTINCT CASE WHEN request_id % 7 = 0 OR request_id % 11 = 0 OR request_id % 13 = 0 THEN strftime(submitted_at, '%Y-%m') END),
+       COUNT(*)
+FROM service_requests WHERE request_id % 17 <> 0
+UNION ALL
+SELECT 3, 0, 0, 0, COUNT(*) FILTER (request_id % 17 = 0), 0, COUNT(*) FILTER (request_id % 17 <> 0) FROM service_requests"""))

@@ -19,9 +19,11 @@ folders, and readers take the newest committed one, never a half-written one.
 from __future__ import annotations
 
 import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from servstar import schemas
 from servstar.functions.expr import event_priority
@@ -168,6 +170,84 @@ def start_counts(spark: SparkSession, source: DataFrame, sink: str, checkpoint:
             .option("checkpointLocation", f"{checkpoint}/counts").trigger(availableNow=True).start()]
 
 
+# -- the same counts kept in Spark's state store (ST3-ST5), and a consumer that goes on until idle (ST6) -----
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Batches whose updates are kept apart before they are written together.
+UPDATES_KEPT = 20
+#: Fixed value: seconds without messages after which the reference's consumer ends.
+IDLE_SECONDS = 8.0
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """Child session whose stateful queries keep their rows in RocksDB, on the executors' disks and in the checkpoint."""
+    ss = stream_session(spark)
+    ss.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return ss
+
+
+def start_state_counts(source: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None):
+    """Counts per (department, priority) as a stateful aggregation in update mode: the state holds one row per
+    key pair, a batch emits the pairs that it changed. ``source`` belongs to a ``state_session``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        older = [n for n in _snapshots(spark, sink) if n < batch_id]
+        if len(older) >= UPDATES_KEPT:
+            kept = spark.read.schema(batch.schema).parquet(*[f"{sink}/batch_id={n}" for n in older])
+            batch = batch.unionByName(kept).groupBy("department", "priority").agg(F.max("events").alias("events"))
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        if len(older) >= UPDATES_KEPT:
+            for n in older:
+                _delete(spark, f"{sink}/batch_id={n}")
+
+    return (cell_counts(decode(source)).writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_state_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """The newest count of each key pair: counts only grow, so a batch written again, or read twice, changes nothing."""
+    return spark.read.schema("department string, priority string, events long").parquet(
+        *[f"{sink}/batch_id={n}" for n in _snapshots(spark, sink)]).groupBy("department", "priority").agg(F.max("events").alias("events"))
+
+
+class IdleWatch(StreamingQueryListener):
+    """When a query last took in messages."""
+
+    def __init__(self):
+        self.last: dict[str, float] = {}
+
+    def onQueryStarted(self, event):
+        self.last[str(event.id)] = time.monotonic()
+
+    def onQueryProgress(self, event):
+        if event.progress.numInputRows:
+            self.last[str(event.progress.id)] = time.monotonic()
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def run_until_idle(spark: SparkSession, start, seconds: float = IDLE_SECONDS) -> None:
+    """Runs the query that ``start()`` starts until it took in nothing for ``seconds``, then stops it between batches."""
+    watch = IdleWatch()
+    spark.streams.addListener(watch)
+    try:
+        query = start()
+        begun = time.monotonic()
+        while query.isActive:
+            query.awaitTermination(0.2)
+            status = query.status
+            if (time.monotonic() - watch.last.get(query.id, begun) > seconds
+                    and not status["isTriggerActive"] and not status["isDataAvailable"]):
+                query.stop()
+        if query.exception() is not None:
+            raise query.exception()
+    finally:
+        spark.streams.removeListener(watch)
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Messages that do not decode, or lack department / priority, kept raw (none: no rows)."""
     if not folder_numbers(spark, path, "batch_id="):
@@ -299,6 +379,19 @@ def faulty(messages: DataFrame) -> DataFrame:
 
 
 # -- registry adapters ---------------------------------------------------------------
+def stream_state_counts(spark, sf_dir):
+    """The folder's messages in two halves: drained, then, from the same checkpoint and state, the second half."""
+    root = scratch_path(spark, "state-stream")
+    messages = encode(event_records(SourceTables(spark, sf_dir).table("events")))
+    half = F.pmod(F.xxhash64("key"), F.lit(2))
+    ss = state_session(spark)
+    for k in (0, 1):
+        produce(messages.filter(half == k), f"{root}/messages")
+        await_all([start_state_counts(message_stream(ss, f"{root}/messages", files_per_trigger=FILES_PER_TRIGGER),
+                                      f"{root}/counts", f"{root}/checkpoint")])
+    return read_state_counts(spark, f"{root}/counts")
+
+
 def stream_by_department(spark, sf_dir):
     return by_department(_table(spark, sf_dir, "counts"))
 
