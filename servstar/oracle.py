@@ -265,3 +265,45 @@ MART_ORACLE = {
     "mart_resolution_vs_sla": _mart(
         "department_name", f"{_SHORT}, {_tenths('hours')} AS avg_hours, {_tenths('allowed')} AS sla_hours", _DEPT),
 }
+_ALL = ("(SELECT 1 AS every) x", "true")
+_SHARE_MET = "CASE WHEN judged > 0 THEN met::DOUBLE / n::DOUBLE * 100 END"
+MART_ORACLE |= {
+    "mart_kpi_tiles": _mart(
+        "every", f"n AS total_requests, {_MET} AS sla_compliance_pct, {_hundredths('happy')} AS avg_satisfaction, "
+        f"{_tenths('hours')} AS avg_resolution_hours", _ALL,
+        more=", format('{:,}', total_requests) AS total_requests_text, sla_compliance_pct || '%' AS sla_compliance_text, "
+             "avg_satisfaction || ' / 5.0' AS avg_satisfaction_text, avg_resolution_hours || ' hrs' AS avg_resolution_text"),
+    "load_snapshot": _mart(
+        "every", f"n AS total_rows, {_hundredths(_SHARE_MET)} AS sla_compliance_pct, {_hundredths('happy')} AS avg_satisfaction, "
+        f"{_hundredths('hours')} AS avg_resolution_hours", _ALL),
+}
+
+
+# Frame KPIs, from the same raw sums: NULL keys dropped, ties to even, flag means.
+def _even(x: str) -> str:
+    return f"round_even(({x}) * 100.0::DOUBLE, 0) / 100.0::DOUBLE"
+
+
+def _frame(keys: str, columns: str, *dims, only: str = "true", more: str = "") -> str:
+    known = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    return _mart(keys, f"{keys}, n AS total_requests, {columns}", *dims, only=f"{only} AND {known}", more=more)
+
+
+_MEAN_MET = _even("met::DOUBLE / judged::DOUBLE * 100") + " AS sla_compliance_pct"
+FRAME_ORACLE = {
+    "kpi1_resolution_frame": _frame(
+        "department_name, department_sector", f"{_even('hours')} AS avg_resolution_hours, {_even('least')} AS min_resolution_hours, "
+        f"{_even('most')} AS max_resolution_hours", _DEPT),
+    "kpi2_sla_frame": _frame(
+        "year_num, month_num, month_name, service_name",
+        f"met AS compliant_count, {_even('met::DOUBLE / n::DOUBLE * 100')} AS sla_compliance_pct", _DAY, _KIND),
+    "kpi3_satisfaction_frame": _frame(
+        "department_name, service_name", f"{_even('happy')} AS avg_satisfaction, {_even('ease')} AS avg_ease_of_use, "
+        f"{_even('speed')} AS avg_response_speed, {_MEAN_MET}", _DEPT, _KIND, only="has_survey = 1",
+        more=", CASE WHEN avg_satisfaction >= 4 THEN 'High' WHEN avg_satisfaction >= 3 THEN 'Medium' ELSE 'Low' END AS satisfaction_band"),
+    "kpi4_trend_frame": _frame(
+        "year_num, month_num, month_name, quarter_name",
+        f"{_MEAN_MET}, {_even('happy')} AS avg_satisfaction, {_even('hours')} AS avg_resolution_hours", _DAY),
+}
+FRAME_ORACLE["kpi1_preview"] = FRAME_ORACLE["kpi1_resolution_frame"] + (
+    " ORDER BY avg_resolution_hours NULLS LAST, department_name, department_sector LIMIT 4")
