@@ -6,8 +6,8 @@ violations.
 
 Scale: key checks are ``groupBy(key).count()`` (map-side partial counts, so a
 key holding a large share of rows collapses before the shuffle); NOT NULL and
-range checks are one pass of ``count_if`` per table; foreign keys are
-``left_anti`` joins whose build side is the referenced (parent) table.
+range checks are one pass of ``count_if`` per table; foreign keys are left joins
+of each child table with its parents' distinct keys, one aggregate per child.
 """
 
 from __future__ import annotations
