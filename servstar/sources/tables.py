@@ -177,3 +177,10 @@ def folder_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> bool:
+    """Moves a folder in one step of its store; False if ``to`` exists already or the store refuses."""
+    p, fs = _fs(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    return not fs.exists(target) and bool(fs.rename(p, target))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from servstar import schemas
 from servstar.functions.expr import event_priority
 from servstar.plans.warehouse import lasting_root
 from servstar.session import scratch_path
-from servstar.sources.tables import SourceTables, delete as _delete, folder_numbers, path_exists
+from servstar.sources.tables import SourceTables, delete as _delete, folder_numbers, path_exists, rename
 
 # Fixed values of the event record.
 EVENT_TYPE = "SERVICE_REQUEST_CREATED"
@@ -96,6 +97,26 @@ def produce(messages: DataFrame, path: str | None = None,
         messages.select("value").write.mode("append").text(path)
 
 
+def publish_once(messages: DataFrame, path: str, publish_id: str) -> bool:
+    """Adds the messages to the file log at ``path`` as a whole and once: False if that publish is there already.
+
+    They are written to a hidden folder first, which readers skip; renaming it to ``publish=<id>`` is what publishes
+    them, and the log's folders of that name are its manifest. A publish that fails half way leaves nothing that a reader sees and is
+    repeated under the same id. The store must rename a folder in one step (HDFS, local disks; plain object stores don't)."""
+    spark = messages.sparkSession
+    done = f"{path}/publish={publish_id}"
+    if path_exists(spark, done):
+        return False
+    staged = f"{path}/_staged/{publish_id}-{uuid.uuid4().hex}"
+    messages.select("value").write.text(staged)
+    if not rename(spark, staged, done):
+        _delete(spark, staged)
+        if not path_exists(spark, done):
+            raise OSError(f"cannot rename {staged} to {done}")
+        return False  # another publisher was first
+    return True
+
+
 def message_stream(spark: SparkSession, path: str | None = None,
                    kafka_options: dict | None = None,
                    files_per_trigger: int | None = None,
@@ -380,13 +401,15 @@ def faulty(messages: DataFrame) -> DataFrame:
 
 # -- registry adapters ---------------------------------------------------------------
 def stream_state_counts(spark, sf_dir):
-    """The folder's messages in two halves: drained, then, from the same checkpoint and state, the second half."""
+    """The folder's messages in two halves, each published twice under its id: the first drained, then, from the same
+    checkpoint and state, the second."""
     root = scratch_path(spark, "state-stream")
     messages = encode(event_records(SourceTables(spark, sf_dir).table("events")))
     half = F.pmod(F.xxhash64("key"), F.lit(2))
     ss = state_session(spark)
     for k in (0, 1):
-        produce(messages.filter(half == k), f"{root}/messages")
+        for _ in range(2):
+            publish_once(messages.filter(half == k), f"{root}/messages", f"half-{k}")
         await_all([start_state_counts(message_stream(ss, f"{root}/messages", files_per_trigger=FILES_PER_TRIGGER),
                                       f"{root}/counts", f"{root}/checkpoint")])
     return read_state_counts(spark, f"{root}/counts")

@@ -143,3 +143,23 @@ def test_a_consumer_ends_when_idle_and_counts_what_came_meanwhile(spark):
                                                         {"processingTime": "0 seconds"}), seconds=6.0)
     assert time.monotonic() - begun > 8  # not before the later messages, and an idle time after them
     assert _counts(spark, f"{root}/counts") == want | {("late", "LOW"): 5}
+
+
+def test_a_publish_that_fails_half_way_and_is_repeated_counts_once(spark, monkeypatch):
+    import pytest
+    root = scratch_path(spark, "publish")
+    log, ss = f"{root}/messages", ev.state_session(spark)
+    messages = spark.createDataFrame([(f'{{"department":"d{k % 3}","priority":"LOW"}}',) for k in range(30)], "value string").repartition(3)
+
+    def drained():
+        ev.await_all([ev.start_state_counts(ev.message_stream(ss, log), f"{root}/counts", f"{root}/checkpoint")])
+        return sum(_counts(spark, f"{root}/counts").values())
+
+    assert ev.publish_once(messages.limit(6), log, "first") and drained() == 6
+    with monkeypatch.context() as m:
+        m.setattr(ev, "rename", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            ev.publish_once(messages, log, "second")  # all written, not published
+    assert drained() == 6
+    assert ev.publish_once(messages, log, "second") and not ev.publish_once(messages, log, "second")
+    assert drained() == 36 and drained() == 36
