@@ -577,7 +577,13 @@ def test_suffix_dedup_odd_rows(spark, odd_docs, none, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "MOST_CONTENTS", 1)
     monkeypatch.setattr(suffix_dedup, "BLOCK", 1000)
     assert Counter(map(tuple, byte_rows(suffix_dedup.remove_repeats(df)))) == expect
-    assert suffix_dedup.remove_repeats(odd_docs).count() == len(odd_rows())
+    monkeypatch.undo()
+    full = byte_rows(suffix_dedup.remove_repeats(odd_docs))
+    assert len(full) == len(odd_rows())
+    # the two long texts share all bytes of the first
+    long, ended = (t.encode() for _, t, *_ in odd_rows() if len(t or "") >= 100_000)
+    got = {r.n_bytes: tuple(r)[2:] for r in full if r.n_bytes > 100_000}
+    assert got == {len(long): (len(long), 1, brute.sha(b"")), len(ended): (len(long), 1, brute.sha(b" end"))}
     assert suffix_dedup.remove_repeats(none).collect() == []
 
 
