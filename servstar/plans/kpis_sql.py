@@ -62,46 +62,46 @@ DIMENSIONS = {
 }
 
 
-def kpi(by: tuple, measures: tuple, order: str, where: str | None = None, limit: int | None = None) -> str:
+def kpi(by: tuple, measures: tuple, order: str, where: str | None = None, limit: int | None = None,
+        source: str = "fact_service_requests", measured: dict | None = None, dimensions: dict | None = None) -> str:
     """The statement of a KPI: ``measures`` of the facts by the columns ``by``.
-    Only the dimensions that own a column of ``by`` are joined."""
-    joins = [f"JOIN {dim} USING ({key})" for dim, (key, columns) in DIMENSIONS.items() if set(by) & set(columns)]
-    outputs = [*by, *[f"{MEASURES[m]} AS {m}" for m in measures]]
-    lines = ["SELECT " + ", ".join(outputs), "FROM fact_service_requests", *joins]
+    Only the dimensions that own a column of ``by`` are joined. Another ``source`` may hold the facts, with
+    expressions (``measured``) and dimensions of its own."""
+    measured, dimensions = measured or MEASURES, dimensions or DIMENSIONS
+    joins = [f"JOIN {dim} USING ({key})" for dim, (key, columns) in dimensions.items() if set(by) & set(columns)]
+    outputs = [*by, *[f"{measured[m]} AS {m}" for m in measures]]
+    lines = ["SELECT " + ", ".join(outputs), f"FROM {source}", *joins]
     lines += [f"WHERE {where}"] if where else []
     lines += ["GROUP BY " + ", ".join(by), f"ORDER BY {order}"]
     lines += [f"LIMIT {limit}"] if limit else []
     return "\n".join(lines)
 
 
-KPI1_RESOLUTION = kpi(
-    ("department_name", "department_sector"),
-    ("total_requests", "avg_resolution_hours", "min_resolution_hours", "max_resolution_hours"),
-    "avg_resolution_hours ASC NULLS LAST", where="resolution_minutes IS NOT NULL")
-KPI2_SLA = kpi(
-    ("year_num", "month_name", "month_num", "service_name", "category"),
-    ("total_requests", "compliant_count", "sla_compliance_pct"),
-    "year_num, month_num, sla_compliance_pct DESC NULLS FIRST")
-KPI3_SATISFACTION = kpi(
-    ("department_name", "service_name"),
-    ("total_requests", "survey_count", "avg_satisfaction", "avg_ease_of_use", "avg_response_speed",
-     "sla_compliance_pct", "satisfaction_band"),
-    "avg_satisfaction DESC NULLS FIRST", where="has_survey = 1")
-KPI4_TREND = kpi(
-    ("year_num", "month_name", "month_num", "quarter_name"),
-    ("total_requests", "sla_compliance_pct", "avg_satisfaction", "avg_resolution_hours"),
-    "year_num, month_num")
-KPI5_TOP_BREACH = kpi(
-    ("department_name",), ("total_requests", "breach_count", "breach_pct", "avg_resolution_hours"),
-    "breach_count DESC NULLS LAST, department_name ASC", limit=5)
-
-KPI_SQL = {
-    "kpi1_resolution_sql": KPI1_RESOLUTION,
-    "kpi2_sla_sql": KPI2_SLA,
-    "kpi3_satisfaction_sql": KPI3_SATISFACTION,
-    "kpi4_trend_sql": KPI4_TREND,
-    "kpi5_top_breach_sql": KPI5_TOP_BREACH,
+#: Group columns, measures, order, filter and limit of each KPI.
+KPIS = {
+    "kpi1_resolution_sql": dict(
+        by=("department_name", "department_sector"),
+        measures=("total_requests", "avg_resolution_hours", "min_resolution_hours", "max_resolution_hours"),
+        order="avg_resolution_hours ASC NULLS LAST", where="resolution_minutes IS NOT NULL"),
+    "kpi2_sla_sql": dict(
+        by=("year_num", "month_name", "month_num", "service_name", "category"),
+        measures=("total_requests", "compliant_count", "sla_compliance_pct"),
+        order="year_num, month_num, sla_compliance_pct DESC NULLS FIRST"),
+    "kpi3_satisfaction_sql": dict(
+        by=("department_name", "service_name"),
+        measures=("total_requests", "survey_count", "avg_satisfaction", "avg_ease_of_use", "avg_response_speed",
+                  "sla_compliance_pct", "satisfaction_band"),
+        order="avg_satisfaction DESC NULLS FIRST", where="has_survey = 1"),
+    "kpi4_trend_sql": dict(
+        by=("year_num", "month_name", "month_num", "quarter_name"),
+        measures=("total_requests", "sla_compliance_pct", "avg_satisfaction", "avg_resolution_hours"),
+        order="year_num, month_num"),
+    "kpi5_top_breach_sql": dict(
+        by=("department_name",), measures=("total_requests", "breach_count", "breach_pct", "avg_resolution_hours"),
+        order="breach_count DESC NULLS LAST, department_name ASC", limit=5),
 }
+KPI_SQL = {name: kpi(**spec) for name, spec in KPIS.items()}
+KPI1_RESOLUTION, KPI2_SLA, KPI3_SATISFACTION, KPI4_TREND, KPI5_TOP_BREACH = KPI_SQL.values()
 
 
 def run_kpi(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

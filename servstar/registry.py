@@ -17,7 +17,7 @@ from servstar.functions.expr import (
 from servstar.operators import constraints, fact, quality
 from servstar.operators.keys import KeyMap
 from servstar.oracle import FRAME_ORACLE, KPI_ORACLE, MART_ORACLE, with_star
-from servstar.plans import flow, incremental, kpis_frame, kpis_sql, marts, sinks
+from servstar.plans import flow, incremental, kpis_frame, kpis_sql, marts, sinks, summary
 from servstar.plans.warehouse import SOURCE_TABLES, STAR_TABLES, warehouse
 from servstar.sources import binding
 from servstar.sources.tables import SourceTables, resolve_codes
@@ -388,3 +388,30 @@ SELECT 2, COUNT(*) FILTER (request_id % 7 = 0), COUNT(*) FILTER (request_id % 7
 FROM service_requests WHERE request_id % 17 <> 0
 UNION ALL
 SELECT 3, 0, 0, 0, COUNT(*) FILTER (request_id % 17 = 0), 0, COUNT(*) FILTER (request_id % 17 <> 0) FROM service_requests"""))
+
+
+# -- the same over a summary kept up by month (Q1-Q5, T1-T4, C1-C5, V1), and pruning by month (IO9, J2) -------
+for _name in summary.KPI_SQL:
+    _register(f"{_name}_summary", (lambda n: lambda spark, sf_dir: summary.run_kpi(spark, sf_dir, n))(_name), KPI_ORACLE[_name])
+for _name in summary.FRAMES:
+    _register(f"{_name}_summary", (lambda n: lambda spark, sf_dir: summary.run_frame(spark, sf_dir, n))(_name), ORACLE_SQL[_name])
+_register("kpi2_of_year", lambda spark, sf_dir: summary.kpi2_of_year(spark, sf_dir, 1995),
+          f"SELECT * FROM ({KPI_ORACLE['kpi2_sla_sql']}) k WHERE year_num = 1995")
+_register("summary_cells", summary.summary_cells, with_star("""
+SELECT CAST(time_key // 100 AS INTEGER) AS month, dept_key, service_key, time_key, has_survey,
+       CAST(resolution_minutes IS NOT NULL AS INTEGER) AS timed, COUNT(*) AS requests,
+       COUNT(*) FILTER (has_survey = 1) AS surveys, COUNT(sla_compliant_flag) AS judged,
+       CAST(SUM(sla_compliant_flag) AS BIGINT) AS met, COUNT(*) FILTER (sla_compliant_flag = 0) AS missed,
+       CAST(SUM(resolution_minutes) AS DOUBLE) AS minutes_sum, CAST(MIN(resolution_minutes) AS DOUBLE) AS minutes_min,
+       CAST(MAX(resolution_minutes) AS DOUBLE) AS minutes_max, CAST(SUM(satisfaction_score) AS DOUBLE) AS satisfaction_sum
+FROM fact_service_requests JOIN dim_time USING (time_key) GROUP BY 1, 2, 3, 4, 5, 6"""))
+_register("summary_maintained", summary.summary_maintained, with_star("""
+SELECT 1 AS run, COUNT(*) FILTER (NOT later) AS new_rows, 0 AS changed_rows, 0 AS removed_rows,
+       COUNT(DISTINCT CASE WHEN NOT later THEN m END) AS months_written, COUNT(DISTINCT CASE WHEN NOT later THEN m END) AS months_summed
+FROM (SELECT *, time_key // 100 AS m, fact_id % 7 = 0 AND time_key // 100 % 100 <= 6 AS later FROM fact_service_requests) f
+UNION ALL
+SELECT 2, COUNT(*) FILTER (later), COUNT(*) FILTER (changed), 0,
+       COUNT(DISTINCT CASE WHEN later OR changed THEN m END), COUNT(DISTINCT CASE WHEN later OR changed THEN m END)
+FROM (SELECT *, NOT later AND fact_id % 11 = 0 AND m % 100 <= 3 AND has_survey = 1 AS changed FROM (
+      SELECT *, time_key // 100 AS m, fact_id % 7 = 0 AND time_key // 100 % 100 <= 6 AS later FROM fact_service_requests) f) g
+UNION ALL SELECT 3, 0, 0, 0, 0, 0"""))
