@@ -19,7 +19,7 @@ from servstar.operators.keys import KeyMap
 from servstar.oracle import FRAME_ORACLE, KPI_ORACLE, MART_ORACLE, with_star
 from servstar.plans import flow, incremental, kpis_frame, kpis_sql, marts, sinks, summary
 from servstar.plans.warehouse import SOURCE_TABLES, STAR_TABLES, warehouse
-from servstar.sources import binding
+from servstar.sources import binding, bucketed
 from servstar.sources.tables import SourceTables, resolve_codes
 from servstar.session import scratch_path
 from servstar.streaming import events as ev
@@ -217,6 +217,15 @@ def _fact_by_survey_join(spark, sf_dir):
 
 
 _register("fact_survey_join", _fact_by_survey_join, ORACLE_SQL["fact_service_requests"])
+_register("fact_survey_join_bucketed",
+          lambda spark, sf_dir: bucketed.fact_by_survey_join(spark, sf_dir).select(*_cols("fact_service_requests")),
+          ORACLE_SQL["fact_service_requests"])
+_register("dq_request_keys_bucketed", bucketed.key_profiles, with_star("\nUNION ALL\n".join(
+    _key_profile_sql(t, ["request_id"]) for t in ("service_requests", "user_surveys"))))
+_register("dq_requests_surveyed", bucketed.requests_surveyed, with_star("""
+SELECT COUNT(*) FILTER (s.survey_id IS NOT NULL AND r.request_ref IS NOT NULL) AS surveyed,
+       COUNT(*) FILTER (s.survey_id IS NULL) AS not_surveyed, COUNT(*) FILTER (r.request_ref IS NULL) AS surveys_without_request
+FROM service_requests r FULL JOIN user_surveys s ON s.request_id = r.request_id"""))
 
 
 _LINE_RULES = [
