@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servstar.llm.common import documents, hash_sample
+from servstar.llm.common import documents
 
 #: kind, pattern, shortest length, group the length is measured on
 RULES = (
@@ -27,8 +27,8 @@ RULES = (
 SEARCH = {"hex": r"[0-9a-f]{24,}", "access": r"AKIA[A-Z0-9]{16,}"}
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
-#: Texts that random and ordinary samples are taken from, about (those with the smallest hashes).
-RANDOM_TEXTS, ORDINARY_TEXTS = 20_000, 2_000
+#: What the ordinary model is trained on, where no rule hits.
+WORD = r"[A-Za-z0-9+/_=-]{6,}"
 SMOOTHING = 0.5
 #: What an ordinary transition counts in other cases, a word's first and last letter beside a sign that joins
 #: words, and such a sign beside itself: identifiers in capitals or of several words needn't be in the texts.
@@ -77,29 +77,28 @@ def secret_value(span):
     return F.when(span["kind"] == "assign", F.regexp_extract(span["value"], RULES[0][1], 2)).otherwise(span["value"])
 
 
-def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", random_texts: int = RANDOM_TEXTS,
-          ordinary_texts: int = ORDINARY_TEXTS) -> list[float]:
+def train(docs: DataFrame, text: str = "text") -> list[float]:
     """Log-likelihood ratio of each transition (previous character, next character; 0 stands
-    for any other), row by row.
+    for any other), row by row, trained on every text.
 
-    Transitions are counted by Spark; the driver gets at most one row per model and transition.
-    Without samples a model is uniform."""
+    Equal strings are counted together first (map-side, so a frequent word is a row a task), their transitions then
+    weigh as often; the driver gets at most one row per model and transition. Without samples a model is uniform."""
     size = len(ALPHABET) + 1
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    random = hash_sample(rows, random_texts, "doc_id", "text").select(
-        F.lit(1).alias("model"), F.explode(base_spans(F.col("text"))).alias("s")).select("model", secret_value(F.col("s")).alias("v"))
-    words = hash_sample(rows, ordinary_texts, "doc_id", "text").withColumn("base", base_spans(F.col("text"))).select("base", F.explode(
-        F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("v")) \
-        .filter(~F.exists("base", lambda s: F.contains(s["value"], F.col("v")))).select(F.lit(0).alias("model"), "v")
+    rows = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
+    words = F.filter(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)),
+                     lambda w: ~F.exists("base", lambda s: F.contains(s["value"], w)))
+    samples = rows.select(F.explode(F.concat(
+        F.transform("base", lambda s: named(model=F.lit(1), v=secret_value(s))),
+        F.transform(words, lambda w: named(model=F.lit(0), v=w)))).alias("s")).groupBy("s.model", "s.v").agg(F.count("*").alias("n"))
     codes = F.transform(F.split("v", ""), lambda c: F.instr(F.lit(ALPHABET), c))
     edge = F.array(F.lit(size))  # before and after an ordinary token
     codes = F.when(F.col("model") == 0, F.concat(edge, codes, edge)).otherwise(codes)
-    pairs = random.unionByName(words).select("model", codes.alias("c")).filter(F.size("c") > 1).select(
-        "model", F.explode(F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1),
+    pairs = samples.select("model", "n", codes.alias("c")).filter(F.size("c") > 1).select(
+        "model", "n", F.explode(F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1),
                                       lambda a, b: a * (size + 1) + b)).alias("at"))
     seen = {m: [[0.0] * (size + 1) for _ in range(size + 1)] for m in (0, 1)}
-    for r in pairs.groupBy("model", "at").count().collect():
-        seen[r.model][r["at"] // (size + 1)][r["at"] % (size + 1)] += r["count"]
+    for r in pairs.groupBy("model", "at").agg(F.sum("n").alias("n")).collect():
+        seen[r.model][r["at"] // (size + 1)][r["at"] % (size + 1)] += r["n"]
     seen[0] = identifiers(seen[0])
     count = {m: [x + SMOOTHING for row in seen[m][:size] for x in row[:size]] for m in seen}
     out = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 from functools import cache
@@ -196,6 +197,59 @@ def secrets(text) -> list:
                   for m in re.finditer(p, text) if len(m[g]) >= least)
 
 
+_SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
+
+
+def _secret(kind, value):
+    return re.sub(r"""^.*?[:=]\x20*["']?""", "", value, count=1) if kind == "assign" else value
+
+
+def markov_table(texts) -> dict:
+    """Log-likelihood ratio by (character, next character), None for any other character."""
+    sign = lambda c: c if c in _SIGNS else None
+    random, plain = Counter(), Counter()
+    for text in texts:
+        text = text or ""
+        values = [(kind, text[a:z]) for a, _, z, kind in secrets(text)]
+        for kind, value in values:
+            v = [sign(c) for c in _secret(kind, value)]
+            random.update(zip(v, v[1:]))
+        for w in re.findall(r"[A-Za-z0-9+/_=-]{6,}", text):
+            if not any(w in value for _, value in values):
+                v = ["edge", *map(sign, w), "edge"]
+                plain.update(zip(v, v[1:]))
+    every = [None, *_SIGNS]
+    seen = {(a, b): float(plain[a, b]) for a in every for b in every}
+    starts = sum(plain["edge", b] for b in [*every, "edge"])
+    for j in "_-/=":
+        for x in every:
+            seen[j, x] += 0.25 * plain["edge", x]
+            seen[x, j] += 0.25 * plain[x, "edge"]
+        seen[j, j] += 0.025 * starts
+    lower = lambda c: c and c.lower()
+    folded = Counter()
+    for (a, b), n in seen.items():
+        folded[lower(a), lower(b)] += n
+    ordinary = {(a, b): n + 0.1 * folded[lower(a), lower(b)] + 0.5 for (a, b), n in seen.items()}
+    out = {}
+    for a in every:
+        all_random = sum(random[a, b] + 0.5 for b in every)
+        all_ordinary = sum(ordinary[a, b] for b in every)
+        for b in every:
+            out[a, b] = math.log((random[a, b] + 0.5) / all_random) - math.log(ordinary[a, b] / all_ordinary)
+    return out
+
+
+def markov_spans(text, table) -> list:
+    text = text or ""
+    base, out = secrets(text), []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+        score = sum(table[a, b] for a, b in zip(m[0], m[0][1:]))
+        if score >= max(12.0, 0.75 * len(m[0])) and not any(a < m.end() and m.start() < z for a, _, z, _ in base):
+            out.append((m.start(), 3, m.end(), "markov"))
+    return sorted(base + out)
+
+
 @cache
 def tokenizer():
     from tokenizers import Tokenizer

@@ -389,6 +389,28 @@ def test_secret_odd_rows_and_models(spark, odd_docs, none):
     assert [got[k] for k in range(len(more), len(rows))] == [""] * len(plain)
 
 
+def test_models_and_their_spans_against_plain_ones(spark, odd_docs):
+    """Every text trains the models, however many there are and whatever its id; spans follow from them."""
+    from pyspark.sql import functions as F
+
+    from servstar.llm import secrets
+    r = random.Random(5)
+    strange = ["".join(r.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n)) for n in (16, 20, 24, 40) for _ in range(10)]
+    texts = [t.text for t in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()] \
+        + [t for _, t, *_ in odd_rows()] + [f"the {s} of a-plain-hyphenated-word, password = {s[::-1]}" for s in strange] + strange
+    want = brute.markov_table(texts)
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    table = secrets.train(docs)
+    signs = [None, *secrets.ALPHABET]
+    assert max(abs(table[i * len(signs) + j] - want[a, b]) for i, a in enumerate(signs) for j, b in enumerate(signs)) < 1e-9
+    got = Counter(x[0] for x in secrets.scan(docs, table).select(secrets.joined(F.col("spans"))).collect())
+    assert got == Counter(spans_text(brute.markov_spans(t, want)) for t in texts)
+    assert any("markov" in s for s in got)
+    rare = secrets.train(docs.unionByName(docs.limit(0)).union(spark.createDataFrame([(1, "qqqqqqqqqqqqzz")], docs.schema)))
+    q, z = signs.index("q"), signs.index("z")
+    assert rare[q * len(signs) + z] < table[q * len(signs) + z]  # a single text counts
+
+
 def test_models_on_random_strings_and_held_out_tokens(spark):
     """Recall by alphabet, and no token of other texts taken for random; figures of the whole trial are in the README."""
     import re
