@@ -6,14 +6,9 @@ reads the star / source names with these definitions.
 
 from __future__ import annotations
 
-from servstar.functions.expr import SIZE_TYPES, SLA_DAYS_BY_PRIORITY
-
-_sla_rows = ", ".join(f"('{p}', {i}, {d})"
-                      for i, (p, d) in enumerate(SLA_DAYS_BY_PRIORITY.items(), start=1))
-_size = ", ".join(f"'{t}'" for t in SIZE_TYPES)
-
-STAR_CTES = f"""
-sla_levels(priority, pos, days) AS (VALUES {_sla_rows}),
+STAR_CTES = """
+sla_levels(priority, pos, days) AS (VALUES ('1-URGENT', 1, 90), ('2-HIGH', 2, 180), ('3-MEDIUM', 3, 365),
+                                           ('4-NOT SPECIFIED', 4, 540), ('5-LOW', 5, 730)),
 departments AS (
     SELECT CAST(n.n_nationkey AS BIGINT)            AS department_id,
            'N' || CAST(n.n_nationkey AS VARCHAR)    AS department_code,
@@ -26,7 +21,7 @@ service_catalog AS (
     SELECT CAST(row_number() OVER (ORDER BY p_type) AS BIGINT) AS service_type_id,
            p_type AS service_code,
            p_type AS service_name,
-           CASE WHEN p_type IN ({_size}) THEN 'Size' ELSE 'Line' END AS category
+           CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN 'Size' ELSE 'Line' END AS category
     FROM (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL) x
 ),
 order_first_part AS (
@@ -307,3 +302,33 @@ FRAME_ORACLE = {
 }
 FRAME_ORACLE["kpi1_preview"] = FRAME_ORACLE["kpi1_resolution_frame"] + (
     " ORDER BY avg_resolution_hours NULLS LAST, department_name, department_sector LIMIT 4")
+
+
+# Declared keys, NOT NULL columns and foreign keys, fixed values written out apart from the library's declarations.
+KEY_COLUMNS = {
+    "departments": ("department_id", "department_code"), "service_types": ("service_type_id", "service_code"),
+    "sla_definitions": ("sla_id",), "service_requests": ("request_id", "request_ref"),
+    "user_surveys": ("survey_id", "request_id"), "dim_department": ("dept_key",), "dim_service_type": ("service_key",),
+    "dim_sla": ("sla_key",), "dim_time": ("time_key",), "fact_service_requests": ("fact_id",),
+}
+REQUIRED_COLUMNS = {
+    "departments": "department_id department_code department_name",
+    "service_types": "service_type_id service_code service_name department_id",
+    "sla_definitions": "sla_id service_type_id priority_level sla_hours",
+    "service_requests": "request_id request_ref department_id service_type_id sla_id submitted_at",
+    "user_surveys": "survey_id request_id satisfaction_score",
+    "dim_department": "dept_key department_id department_code department_name",
+    "dim_service_type": "service_key service_type_id service_code service_name",
+    "dim_sla": "sla_key sla_id priority_level sla_hours",
+    "dim_time": "time_key full_date",
+    "fact_service_requests": "fact_id request_id request_ref dept_key service_key time_key sla_key",
+}
+#: child table, parent table, and the column that both have.
+REFERENCES = (
+    ("service_types", "departments", "department_id"), ("sla_definitions", "service_types", "service_type_id"),
+    ("service_requests", "departments", "department_id"), ("service_requests", "service_types", "service_type_id"),
+    ("service_requests", "sla_definitions", "sla_id"), ("user_surveys", "service_requests", "request_id"),
+    ("fact_service_requests", "dim_department", "dept_key"), ("fact_service_requests", "dim_service_type", "service_key"),
+    ("fact_service_requests", "dim_time", "time_key"), ("fact_service_requests", "dim_sla", "sla_key"),
+)
+EVENT_PRIORITY = "list_extract(['NORMAL', 'HIGH', 'LOW', 'URGENT'], CAST(json_extract(props, '$.k') AS BIGINT) % 4 + 1)"

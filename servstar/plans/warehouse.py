@@ -20,6 +20,7 @@ KPI queries read the stored star schema, as a dashboard would.
 from __future__ import annotations
 
 import hashlib
+import inspect
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from servstar import schemas
+from servstar.functions import expr
 from servstar.operators import dims, fact
 from servstar.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 from servstar.operators.keys import KeyMap
@@ -218,15 +221,26 @@ _VIEWS_LOCK = threading.Lock()
 ROOT_SETTING = "spark.servstar.root"
 
 
+def rules_fingerprint() -> str:
+    """Digits that change when the code that makes the stored tables does."""
+    rules = (schemas, expr, binding, dims, fact)
+    return hashlib.md5("".join(inspect.getsource(m) for m in rules).encode()).hexdigest()
+
+
 def input_fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """16 hex digits that change when a given table's files do (path, name, size, time)."""
-    jvm, parts = spark.sparkContext._jvm, [sf_dir.rstrip("/")]
+    """16 hex digits that change when a given table's files (path below the table, size, time; partition folders
+    included) or the rules do."""
+    jvm, parts = spark.sparkContext._jvm, [sf_dir.rstrip("/"), rules_fingerprint()]
     for table in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
         path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(path):
-            parts += sorted(f"{table}/{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}"
-                            for f in fs.listStatus(path))
+        if not fs.exists(path):
+            continue
+        files, found = fs.listFiles(path, True), []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{table} {f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        parts += sorted(found)
     return hashlib.md5("\n".join(parts).encode()).hexdigest()[:16]
 
 

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from servstar import schemas
 from servstar.functions.expr import (
-    EVENT_PRIORITIES, half_point_even, lower_names, sla_category, strip_prefix,
+    half_point_even, lower_names, sla_category, strip_prefix,
 )
 from servstar.operators import constraints, fact, quality
 from servstar.operators.keys import KeyMap
-from servstar.oracle import FRAME_ORACLE, KPI_ORACLE, MART_ORACLE, with_star
+from servstar.oracle import (
+    EVENT_PRIORITY, FRAME_ORACLE, KEY_COLUMNS, KPI_ORACLE, MART_ORACLE, REFERENCES, REQUIRED_COLUMNS, with_star,
+)
 from servstar.plans import flow, incremental, kpis_frame, kpis_sql, marts, sinks, summary
 from servstar.plans.warehouse import SOURCE_TABLES, STAR_TABLES, warehouse
 from servstar.sources import binding, bucketed
@@ -105,32 +107,29 @@ def _dq_tables(spark, sf_dir):
     return {t: wh.table(t) for t in SOURCE_TABLES + STAR_TABLES}
 
 
-def _key_profile_sql(table: str, key: list[str]) -> str:
-    k = ", ".join(key)
-    null_key = " OR ".join(f"{c} IS NULL" for c in key)
+def _key_profile_sql(table: str, k: str) -> str:
     return f"""
-SELECT '{table}' AS table_name, '{",".join(key)}' AS key_columns,
+SELECT '{table}' AS table_name, '{k}' AS key_columns,
        CAST(COALESCE(SUM(n), 0) AS BIGINT) AS total_rows,
        CAST(COUNT(*) AS BIGINT) AS distinct_keys,
        CAST(COALESCE(SUM(CASE WHEN is_null = 1 THEN n ELSE 0 END), 0) AS BIGINT) AS null_key_rows,
        CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicated_keys,
        CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) AS duplicated_rows
-FROM (SELECT {k}, COUNT(*) AS n, MAX(CASE WHEN {null_key} THEN 1 ELSE 0 END) AS is_null
+FROM (SELECT {k}, COUNT(*) AS n, MAX(CASE WHEN {k} IS NULL THEN 1 ELSE 0 END) AS is_null
       FROM {table} GROUP BY {k}) g"""
 
 
 _register("dq_duplicate_keys",
           lambda spark, sf_dir: quality.duplicate_keys(_dq_tables(spark, sf_dir)),
           with_star("\nUNION ALL\n".join(
-              _key_profile_sql(t, key) for t in SOURCE_TABLES + STAR_TABLES
-              for key in schemas.KEYS.get(t, []))))
+              _key_profile_sql(t, key) for t, keys in KEY_COLUMNS.items() for key in keys)))
 
 _register("dq_null_counts",
           lambda spark, sf_dir: quality.all_null_counts(_dq_tables(spark, sf_dir)),
           with_star("\nUNION ALL\n".join(
               f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
               f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count FROM {t}"
-              for t in SOURCE_TABLES + STAR_TABLES for c in schemas.not_null_columns(t))))
+              for t, required in REQUIRED_COLUMNS.items() for c in required.split())))
 
 _register("dq_orphans",
           lambda spark, sf_dir: quality.orphan_report(_dq_tables(spark, sf_dir)),
@@ -139,8 +138,8 @@ SELECT '{c}' AS child_table, '{col}' AS child_column, '{p}' AS parent_table,
        CAST(COUNT(*) AS BIGINT) AS checked_rows,
        CAST(COUNT(*) FILTER (WHERE x.{col} IS NULL) AS BIGINT) AS null_rows,
        CAST(COUNT(*) FILTER (WHERE x.{col} IS NOT NULL AND k.pk IS NULL) AS BIGINT) AS orphan_rows
-FROM {c} x LEFT JOIN (SELECT DISTINCT {pcol} AS pk FROM {p}) k ON x.{col} = k.pk"""
-              for c, col, p, pcol in quality.FOREIGN_KEYS)))
+FROM {c} x LEFT JOIN (SELECT DISTINCT {col} AS pk FROM {p}) k ON x.{col} = k.pk"""
+              for c, p, col in REFERENCES)))
 
 _register("fact_quarantine",
           lambda spark, sf_dir: warehouse(spark, sf_dir).table("_quarantine/fact_orphans"),
@@ -315,29 +314,39 @@ SELECT 2 AS attempt, 0 AS loaded, COUNT(*) AS row_count FROM fact_service_reques
 
 
 # -- step 9: streaming (ST1-ST8, IO10, IO11, F27-F29) --------------------------------------------
-_prio = ", ".join(f"'{p}'" for p in EVENT_PRIORITIES)
-_EVENT_PRIORITY_SQL = (f"list_extract([{_prio}], "
-                       f"CAST(json_extract(props, '$.k') AS BIGINT) % {len(EVENT_PRIORITIES)} + 1)")
+def faulty(messages):
+    """What a faulty producer sends: texts of 'error' events cut short, 'signup' events without a priority."""
+    department = F.get_json_object("value", "$.department")
+    return messages.withColumn("value", F.when(department == "error", F.substring("value", 1, 40)).when(
+        department == "signup", F.regexp_replace("value", ',"priority":"[^"]*"', "")).otherwise(F.col("value")))
+
+
+def _stream_quarantine(spark, sf_dir):
+    """Unreadable messages of a faulty producer: event id, and whether the text is whole."""
+    bad = ev.stream_run(spark, sf_dir, faulty).table("quarantine", spark)
+    return bad.select(F.regexp_extract("raw", r'"event_id":"(\d+)"', 1).cast("long").alias("event_id"),
+                      F.endswith("raw", F.lit("}")).cast("int").alias("whole"))
+
 
 _register("stream_by_department", ev.stream_by_department, """
 SELECT event_type AS department, COUNT(*) AS events FROM events GROUP BY event_type""")
 _register("stream_by_priority", ev.stream_by_priority, f"""
-SELECT {_EVENT_PRIORITY_SQL} AS priority, COUNT(*) AS events FROM events GROUP BY 1""")
+SELECT {EVENT_PRIORITY} AS priority, COUNT(*) AS events FROM events GROUP BY 1""")
 _register("stream_state_counts", ev.stream_state_counts, f"""
-SELECT event_type AS department, {_EVENT_PRIORITY_SQL} AS priority, COUNT(*) AS events FROM events GROUP BY 1, 2""")
+SELECT event_type AS department, {EVENT_PRIORITY} AS priority, COUNT(*) AS events FROM events GROUP BY 1, 2""")
 _register("stream_total", ev.stream_total, "SELECT COUNT(*) AS total_events FROM events")
-_register("stream_quarantine", ev.stream_quarantine, """
+_register("stream_quarantine", _stream_quarantine, """
 SELECT event_id, CAST(event_type = 'signup' AS INTEGER) AS whole FROM events WHERE event_type IN ('signup', 'error')""")
 _register("stream_projection", ev.stream_projection, f"""
 SELECT 'EVT-' || CAST(event_id AS VARCHAR) AS request_ref, event_type AS department,
-       'SVC-' || CAST(user_id AS VARCHAR) AS service_type, {_EVENT_PRIORITY_SQL} AS priority,
+       'SVC-' || CAST(user_id AS VARCHAR) AS service_type, {EVENT_PRIORITY} AS priority,
        ts AS event_time
 FROM events""")
 _register("json_roundtrip", ev.json_roundtrip, f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, '{ev.EVENT_TYPE}' AS event_type,
        'EVT-' || CAST(event_id AS VARCHAR) AS request_ref, event_type AS department,
        'SVC-' || CAST(user_id AS VARCHAR) AS service_type, 'events' AS channel,
-       {_EVENT_PRIORITY_SQL} AS priority, 'user_' || CAST(user_id AS VARCHAR) AS requester_name,
+       {EVENT_PRIORITY} AS priority, 'user_' || CAST(user_id AS VARCHAR) AS requester_name,
        CAST(NULL AS VARCHAR) AS requester_email, '{ev.EVENT_STATUS}' AS status,
        ts AS event_time, 1 AS decoded_ok
 FROM events""")
@@ -352,7 +361,7 @@ SELECT 2 AS run, 0 AS extracted_rows, MAX(o_orderkey) AS max_key,
        COUNT(*) AS target_rows FROM orders""")
 _register("json_path_validate", flow.json_path_validate, f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, 'EVT-' || CAST(event_id AS VARCHAR) AS request_ref,
-       event_type AS department, {_EVENT_PRIORITY_SQL} AS priority,
+       event_type AS department, {EVENT_PRIORITY} AS priority,
        CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
             ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS timestamp,
        '' AS missing_fields, 1 AS valid
@@ -366,7 +375,7 @@ FROM service_requests"""))
 _register("conform_schema", flow.conform_schema, f"""
 SELECT 'EVT-' || CAST(event_id AS VARCHAR) AS request_ref, event_type AS department_code,
        'SVC-' || CAST(user_id AS VARCHAR) AS service_name, 'events' AS channel,
-       {_EVENT_PRIORITY_SQL} AS priority, '{ev.EVENT_STATUS}' AS status,
+       {EVENT_PRIORITY} AS priority, '{ev.EVENT_STATUS}' AS status,
        'user_' || CAST(user_id AS VARCHAR) AS requester_name,
        CAST(NULL AS VARCHAR) AS requester_email, ts AS submitted_at
 FROM events""")

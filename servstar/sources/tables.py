@@ -19,9 +19,6 @@ from pyspark.errors import AnalysisException
 
 from servstar.functions.expr import lower_names
 
-GIVEN_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
-                "lineitem", "events")
-
 
 class SourceTables:
     """Lazy parquet scans of one input folder; column names lower-cased."""

@@ -387,16 +387,9 @@ def stream_run(spark: SparkSession, sf_dir: str, spoil=None) -> StreamRun:
         return run
 
 
-def _table(spark: SparkSession, sf_dir: str, which: str, spoil=None) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     """A sink of the folder's stream run, read through the calling session."""
-    return stream_run(spark, sf_dir, spoil).table(which, spark)
-
-
-def faulty(messages: DataFrame) -> DataFrame:
-    """What a faulty producer sends: texts of 'error' events cut short, 'signup' events without a priority."""
-    department = F.get_json_object("value", "$.department")
-    return messages.withColumn("value", F.when(department == "error", F.substring("value", 1, 40)).when(
-        department == "signup", F.regexp_replace("value", ',"priority":"[^"]*"', "")).otherwise(F.col("value")))
+    return stream_run(spark, sf_dir).table(which, spark)
 
 
 # -- registry adapters ---------------------------------------------------------------
@@ -427,13 +420,6 @@ def stream_total(spark, sf_dir):
     return total(_table(spark, sf_dir, "counts"))
 
 
-def stream_quarantine(spark, sf_dir):
-    """Unreadable messages of a faulty producer: event id, and whether the text is whole."""
-    bad = _table(spark, sf_dir, "quarantine", faulty)
-    return bad.select(F.regexp_extract("raw", r'"event_id":"(\d+)"', 1).cast("long").alias("event_id"),
-                      F.endswith("raw", F.lit("}")).cast("int").alias("whole"))
-
-
 def stream_projection(spark, sf_dir):
     df = _table(spark, sf_dir, "projected")
     return df.select("request_ref", "department", "service_type", "priority",

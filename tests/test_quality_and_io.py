@@ -245,3 +245,16 @@ def test_warehouse_lasts_between_applications(spark, monkeypatch):
     finally:
         spark.conf.unset(w.ROOT_SETTING)
     assert w.lasting_root(spark, SF0001) is None
+
+
+def test_fingerprint_sees_partition_folders_and_rules(spark, tmp_path, monkeypatch):
+    """A file added below a partition folder, or another rule, makes another warehouse folder."""
+    from servstar.plans import warehouse as w
+    orders = spark.range(10).selectExpr("id as o_orderkey", "id % 2 as part")
+    orders.write.partitionBy("part").parquet(str(tmp_path / "orders.parquet"))
+    first = w.input_fingerprint(spark, str(tmp_path))
+    assert w.input_fingerprint(spark, str(tmp_path) + "/") == first
+    orders.limit(1).drop("part").write.mode("append").parquet(str(tmp_path / "orders.parquet" / "part=1"))
+    second = w.input_fingerprint(spark, str(tmp_path))
+    monkeypatch.setattr(w, "rules_fingerprint", lambda: "other rules")
+    assert len({first, second, w.input_fingerprint(spark, str(tmp_path))}) == 3
