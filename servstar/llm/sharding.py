@@ -83,7 +83,7 @@ def hilbert_shards(docs: DataFrame, dims: list[str], text: str = "text", doc_id:
 
     Law ``rows``: the curve is cut into ``shards`` runs whose row counts differ by
     at most one; ``slot`` numbers a shard's rows from 0. Ties on the curve are ordered
-    by text hash (equal texts stay together), then id; a cell that holds a third of
+    by text hash (equal texts of one cell stay together), then id; a cell that holds a third of
     all rows is therefore cut like any other. NULL text: size 8, CRC of
     nothing. NULL metadata sort first. ``dims``: two to four columns; strings are
     quantised as whole values, others as integers.

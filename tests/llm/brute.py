@@ -197,6 +197,65 @@ def secrets(text) -> list:
                   for m in re.finditer(p, text) if len(m[g]) >= least)
 
 
+def hilbert_index(cell, bits: int) -> int:
+    """Hilbert index of a cell, level by level from Hamilton's formulas."""
+    n = len(cell)
+    left = lambda x, k: (x << k % n | x >> (n - k % n)) & ((1 << n) - 1)
+    h = corner = direction = 0
+    for level in range(bits - 1, -1, -1):
+        g = left(sum((x >> level & 1) << k for k, x in enumerate(cell)) ^ corner, -(direction + 1))
+        w = 0
+        while g:  # inverse of the Gray code
+            w, g = w ^ g, g >> 1
+        if w:
+            even = 2 * ((w - 1) // 2)
+            ones = w if w % 2 else w - 1
+            corner ^= left(even ^ even >> 1, direction + 1)
+            direction += (len(bin(ones)) - len(bin(ones).rstrip("1"))) % n
+        direction, h = (direction + 1) % n, h << n | w
+    return h
+
+
+def hilbert_shards(rows, shards: int = 24, bits: int = 6) -> Counter:
+    """Of (doc_id, text, dimensions...) rows: (doc_id, size, crc, hilbert, law, shard, slot, grown_shard)."""
+    import zlib
+
+    import xxhash
+    rows, cells = [(r[0], (r[1] or "").encode(), *r[2:]) for r in rows], 1 << bits
+    cuts = []
+    for column in zip(*[r[2:] for r in rows]):
+        empty = "" if any(isinstance(x, str) for x in column) else 0
+        key = str.encode if empty == "" else int
+        values = sorted(key(x if x is not None else empty) for x in column)
+        cuts.append((key, empty, [values[-(-p * len(values) // cells) - 1] for p in range(1, cells)]))
+    placed = []
+    for i, text, *dims in rows:
+        cell = [sum(q < key(x if x is not None else empty) for q in of) for x, (key, empty, of) in zip(dims, cuts)]
+        h = xxhash.xxh64_intdigest(text, seed=42)
+        placed.append((hilbert_index(cell, bits), h - (h >> 63 << 64), i is not None, i or 0, len(text) + 8, zlib.crc32(text)))
+    out, first = Counter(), {}
+    for rank, (at, _, known, i, size, crc) in enumerate(sorted(placed)):
+        shard = rank * shards // len(rows)
+        out[i if known else None, size, crc, at, "rows", shard, rank - first.setdefault(shard, rank), None] += 1
+    return out
+
+
+def quality_features(text) -> list[float]:
+    """The quality model's features of one text, counted plainly."""
+    b = (text or "").encode()
+    w = [x.encode() for x in words(text)]
+    size, n = max(len(b), 1), max(len(w), 1)
+    signs = set(b"#$%&*+/<=>@[\\]^_`{}~!")
+    sign = set(b"#$%&*+/<=>@[\\]^_`{}~")
+    pairs = list(zip(w, w[1:]))
+    return [math.log1p(len(b)), math.log1p(len(w)), sum(map(len, w)) / n, sum(65 <= x <= 90 for x in b) / size,
+            sum(48 <= x <= 57 for x in b) / size, sum(x >= 128 for x in b) / size, b.count(b".") / n, b.count(b",") / n,
+            b.count(b"|") / n, b.count(b"!") / n, sum(x in sign for x in b) / size,
+            sum(x in signs and y in signs for x, y in zip(b, b[1:])) / size, b.count(b"\n") / n,
+            sum(65 <= x[0] <= 90 for x in w) / n, len(set(w)) / n, sum(x == y for x, y in pairs) / n,
+            len(set(pairs)) / max(len(pairs), 1), max(Counter(w).values(), default=0) / n, sum(len(x) > 24 for x in w) / n]
+
+
 _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 
 

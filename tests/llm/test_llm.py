@@ -493,6 +493,41 @@ def test_quality_on_held_out_labels(spark):
     assert len(out) > 50 and sum(a == b for a, b in out) >= 0.95 * len(out)
 
 
+def test_quality_against_plain_features_and_scores(spark, odd_docs):
+    """Every text's features, its score from bin edges and weights, and weights that the pairs' loss can't better."""
+    import math
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from servstar.llm import quality
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(docs, labels)
+
+    def score(text):
+        raw = sum(model.weights[k * quality.BINS + sum(e < x for e in model.edges[k])]
+                  for k, x in enumerate(brute.quality_features(text)))
+        z = max(-30.0, min(30.0, model.slope * (raw - model.cut) + math.log(0.3 / 0.7)))
+        return 1 / (1 + math.exp(-z))
+
+    for df in (docs, odd_docs):
+        got = df.select("text", quality.scored(F.col("text"), model).alias("s")).collect()
+        assert max(abs(r.s - score(r.text)) for r in got) < 1e-9
+    r, n = np.random.default_rng(3), 400
+    label = np.arange(n) % 2
+    x = r.normal(size=(n, len(quality.FEATURES)))
+    x[:, 0] += label  # one feature tells, and not wholly
+    fitted = quality.fit(x, label, pairs=5000)
+    good, bad = fitted.raw(x)[label == 1], fitted.raw(x)[label == 0]
+    wins = (good[:, None] > bad[None, :]).mean()
+    assert wins > 0.75
+    loss = lambda w: np.logaddexp(0, -(w[fitted.bins(x)].sum(axis=1)[label == 1][:, None]
+                                       - w[fitted.bins(x)].sum(axis=1)[label == 0][None, :])).mean() + 5e-4 * (w ** 2).sum()
+    assert loss(fitted.weights) < 0.9 * loss(np.zeros_like(fitted.weights))
+    assert all(loss(fitted.weights * k) > 0.97 * loss(fitted.weights) for k in (0.5, 0.8, 1.25, 2.0))
+
+
 def test_quality_odd_rows(spark, odd_docs, none):
     from pyspark.sql import functions as F
 
@@ -538,6 +573,16 @@ def test_sharding(spark, texts, odd_docs, none):
     assert hilbert_shards(none, dims).collect() == []
 
 
+def test_sharding_against_a_plain_one(spark, odd_docs):
+    """Cells, curve, shards and slots of every row."""
+    from servstar.llm.sharding import hilbert_shards
+    dims = ["source", "lang", "n_chars"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for df in (docs, odd_docs, docs.select("doc_id", "text", "source", "lang", (docs.n_chars % 7).alias("n_chars"))):
+        want = brute.hilbert_shards([tuple(r) for r in df.select("doc_id", "text", *dims).collect()])
+        assert Counter(map(tuple, hilbert_shards(df.repartition(5), dims).collect())) == want
+
+
 def test_strings_are_quantised_whole(spark):
     """Sources that share their first bytes are placed like short ones, and a shard spans few of them."""
     from servstar.llm.sharding import hilbert_shards, string_cuts
