@@ -107,15 +107,17 @@ def _dq_tables(spark, sf_dir):
     return {t: wh.table(t) for t in SOURCE_TABLES + STAR_TABLES}
 
 
-def _key_profile_sql(table: str, k: str) -> str:
+def _key_profile_sql(table: str, *key: str) -> str:
+    k = ", ".join(key)
+    null_key = " OR ".join(f"{c} IS NULL" for c in key)
     return f"""
-SELECT '{table}' AS table_name, '{k}' AS key_columns,
+SELECT '{table}' AS table_name, '{",".join(key)}' AS key_columns,
        CAST(COALESCE(SUM(n), 0) AS BIGINT) AS total_rows,
        CAST(COUNT(*) AS BIGINT) AS distinct_keys,
        CAST(COALESCE(SUM(CASE WHEN is_null = 1 THEN n ELSE 0 END), 0) AS BIGINT) AS null_key_rows,
        CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicated_keys,
        CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) AS duplicated_rows
-FROM (SELECT {k}, COUNT(*) AS n, MAX(CASE WHEN {k} IS NULL THEN 1 ELSE 0 END) AS is_null
+FROM (SELECT {k}, COUNT(*) AS n, MAX(CASE WHEN {null_key} THEN 1 ELSE 0 END) AS is_null
       FROM {table} GROUP BY {k}) g"""
 
 
@@ -175,7 +177,7 @@ _register("dq_line_duplicates",
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1""")
 _register("dq_line_key_profile",
           lambda spark, sf_dir: quality.key_profile(_lines(spark, sf_dir), "lineitem", ["l_orderkey", "l_linenumber"]),
-          _key_profile_sql("lineitem", ["l_orderkey", "l_linenumber"]))
+          _key_profile_sql("lineitem", "l_orderkey", "l_linenumber"))
 _register("dq_orders_without_lines",
           lambda spark, sf_dir: quality.orphans(_orders(spark, sf_dir), "o_orderkey", _lines(spark, sf_dir), "l_orderkey"), """
 SELECT o_orderkey FROM orders ANTI JOIN lineitem ON l_orderkey = o_orderkey""")
@@ -220,7 +222,7 @@ _register("fact_survey_join_bucketed",
           lambda spark, sf_dir: bucketed.fact_by_survey_join(spark, sf_dir).select(*_cols("fact_service_requests")),
           ORACLE_SQL["fact_service_requests"])
 _register("dq_request_keys_bucketed", bucketed.key_profiles, with_star("\nUNION ALL\n".join(
-    _key_profile_sql(t, ["request_id"]) for t in ("service_requests", "user_surveys"))))
+    _key_profile_sql(t, "request_id") for t in ("service_requests", "user_surveys"))))
 _register("dq_requests_surveyed", bucketed.requests_surveyed, with_star("""
 SELECT COUNT(*) FILTER (s.survey_id IS NOT NULL AND r.request_ref IS NOT NULL) AS surveyed,
        COUNT(*) FILTER (s.survey_id IS NULL) AS not_surveyed, COUNT(*) FILTER (r.request_ref IS NULL) AS surveys_without_request
