@@ -528,6 +528,31 @@ def test_quality_against_plain_features_and_scores(spark, odd_docs):
     assert all(loss(fitted.weights * k) > 0.97 * loss(fitted.weights) for k in (0.5, 0.8, 1.25, 2.0))
 
 
+def test_quality_learns_from_every_label(spark):
+    """More labels than a group takes: bin edges and cut are still those of all rows, a rare label is in every group."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from servstar.llm import quality
+    n = 600
+    docs = spark.createDataFrame([(k, " ".join(f"w{k % 7}" for _ in range(1 + k)) + "!" * (k % 50 == 7)) for k in range(n)],
+                                 "doc_id long, text string")
+    bad = lambda k: k % 50 == 7
+    labels = spark.createDataFrame([(k, 1 - bad(k)) for k in range(n)], "doc_id long, quality int")
+    learnt = [k for k in range(n) if zlib.crc32(str(k).encode()) % 5]
+    model = quality.train(docs, labels, group_rows=40)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    x = np.array([brute.quality_features(text[k]) for k in learnt])
+    for f in range(x.shape[1]):
+        for q, edge in enumerate(model.edges[f], 1):
+            assert (x[:, f] <= edge).mean() >= q / quality.BINS - 1e-9 and (x[:, f] < (edge * (1 - 2 ** -9) if edge > 1e-300 else 0)).mean() <= q / quality.BINS
+    raw = model.raw(x)
+    worst = np.sort(raw)[:sum(map(bad, learnt)) + 1]
+    assert worst[-2] - 1e-3 <= model.cut <= worst[-1] + 1e-3
+    got = {r.doc_id: r.p for r in docs.select("doc_id", quality.predicted(quality.scored(F.col("text"), model)).alias("p")).collect()}
+    assert all(got[k] == 1 - bad(k) for k in learnt)
+
+
 def test_quality_odd_rows(spark, odd_docs, none):
     from pyspark.sql import functions as F
 
