@@ -127,3 +127,18 @@ def test_a_replayed_batch_changes_nothing(spark):
         write(batches[k], k)
         assert ev.read_counts(spark, f"{root}/counts").first().events == 5 * (k + 1)
     assert [r.raw for r in ev.read_quarantine(spark, f"{root}/quarantine").collect()] == ["bad"]
+
+
+def test_a_batch_holds_no_text_of_good_messages(spark, monkeypatch):
+    """What a micro-batch keeps between its two writers: the counted fields, and the text of bad messages only."""
+    kind = type(spark.range(1))
+    held, persist = [], kind.persist
+    monkeypatch.setattr(kind, "persist", lambda df, *a: held.append(df) or persist(df, *a))
+    good = '{"department": "d", "priority": "LOW", "request_ref": "r", "channel": "' + "x" * 100 + '"}'
+    batch = ev.decode(spark.createDataFrame([(good,), ("{cut",)], "value string"))
+    root = scratch_path(spark, "narrow")
+    ev._counts_to(f"{root}/counts", f"{root}/bad")(batch, 0)
+    assert sorted(r.raw or "" for r in held[0].collect()) == ["", "{cut"]
+    assert set(held[0].columns) == {"_ok", "department", "priority", "raw"}
+    assert [tuple(r) for r in ev.read_counts(spark, f"{root}/counts").collect()] == [("d", "LOW", 1)]
+    assert [r.raw for r in ev.read_quarantine(spark, f"{root}/bad").collect()] == ["{cut"]
