@@ -70,6 +70,28 @@ def test_upsert_rewrites_only_the_months_that_change(spark):
     assert _stored(spark, path) == sorted([r for r in second if r[0] != 3] + [(3, "C", "2024-05")])
 
 
+def test_a_full_delivery_is_written_without_a_join(spark, monkeypatch):
+    """Months to rewrite hold the rows that they were sent; keys that are NULL stay out, files stay open per month."""
+    from servstar.sources import tables
+    path, plans = scratch_path(spark, "no-join"), []
+    write = incremental.write_by_month
+
+    def seen(content, target):
+        plans.append(content._jdf.queryExecution().executedPlan().toString())
+        write(content, target)
+    monkeypatch.setattr(incremental, "write_by_month", seen)
+    first = [(k, f"v{k}", f"2024-0{k % 3 + 1}") for k in range(30)]
+    second = [(k, f"w{k}" if k % 5 == 0 else f"v{k}", f"2024-0{k % 3 + 1}") for k in range(2, 33)]
+    for rows in (first, second):
+        incremental.upsert(_rows(spark, *rows, (None, "none", "2024-01")), path, "id", STORED)
+        assert _stored(spark, path) == sorted(rows)
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    before = spark.conf.get(tables._OPEN_FILES, None)
+    with tables.unsorted_writes(spark), tables.unsorted_writes(spark):
+        assert spark.conf.get(tables._OPEN_FILES) == str(tables.OPEN_FILES)
+    assert spark.conf.get(tables._OPEN_FILES, None) == before
+
+
 def test_a_load_that_broke_off_is_completed_by_the_next(spark):
     """A month that a failed run deleted or left half written comes back from the source."""
     from servstar.sources.tables import delete
