@@ -15,22 +15,26 @@ import os
 import sys
 import types
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servstar.llm.common import documents
+from servstar.llm.common import documents, text_chunks
 
 CAPACITY = 2048
 END_ID = 1
 #: Pieces that a task holds at most (or fewer ids than a window); bounds its memory.
 POOL = 8192
-#: Words whose ids a Python worker remembers at most.
+#: Words, and pieces of words, whose ids a Python worker remembers at most.
 CACHE_WORDS = 300_000
+#: Bytes of text that are tokenised at once.
+TEXT_BYTES = 1 << 22
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 # What a tokenizer file of the kind that word_tokenizer takes apart says of itself.
 WORD_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -45,8 +49,8 @@ def word_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
     """Texts to ids (little-endian unsigned 32-bit) by the tokenizer file ``path``.
 
     The file's pre-tokenizer drops white space and no token spans it, so ids are those of the
-    words one by one; each distinct word is encoded once per worker. Words of Latin letters, digits and
-    signs skip the normaliser, which only lower-cases them, and go piece by piece to the tokenizer's
+    words one by one; a worker encodes the distinct words that it doesn't remember, a batch of texts at a time. Words of
+    Latin letters, digits and signs skip the normaliser, which only lower-cases them, and go piece by piece to the tokenizer's
     BPE model; all others take the whole tokenizer. Texts with the control characters
     that Python, but not the tokenizer, takes for white space are encoded whole. So are all texts
     if the file names another normaliser or pre-tokenizer than these rules are made for."""
@@ -67,6 +71,7 @@ def word_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
     # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
     plain = [c for c in range(256) if 33 <= c <= 126 or 161 <= c <= 172 or 174 <= c]
     alphabet = {c: chr(c) for c in plain} | {c: chr(256 + k) for k, c in enumerate(sorted(set(range(256)) - set(plain)))}
+    del alphabet[10]  # parts the pieces, which hold none
 
     def ids_of(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
@@ -74,30 +79,53 @@ def word_tokenizer(path: str) -> Callable[[list[str]], list[bytes]]:
     if not by_words:
         return ids_of
 
-    def latin(word: str) -> bytes:
-        out = []
-        for p in pieces(word.lower()):
-            got = known_pieces.get(p)
-            if got is None:
-                got = np.array([t.id for t in bpe(p.encode().decode("latin-1").translate(alphabet))], dtype="<u4").tobytes()
-                if len(known_pieces) < CACHE_WORDS:
-                    known_pieces[p] = got
-            out.append(got)
-        return b"".join(out)
+    def cut(data: bytes, sizes: Iterable[int]) -> list[bytes]:
+        at = [4 * k for k in accumulate(sizes, initial=0)]
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def ids_of_pieces(new: list[str]) -> list[bytes]:
+        tokens = list(map(bpe, "\n".join(new).encode().decode("latin-1").translate(alphabet).split("\n") if new else []))
+        return cut(np.array([t.id for ts in tokens for t in ts], dtype="<u4").tobytes(), map(len, tokens))
+
+    def remember(cache: dict, found: Iterable[tuple[str, bytes]]) -> None:
+        cache.update(islice(found, max(0, CACHE_WORDS - len(cache))))
+
+    def latin(words: list[str]) -> list[bytes]:
+        words = [w.lower() for w in words]
+        parts = [pieces(w) for w in words if not w.isalpha()]
+        every = set(chain.from_iterable(parts))
+        every.update(filter(str.isalpha, words))
+        table = {p: known_pieces.get(p) for p in every}
+        new = [p for p, ids in table.items() if ids is None]
+        table.update(zip(new, ids_of_pieces(new)))
+        remember(known_pieces, ((p, table[p]) for p in new))
+        part = iter(parts)
+        return [table[w] if w.isalpha() else b"".join([table[p] for p in next(part)]) for w in words]
+
+    def of_words(texts: list[str]) -> list[bytes]:
+        """The distinct words are looked up or encoded once; Arrow parts the texts and puts the words' ids together."""
+        split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        got = list(map(known.get, distinct))
+        new = [k for k, ids in enumerate(got) if ids is None]
+        fresh, rest = [], []
+        for k in new:
+            w = distinct[k]
+            (fresh if (w.isascii() or max(w) < "\u0250") and "<|" not in w else rest).append(k)
+        for some, encoded in ((fresh, latin), (rest, ids_of)):
+            for k, ids in zip(some, encoded([distinct[k] for k in some])):
+                got[k] = ids
+        remember(known, ((distinct[k], got[k]) for k in new))
+        ids = pa.array(got, pa.large_binary()).take(words.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy())])[split.offsets.to_numpy()].tolist()
+        data = b"" if ids.buffers()[2] is None else ids.buffers()[2].to_pybytes()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
     def tokenize(texts: list[str]) -> list[bytes]:
         whole = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-        split = [[] if w else t.split() for t, w in zip(texts, whole)]
-        got = [list(map(known.get, words)) for words in split]
-        new = {w for words, g in zip(split, got) if None in g for w, x in zip(words, g) if x is None}
-        fresh = {w: latin(w) for w in new if max(w) < "\u0250" and "<|" not in w}
-        rest = list(new - fresh.keys())
-        fresh.update(zip(rest, ids_of(rest)))
-        for w in list(fresh)[:max(0, CACHE_WORDS - len(known))]:
-            known[w] = fresh[w]
-        return [ids_of([t])[0] if w else b"".join(
-                    [fresh[x] if y is None else y for x, y in zip(words, g)] if None in g else g)
-                for t, w, words, g in zip(texts, whole, split, got)]
+        out = of_words(["" if w else t for t, w in zip(texts, whole)])
+        return [ids_of([t])[0] if w else x for t, w, x in zip(texts, whole, out)]
 
     return tokenize
 
@@ -231,8 +259,8 @@ def pack(docs: DataFrame, tokenizer_path: str, text: str = "text", doc_id: str =
             return out
 
         for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.slice(at, 256)
+            for i, j, *_ in text_chunks(b.column(1), TEXT_BYTES):
+                part = b.slice(i, j - i)
                 texts = part.column(1).fill_null("").to_pylist()
                 for d, ids in zip(part.column(0).to_pylist(), tokenize(texts)):
                     packer.add(d, ids + end)

@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from servstar.llm.common import documents, written
-from servstar.llm.packing import END_ID, tokenizer_file, word_tokenizer
+from servstar.llm.common import documents, text_chunks, written
+from servstar.llm.packing import END_ID, TEXT_BYTES, tokenizer_file, word_tokenizer
 from servstar.session import scratch_path
 
 # Fixed values of the seekable format: magic numbers of the skippable frames and of the file's end, the flag
@@ -162,8 +162,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
                                               [x.split()[0] for x in MANIFEST.split(", ")])
 
         for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.slice(at, 256)
+            for i, j, *_ in text_chunks(b.column(1), TEXT_BYTES):
+                part = b.slice(i, j - i)
                 for d, ids in zip(part.column(0).to_pylist(), tokenize(part.column(1).to_pylist())):
                     if writer is None:
                         name = f"part-{task.partitionId():06d}-{files:04d}-{uuid.uuid4().hex}.ids.zst"

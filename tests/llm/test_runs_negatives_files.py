@@ -228,3 +228,39 @@ def test_words_of_another_tokenizer_file():
     some = ["two  spaces", "Case and\nlines", "中文 é"]
     t = Tokenizer.from_file(path)
     assert word_tokenizer(path)(some) == [np.array(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in some]
+
+
+class CountedTokenizer:
+    """A tokenizer that counts the pieces its model gets."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.pieces = tokenizer, Counter()
+        self.model, self.encode_batch_fast, self.encode_batch = self, tokenizer.encode_batch_fast, tokenizer.encode_batch
+
+    def tokenize(self, piece):
+        self.pieces[piece] += 1
+        return self.tokenizer.model.tokenize(piece)
+
+
+@pytest.mark.parametrize("most", [0, 50, 300_000])
+def test_pieces_are_encoded_once_whatever_is_remembered(monkeypatch, most):
+    """Words that no worker remembers share the encoding of their pieces, and the caches keep to their size."""
+    import sys
+
+    from servstar.llm import packing
+    monkeypatch.setattr(packing, "CACHE_WORDS", most)
+    monkeypatch.delitem(sys.modules, "_servstar_worker", raising=False)
+    path = packing.tokenizer_file()
+    packing.word_tokenizer(path)
+    worker = sys.modules["_servstar_worker"].__dict__
+    counted = CountedTokenizer(worker[path][0])
+    worker[path] = (counted, *worker[path][1:])
+    some = [" ".join(f"Common{chr(97 + k % 26)}{chr(97 + j)}rare-{k}" for k in range(40)) for j in range(20)] + [
+        "", " \t ", "it's IT'S \u4e2d\u6587 caf\u00e9, <|endoftext|>x a\x1cb \u0130 \u03a3\u03c2", "\x85a\xa0b\u3000c"]
+    for _ in range(2):
+        for t, ids in zip(some, packing.word_tokenizer(path)(some), strict=True):
+            assert ids == brute.token_ids(t)[:-1].tobytes(), t
+        assert all(len(cache) <= most for cache in worker[path][1:3])
+    assert len(counted.pieces) > 500 and max(counted.pieces.values()) <= 2
+    assert packing.word_tokenizer(path)([]) == []
+    del sys.modules["_servstar_worker"]
